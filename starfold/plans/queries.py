@@ -94,8 +94,7 @@ def encoding_audit(t: Tables) -> DataFrame:
     for i, encoding in enumerate(("UTF-8", "ISO-8859-1", "UTF-16")):
         part = rows.where(F.col("r_regionkey") % 3 == i).drop("r_regionkey")
         part.write.option("header", "true").option("encoding", encoding).partitionBy("region").csv(f"{root}/{i}")
-    region = F.regexp_extract("_metadata.file_path", "region=([^/]+)/", 1)
-    facts = csv_files.file_facts(t.spark, root, region)
+    facts = csv_files.file_facts(t.spark, root, csv_files.path_value("region"))
     return facts.groupBy(F.col("label").alias("region"), "encoding").agg(F.sum("physical_rows").alias("physical_rows"))
 
 
@@ -147,7 +146,6 @@ def inventory_scan(t: Tables) -> DataFrame:
         "file_rows",
         F.get_json_object("raw_json", "$.Kept").alias("kept_field"),
         "source_url",
-        "source_hash",
     )
 
 

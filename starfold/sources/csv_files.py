@@ -20,6 +20,17 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
 
 
+def path_value(partition: str) -> Column:
+    """Value of a ``partition=value`` folder in the path of a file, as it was written.
+
+    The path is URI-encoded over the escapes of the folder name itself.
+    """
+    value = F.regexp_extract("_metadata.file_path", f"/{partition}=([^/]+)/", 1)
+    for _ in range(2):
+        value = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    return value
+
+
 def _has_utf16_mark(value: Column) -> Column:
     """A UTF-16 byte order mark (FF FE or FE FF) before text that holds NUL bytes."""
     head = F.substring(value.cast("binary"), 1, 2)
@@ -132,7 +143,7 @@ def audit_row_counts(spark: SparkSession, root: str, names: list[str], imported:
     Files lie below ``root/dataset=<code>/``. One line scan covers all of them; the
     quote-aware scan then reads only the datasets whose counts disagree.
     """
-    code = F.regexp_extract("_metadata.file_path", "/dataset=([^/]+)/", 1)
+    code = path_value("dataset")
     lines = file_facts(spark, root, code).groupBy(F.col("label").alias("dataset_code"))
     physical = imported.join(lines.agg(F.sum("physical_rows").alias("physical")), "dataset_code", "left")
     physical = materialise(physical, "row-counts")
@@ -141,12 +152,14 @@ def audit_row_counts(spark: SparkSession, root: str, names: list[str], imported:
         "dataset_code", "imported", F.col("imported").alias("source_rows"), F.lit("line-count").alias("method")
     )
     doubtful = physical.where(~agreed).select("dataset_code", "imported")
-    paths = [f"{root}/dataset={r['dataset_code']}" for r in doubtful.select("dataset_code").collect()]
-    if not paths:
+    if doubtful.isEmpty():
         return fast
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    records = _reader(spark, UTF8, True).schema(schema).csv(paths)
-    exact = records.select(code.alias("dataset_code")).groupBy("dataset_code").agg(F.count(F.lit(1)).alias("source_rows"))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "dataset"]])
+    records = _reader(spark, UTF8, True).schema(schema).csv(root)
+    # A filter on the partition column: folders of other datasets are not read.
+    codes = [r["dataset_code"] for r in doubtful.select("dataset_code").collect()]
+    records = records.where(F.col("dataset").isin(codes))
+    exact = records.select(F.col("dataset").alias("dataset_code")).groupBy("dataset_code").agg(F.count(F.lit(1)).alias("source_rows"))
     slow = doubtful.join(exact, "dataset_code", "left").select(
         "dataset_code", "imported", F.coalesce("source_rows", F.lit(0)).alias("source_rows"), F.lit("csv-parse").alias("method")
     )
