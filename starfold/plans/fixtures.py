@@ -13,6 +13,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starfold.session import ship_by_value
+
+ship_by_value(__name__)
+
 
 class Tables:
     """The driver's Parquet tables of one scale factor."""

@@ -38,7 +38,7 @@ from starfold.sources.lookup import read_flag_legend
 
 CONSTANTS, MAPPING = "meta_constant_column", "meta_column_mapping"
 # Tables of one dataset that are written side by side.
-WRITERS = 4
+WRITERS = 8
 CONSTANT_SCHEMA = "dataset_code string, table_name string, column_name string, value string"
 MAPPING_SCHEMA = """
     dataset_code string, table_name string, original_column_name string,

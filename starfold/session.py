@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -27,6 +29,14 @@ def local_session(cores: int | str = 8, app: str = "starfold") -> SparkSession:
     return spark
 
 
+def ship_by_value(module_name: str) -> None:
+    """Send the task functions of a module along with the job.
+
+    Executors then need no installed copy of this package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 

@@ -16,8 +16,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starfold.session import ship_by_value
 from starfold.sources.csv_files import LATIN1, UTF8, UTF16
 
+ship_by_value(__name__)
+
 CHUNK = 1 << 20
 AUDIT_SCHEMA = "archive string, ok boolean, sha256 string, bad_member string, reason string"
 MEMBER_SCHEMA = "archive string, member_index int, name string, size bigint"
