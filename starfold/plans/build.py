@@ -18,7 +18,7 @@ from starfold.operators.merge import upsert
 from starfold.operators.reduce import Years
 from starfold.plans.importer import ImportResult, import_archive
 from starfold.plans.store import Store
-from starfold.session import materialise
+from starfold.session import materialise, small_frame
 from starfold.sources.archives import audit_archives
 from starfold.sources.lookup import read_lookup
 
@@ -57,7 +57,7 @@ def enrich_areas(store: Store, lookup_path: str, with_validity: bool = True) ->
 
 def _record_datasets(store: Store, archives: DataFrame, outcomes: list[tuple]) -> None:
     """Provenance of the datasets of this build; those of earlier builds stay."""
-    done = store.spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
+    done = small_frame(store.spark, outcomes, OUTCOME_SCHEMA)
     rows = archives.join(done, "dataset_code").select(
         "dataset_code",
         "dataset_name",

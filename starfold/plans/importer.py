@@ -26,7 +26,7 @@ from starfold.operators.reduce import (
 )
 from starfold.operators.views import labelled_view, rehydrate
 from starfold.plans.store import Store
-from starfold.session import fresh_dir, materialise
+from starfold.session import fresh_dir, materialise, small_frame
 from starfold.sources.archives import list_members, unpack_members
 from starfold.sources.csv_files import (
     count_source_rows,
@@ -90,7 +90,7 @@ def recorded_constants(store: Store, dataset_code: str) -> dict[str, str | None]
 def _record_constants(store: Store, dataset_code: str, constants: dict[str, str | None]) -> None:
     table = fact_table(dataset_code)
     rows = [(dataset_code, table, name, value) for name, value in constants.items()]
-    store.replace_rows(CONSTANTS, store.spark.createDataFrame(rows, CONSTANT_SCHEMA), dataset_code)
+    store.replace_rows(CONSTANTS, small_frame(store.spark, rows, CONSTANT_SCHEMA), dataset_code)
 
 
 def recorded_types(store: Store, dataset_code: str) -> dict[str, str]:
@@ -117,7 +117,7 @@ def _record_mapping(store: Store, layout: Layout, raw_names: list[str], append:
         )
         for ordinal, (raw, (name, found)) in enumerate(zip(raw_names, layout.profiles.items()), 1)
     ]
-    store.replace_rows(MAPPING, store.spark.createDataFrame(rows, MAPPING_SCHEMA), code)
+    store.replace_rows(MAPPING, small_frame(store.spark, rows, MAPPING_SCHEMA), code)
 
 
 def _store_dimension(store: Store, clean: DataFrame, layout: Layout, group: DimensionGroup, append: bool) -> None:
@@ -285,7 +285,7 @@ def import_archive(
     keep_raw: bool = False,
 ) -> ImportResult:
     """Import the main CSV of an archive, then its flag legend if it has one."""
-    archives = store.spark.createDataFrame([(archive,)], "archive string")
+    archives = small_frame(store.spark, [(archive,)], "archive string")
     members = materialise(list_members(archives), "members")
     ties, kept = ["member_index"], ["member_index", "name"]
     main = pick_main_member(members, ties, kept)

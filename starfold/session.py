@@ -58,6 +58,11 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/starfold/{label}-{uuid.uuid4().hex}"
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of a few driver-made rows (metadata), in one task."""
+    return spark.createDataFrame(rows, schema).coalesce(1)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a frame that comes from fewer files than there are cores work for all cores.
 

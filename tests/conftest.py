@@ -17,6 +17,9 @@ from starfold.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "tests")
+    # Tiny inputs: compiling a stage takes longer than running it.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 
