@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-import __spark_entry__ as driver
 from oracle import connect, differences
+from starfold.plans.oracles import ORACLES
+from starfold.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,10 +16,10 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    assert differences(driver.queries()[name](spark, SF_DIR), duck, driver.oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
