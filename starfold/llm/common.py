@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starfold.session import shared_dir
+from starfold.session import shared_dir, ship_by_value
+
+ship_by_value(__name__)
 
 #: Java pattern of a word in the contracts: a run of anything but these six bytes.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -61,38 +63,43 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+#: Rows of a table that may be broadcast: a few megabytes of narrow rows.
+BROADCAST_ROWS = 20_000
+
+
+def small_if_proven(df: DataFrame) -> DataFrame:
+    """Hint a broadcast of a stored, narrow table only if it has been counted to be small.
+
+    A larger one joins by shuffle, where AQE splits hot keys.
+    """
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def running_before(
-    df: DataFrame, group: str, order: list[str], values: list[str], rows_per_cell: int = 4096
+    df: DataFrame, group: str, order: list[str], value: str, rows_per_cell: int = 4096
 ) -> DataFrame:
-    """Add ``<value>_before``: the sum of each value over the group's earlier rows.
+    """Add ``<value>_before``: the sum of a value over the group's earlier rows.
 
-    No task sorts a whole group. Rows are dealt to cells by the leading order column,
-    which must be a long that is spread evenly over its range of 2^62 (a hash or a
-    scaled number, in column ``order[0]``); cells are summed first, then rows inside
-    each. The number of cells follows the group's number of rows.
+    No task sorts a whole group. Rows are dealt to cells by the leading order column, a
+    long that is spread evenly over 0 .. 2^62 (column ``order[0]``); cells are summed
+    first, then the rows inside each. The number of cells follows the number of rows, so
+    a group that holds all of them has rows_per_cell rows in a cell.
     """
-    counts = df.groupBy(group).agg(F.count("*").alias("_rows"))
-    cells = F.greatest(F.lit(1), F.ceil(F.col("_rows") / rows_per_cell)).cast("long")
-    width = (F.lit(1 << 62) / F.col("_cells")).cast("long") + 1
-    rows = (
-        df.join(counts.select(group, cells.alias("_cells")), group)
-        .withColumn("_cell", (F.col(order[0]) / width).cast("long"))
-        .drop("_cells")
-    )
-    sums = rows.groupBy(group, "_cell").agg(*[F.sum(v).alias(f"_{v}") for v in values])
+    cells = max(1, df.count() // rows_per_cell)
+    rows = df.withColumn("_cell", F.expr(f"{order[0]} div {(1 << 62) // cells + 1}"))
+    sums = rows.groupBy(group, "_cell").agg(F.sum(value).alias("_sum"))
     earlier = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select(
-        group,
-        "_cell",
-        *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_{v}_base") for v in values],
+    bases = sums.select(
+        group, "_cell", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base")
     )
     inside = (
         Window.partitionBy(group, "_cell")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    out = rows.join(base, [group, "_cell"])
-    for v in values:
-        total = F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"_{v}_base")
-        out = out.withColumn(f"{v}_before", total.cast("long"))
-    return out.drop("_cell", *[f"_{v}_base" for v in values])
+    before = F.coalesce(F.sum(value).over(inside), F.lit(0)) + F.col("_base")
+    return (
+        rows.join(bases, [group, "_cell"])
+        .withColumn(f"{value}_before", before.cast("long"))
+        .drop("_cell", "_base")
+    )

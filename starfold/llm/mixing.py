@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starfold.llm.common import n_words, running_before, stored, text_or_empty
+from starfold.llm.common import n_words, running_before, small_if_proven, stored, text_or_empty
 
 #: No document is taken more often.
 MOST = 3
@@ -141,9 +141,11 @@ def placed_documents(documents: DataFrame, seed: int = 0) -> DataFrame:
         ),
         "mix-sizes",
     )
-    targets = target_sizes(sized).withColumn("_source", _source_key()).drop("source")
-    before = running_before(sized, "_source", ["_key", "doc_id", "size"], ["size"])
-    rows = before.join(targets, "_source").withColumn("_row", F.monotonically_increasing_id())
+    targets = stored(
+        target_sizes(sized).withColumn("_source", _source_key()).drop("source"), "mix-targets"
+    )
+    before = running_before(sized, "_source", ["_key", "doc_id", "size"], "size")
+    rows = before.join(small_if_proven(targets), "_source").withColumn("_row", F.monotonically_increasing_id())
     return stored(rows, "mix-places")
 
 
@@ -157,13 +159,12 @@ def scheduled_blocks(placed: DataFrame, block: int) -> DataFrame:
         placed.groupBy("_source").agg(
             F.first("source_size").alias("source_size"), F.first("target").alias("target")
         ),
-        "mix-targets",
+        "mix-sources",
     )
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     blocks = F.expr(f"greatest((source_size + {block - 1}) div {block}, 1)").alias("_blocks")
-    ranked = schedule(sources, -(-total // block)).join(
-        sources.select("_source", blocks), "_source"
-    )
+    sizes = small_if_proven(sources.select("_source", blocks))
+    ranked = schedule(sources, -(-total // block)).join(sizes, "_source")
     return ranked.select(
         "_source",
         F.expr("rank % _blocks").alias("_block"),

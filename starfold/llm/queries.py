@@ -4,13 +4,63 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starfold.llm import mixing, mixing_sql, sharding
+from starfold.llm import ann, chat, decontam, mixing, mixing_sql, sharding, token_blocks, warc
 from starfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op6_mixing": mixing_sql.TAKEN}
+ORACLES: dict[str, str] = {
+    "op3_chat": """
+        WITH turns AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+          FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+          UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+        sizes AS (
+          SELECT *, length(text) + length(regexp_replace(text, '[^\\\\<#]', '', 'g')) AS inner_chars,
+                 length(role) + length(regexp_replace(role, '[^\\\\<#:]', '', 'g')) AS role_chars
+          FROM turns)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+                 AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT)
+                 AS loss_chars,
+               sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+                                 ORDER BY turn, role, text)) AS loss_sha256,
+               CAST(sum(4 + role_chars + 2 + inner_chars + 8) AS BIGINT) AS formatted_chars,
+               CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens
+        FROM sizes GROUP BY conv_id
+    """,
+    "op9_warc": """
+        WITH p AS (
+          SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                 sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit'
+                    ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM f
+    """,
+    "op4_decontam": """
+        WITH texts AS (
+          SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
+          UNION ALL SELECT 'i', item_id, text FROM benchmark WHERE item_id IS NOT NULL),
+        words AS (
+          SELECT kind, id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w
+          FROM texts),
+        starts AS (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM words),
+        shingles AS (
+          SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS shingle FROM starts),
+        items AS (SELECT *, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE kind = 'i')
+        SELECT d.id AS doc_id, i.id AS item_id, i.n_item, count(*) AS n_shared
+        FROM shingles d JOIN items i USING (shingle) WHERE d.kind = 'd'
+        GROUP BY d.id, i.id, i.n_item HAVING count(*) >= 0.75 * i.n_item
+    """,
+    "op6_mixing": mixing_sql.TAKEN,
+}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):
@@ -18,6 +68,39 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+@query
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest rows of every twentieth vector, among all vectors."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
+#: Texts that look like the template's own marks.
+TRAP = r"\### Assistant: </turn> ok"
+
+
+@query
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one made of template marks, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame(
+        [(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], turns.schema
+    )
+    return chat.read_back(chat.format_conversations(turns.union(trap)))
+
+
+@query
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item of which a document holds three quarters of the shingles."""
+    return decontam.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as packed blocks and read back."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_blocks.token_ids(table(spark, sf_dir, "documents"), path)
+
+
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix of all documents to the target weights of their sources."""
@@ -25,6 +108,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records with a merged index, read back through it."""
+    index, folder = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return warc.read_archives(index, folder)
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in 40 shards of equal row counts."""
