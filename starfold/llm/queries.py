@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starfold.llm import ann, chat, decontam, mixing, mixing_sql, sharding, token_blocks, warc
+from starfold.llm import ann, chat, decontam, mixing, mixing_sql, recompress, sharding, token_blocks, warc
 from starfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,24 @@ ORACLES: dict[str, str] = {
                CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens
         FROM sizes GROUP BY conv_id
     """,
+    "op8_recompress": """
+        WITH words AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+          FROM documents),
+        places AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM words),
+        windows AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS x FROM places),
+        firsts AS (SELECT *, min(doc_id) OVER (PARTITION BY x) AS least FROM windows),
+        gone AS (
+          SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p FROM firsts WHERE doc_id > least),
+        per_doc AS (SELECT doc_id, list(p) AS gone FROM gone GROUP BY doc_id),
+        kept AS (
+          SELECT doc_id, len(w) AS n_words, w,
+                 list_filter(range(1, len(w) + 1), i -> NOT list_contains(coalesce(gone, []), i)) AS k
+          FROM words LEFT JOIN per_doc USING (doc_id))
+        SELECT doc_id, n_words, n_words - len(k) AS n_removed,
+               sha256(array_to_string(list_transform(k, i -> w[i]), ' ')) AS kept_sha256
+        FROM kept
+    """,
     "op9_warc": """
         WITH p AS (
           SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
@@ -108,6 +127,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages of earlier ones."""
+    kept = recompress.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records with a merged index, read back through it."""
