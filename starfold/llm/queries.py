@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import ann, chat, decontam, mixing, mixing_sql, recompress, sharding, token_blocks, warc
+from starfold.llm import ann, chat, decontam, mixing, mixing_sql, quality, recompress, sharding, token_blocks, warc
 from starfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,10 +46,10 @@ ORACLES: dict[str, str] = {
         per_doc AS (SELECT doc_id, list(p) AS gone FROM gone GROUP BY doc_id),
         kept AS (
           SELECT doc_id, len(w) AS n_words, w,
-                 list_filter(range(1, len(w) + 1), i -> NOT list_contains(coalesce(gone, []), i)) AS k
+                 list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(coalesce(gone, []), i)) AS k
           FROM words LEFT JOIN per_doc USING (doc_id))
         SELECT doc_id, n_words, n_words - len(k) AS n_removed,
-               sha256(array_to_string(list_transform(k, i -> w[i]), ' ')) AS kept_sha256
+               sha256(array_to_string(list_transform(k, lambda i: w[i]), ' ')) AS kept_sha256
         FROM kept
     """,
     "op9_warc": """
@@ -127,6 +127,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the weakly trained classifier on all documents."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages of earlier ones."""
