@@ -8,11 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import ann, chat, decontam, mixing, mixing_sql, quality, recompress, sharding, token_blocks, warc
+from starfold.llm import ann, chat, decontam, jaccard_join, mixing, mixing_sql, quality, recompress, sharding, token_blocks, warc
 from starfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": """
+        WITH RECURSIVE words AS (
+          SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x20\\x09-\\x0D]+') AS w
+          FROM documents),
+        starts AS (
+          SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS i FROM words),
+        shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x FROM starts),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+          FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+          SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+          WHERE 100 * k >= 75 * (p.n + q.n - k)),
+        reach AS (
+          SELECT doc_id, doc_id AS c FROM documents
+          UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.doc_id)
+        SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.c) AS component_id
+        FROM documents d JOIN reach r USING (doc_id) LEFT JOIN sizes s USING (doc_id) GROUP BY d.doc_id
+    """,
     "op3_chat": """
         WITH turns AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
@@ -93,6 +115,12 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
 
+@query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose shingle sets are similar enough."""
+    return jaccard_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 #: Texts that look like the template's own marks.
 TRAP = r"\### Assistant: </turn> ok"
 
