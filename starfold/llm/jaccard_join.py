@@ -173,8 +173,9 @@ def _short_lists(frequency, mean: float):
                     seen[key] = min(doc, seen.get(key, doc))
                 tokens, rows, n_rows, salts, split = [], [], [], [], []
                 for doc, s in zip(docs, sets):
-                    if not len(s) or seen.pop(s.tobytes(), None) != doc:
+                    if not len(s) or seen.get(s.tobytes()) != doc:
                         continue
+                    del seen[s.tobytes()]
                     own, kept = level[s >> np.uint64(64 - BUCKET_BITS)], len(s) - enough(len(s)) + 1
                     order = np.argsort(own, kind="stable")[:kept] if own.any() else slice(kept)
                     own = own[order].astype(np.float64)
