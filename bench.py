@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from starfold.operators import profile, reduce, views
 from starfold.operators.reduce import Years
 from starfold.plans import fixtures, importer
+from starfold.plans.fixtures import spread
 from starfold.plans.queries import SALES_HEADERS
 from starfold.plans.store import Store
-from starfold.session import fresh_dir, local_session, materialise, spread
+from starfold.session import fresh_dir, local_session, materialise
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))

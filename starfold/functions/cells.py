@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import Column
@@ -141,5 +142,12 @@ def quote_identifier(name: str) -> str:
 
 
 def safe_name(text: str) -> str:
-    """A table-name-safe form of a dataset code."""
-    return re.sub(r"[^0-9a-z_]+", "_", text.lower())
+    """A table-name-safe form of a dataset code, and another one for each code.
+
+    Codes of capitals and digits just become lower case. All others keep what a name
+    can hold, and a digest of the code tells apart those that look alike then.
+    """
+    if re.fullmatch(r"[0-9A-Z]+", text):
+        return text.lower()
+    digest = hashlib.sha256(text.encode()).hexdigest()[:12]
+    return f"{re.sub(r'[^0-9a-z]+', '_', text.lower())}_{digest}"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starfold.functions.cells import size_in_bytes
 
+# Fixed values of the contract.
 REUSABLE_STATES = ("downloaded", "zip_valid", "importing", "imported")
 
 

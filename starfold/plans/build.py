@@ -22,6 +22,7 @@ from starfold.session import materialise, small_frame
 from starfold.sources.archives import audit_archives
 from starfold.sources.lookup import read_lookup
 
+# Columns and types of the provenance tables.
 DATASETS, BUILDS, AREAS = "meta_dataset", "meta_build", "area_classification"
 OUTCOME_SCHEMA = "dataset_code string, rows_imported bigint, source_csv_rows bigint, import_status string"
 BUILD_SCHEMA = """
@@ -153,5 +154,17 @@ def info(store: Store) -> DataFrame:
 
 
 def problems(store: Store) -> DataFrame:
-    """Fact tables of a store that hold no row."""
-    return audit.validate_facts(store.counts())
+    """(table_name, problem): fact tables without rows or unreadable, or no fact at all."""
+    found, counts = [], {}
+    for table in (t for t in store.tables() if t.startswith("data_")):
+        try:
+            counts[table] = store.read(table).count()
+        except Exception as error:  # a lost file or folder is the finding
+            found.append((table, f"unreadable: {str(error).splitlines()[0][:200]}"))
+    if not counts and not found:
+        found.append(("data_*", "no fact table"))
+    if counts:
+        rows = small_frame(store.spark, list(counts.items()), "table_name string, row_count bigint")
+        empty = audit.validate_facts(rows)
+        return empty.unionByName(small_frame(store.spark, found, "table_name string, problem string"))
+    return small_frame(store.spark, found, "table_name string, problem string")

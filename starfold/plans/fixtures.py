@@ -28,6 +28,11 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores: the driver's tables are single files of one row group."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _text(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -258,8 +263,11 @@ def small_archives(t: Tables) -> DataFrame:
             for key, name, kind in zip(rows["p_partkey"], rows["p_name"], rows["p_type"]):
                 buffer = io.BytesIO()
                 with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED) as archive:
-                    archive.writestr("data.csv", f'"Item","Value"\n"{name}","{key}"\n')
-                    archive.writestr("flags.csv", f'"Flag","Description"\n"A","{kind}"\n')
+                    for member, text in (
+                        ("data.csv", f'"Item","Value"\n"{name}","{key}"\n'),
+                        ("flags.csv", f'"Flag","Description"\n"A","{kind}"\n'),
+                    ):
+                        archive.writestr(zipfile.ZipInfo(member, (2020, 1, 1, 0, 0, 0)), text)
                 content = bytearray(buffer.getvalue())
                 if key % 7 == 1:
                     content = content[: len(content) // 2]

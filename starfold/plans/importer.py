@@ -26,7 +26,7 @@ from starfold.operators.reduce import (
 )
 from starfold.operators.views import labelled_view, rehydrate
 from starfold.plans.store import Store
-from starfold.session import fresh_dir, materialise, small_frame
+from starfold.session import materialise, scratch_dir, small_frame
 from starfold.sources.archives import list_members, unpack_members
 from starfold.sources.csv_files import (
     count_source_rows,
@@ -90,7 +90,7 @@ def recorded_constants(store: Store, dataset_code: str) -> dict[str, str | None]
 def _record_constants(store: Store, dataset_code: str, constants: dict[str, str | None]) -> None:
     table = fact_table(dataset_code)
     rows = [(dataset_code, table, name, value) for name, value in constants.items()]
-    store.replace_rows(CONSTANTS, small_frame(store.spark, rows, CONSTANT_SCHEMA), dataset_code)
+    store.replace_rows(CONSTANTS, small_frame(store.spark, rows, CONSTANT_SCHEMA), dataset_code, not rows)
 
 
 def recorded_types(store: Store, dataset_code: str) -> dict[str, str]:
@@ -117,7 +117,7 @@ def _record_mapping(store: Store, layout: Layout, raw_names: list[str], append:
         )
         for ordinal, (raw, (name, found)) in enumerate(zip(raw_names, layout.profiles.items()), 1)
     ]
-    store.replace_rows(MAPPING, small_frame(store.spark, rows, MAPPING_SCHEMA), code)
+    store.replace_rows(MAPPING, small_frame(store.spark, rows, MAPPING_SCHEMA), code, not rows)
 
 
 def _store_dimension(store: Store, clean: DataFrame, layout: Layout, group: DimensionGroup, append: bool) -> None:
@@ -216,13 +216,14 @@ def import_frame(
         for done in [pool.submit(write) for write in writes]:
             done.result()
     repeated = _repeated(store, layout)
-    total = store.read(table).count() if append else layout.row_count
+    # What was written is counted, not what was to be written: file footers tell.
+    total = store.read(table).count()
     return ImportResult(
         dataset_code,
         table,
         total,
         layout.row_count,
-        "line-count",
+        "staged-count",
         applied,
         layout.row_count if append else None,
         0,
@@ -248,13 +249,13 @@ def import_csv(
     raw_names = csv_header(spark, path, facts.encoding)
     names = normalise_names(raw_names)
     parsed = scan_csv(spark, path, names, facts.encoding, facts.has_multi_line)
-    staged = materialise(parsed, f"staged-{safe_name(dataset_code)}")
-    result = import_frame(
-        store, staged, dataset_code, raw_names=raw_names, years=years, keep_raw=keep_raw
-    )
-    if result.years is not None:
-        return replace(result, source_row_count=facts.physical_rows)
-    source_rows, method = count_source_rows(spark, path, names, facts, result.row_count)
+    with scratch_dir(spark, f"staged-{safe_name(dataset_code)}") as folder:
+        parsed.write.parquet(folder)
+        staged = spark.read.schema(parsed.schema).parquet(folder)
+        result = import_frame(
+            store, staged, dataset_code, raw_names=raw_names, years=years, keep_raw=keep_raw
+        )
+    source_rows, method = count_source_rows(spark, path, facts)
     return replace(result, source_row_count=source_rows, count_method=method)
 
 
@@ -269,13 +270,6 @@ def import_legend(store: Store, path: str, dataset_code: str) -> int:
     return n
 
 
-def _unpack(store: Store, chosen: DataFrame, label: str) -> str:
-    """Unpack chosen members as UTF-8 text files in the shared folder."""
-    path = fresh_dir(store.spark, label)
-    unpack_members(chosen).select("value").write.text(path)
-    return path
-
-
 def import_archive(
     store: Store,
     archive: str,
@@ -284,19 +278,24 @@ def import_archive(
     years: Years | None = None,
     keep_raw: bool = False,
 ) -> ImportResult:
-    """Import the main CSV of an archive, then its flag legend if it has one."""
+    """Import the main CSV of an archive, then its flag legend if it has one.
+
+    Members are unpacked into the shared folder and deleted after the import.
+    """
     archives = small_frame(store.spark, [(archive,)], "archive string")
     members = materialise(list_members(archives), "members")
     ties, kept = ["member_index"], ["member_index", "name"]
-    main = pick_main_member(members, ties, kept)
+    main, legend = pick_main_member(members, ties, kept), pick_flag_member(members, ties, kept)
     if main.isEmpty():
         raise ValueError(f"no CSV member in {archive}")
-    path = _unpack(store, main, f"unpacked-{safe_name(dataset_code)}")
-    result = import_csv(store, path, dataset_code, years=years, keep_raw=keep_raw)
-    legend = pick_flag_member(members, ties, kept)
     flag_rows = 0
+    with scratch_dir(store.spark, f"unpacked-{safe_name(dataset_code)}") as path:
+        unpack_members(main).select("value").write.text(path)
+        result = import_csv(store, path, dataset_code, years=years, keep_raw=keep_raw)
     if not legend.isEmpty():
-        flag_rows = import_legend(store, _unpack(store, legend, "legend"), dataset_code)
+        with scratch_dir(store.spark, "legend") as path:
+            unpack_members(legend).select("value").write.text(path)
+            flag_rows = import_legend(store, path, dataset_code)
     return replace(result, flag_rows=flag_rows)
 
 
@@ -333,3 +332,16 @@ def rebuild_source(store: Store, dataset_code: str) -> DataFrame:
         recorded_constants(store, dataset_code),
         types,
     )
+
+
+def register_views(store: Store) -> list[str]:
+    """A temporary view per table, and ``view_<code>_labelled`` per dataset, for plain SQL."""
+    names = store.register_views()
+    datasets = store.read(MAPPING).select("dataset_code", "table_name").distinct() if store.has(MAPPING) else None
+    for row in datasets.collect() if datasets is not None else []:
+        view = labelled(store, row["dataset_code"]) if store.has(row["table_name"]) else None
+        if view is not None:
+            name = f"view_{safe_name(row['dataset_code'])}_labelled"
+            view.createOrReplaceTempView(name)
+            names.append(name)
+    return names

@@ -258,11 +258,11 @@ ORACLES: dict[str, str] = {
     "archive_audit": """SELECT concat('p', CAST(p_partkey AS VARCHAR), '.zip') AS archive, p_partkey % 7 NOT IN (1, 2) AS ok,
         CASE WHEN p_partkey % 7 = 2 THEN 'data.csv' END AS bad_member,
         CASE p_partkey % 7 WHEN 1 THEN 'bad zip' WHEN 2 THEN 'crc mismatch' END AS reason,
-        CASE WHEN p_partkey % 7 NOT IN (1, 2) THEN 64 END::INTEGER AS hash_length FROM part""",
+        CASE WHEN p_partkey % 7 NOT IN (1, 2) THEN true END AS right_hash FROM part""",
     "size_check": """SELECT p_partkey AS dataset_code, p_partkey * 3 + 100 AS length,
         CASE WHEN p_partkey % 4 <> 0 THEN p_partkey * 3 + 100 + (p_partkey % 3) * 50 END AS declared_bytes,
         CASE WHEN p_partkey % 4 = 0 THEN true ELSE (p_partkey % 3) * 50 <= (p_partkey * 3 + 100 + (p_partkey % 3) * 50) * CAST(0.1 AS DOUBLE) END AS size_ok
-        FROM part WHERE p_partkey % 7 <> 0""",
+        FROM part""",
     "pick_main_member": _with(MEMBERS) + """SELECT archive, member_index, part, supplier, name, size FROM (
         SELECT *, row_number() OVER (PARTITION BY archive ORDER BY size DESC, member_index, part, supplier, name) AS rn
         FROM members WHERE lower(name) LIKE '%.csv') WHERE rn = 1""",
@@ -282,7 +282,9 @@ ORACLES: dict[str, str] = {
           + (SELECT count(*) FROM (SELECT DISTINCT area_code, area_label FROM wide_orders))
         UNION ALL SELECT 'dim_item', (SELECT count(*) FROM (SELECT DISTINCT item_code, item_label FROM wide_sales))
           + (SELECT count(*) FROM (SELECT DISTINCT item_code, item_label FROM wide_orders))
-        UNION ALL SELECT concat('dim_', stem), count(*) FROM ({DIM_MEMBERS}) WHERE stem IN ('domain', 'element', 'year') GROUP BY stem""",
+        UNION ALL SELECT concat('dim_', stem), count(*) FROM ({DIM_MEMBERS}) WHERE stem IN ('domain', 'element', 'year') GROUP BY stem
+        UNION ALL SELECT 'meta_column_mapping', (SELECT count(*) FROM (DESCRIBE SELECT * FROM wide_sales)) + (SELECT count(*) FROM (DESCRIBE SELECT * FROM wide_orders))
+        UNION ALL SELECT 'meta_constant_column', (SELECT (count(DISTINCT domain_code) = 1)::INT + (count(DISTINCT unit) = 1)::INT FROM wide_sales)""",
     "rename_project": _with(ORDERS) + "SELECT * FROM wide_orders",
     "normalize_headers": _with(HEADERS) + "SELECT * FROM based",
     "dedupe_headers": _with(HEADERS, SUFFIXED) + "SELECT * FROM named",
@@ -329,7 +331,7 @@ ORACLES: dict[str, str] = {
     "rowcount_audit": _with(ORDERS) + """, marked AS (
           SELECT area_code, CAST(area_code AS INTEGER) % 2 = 1 AND length(value) % 5 = 0 AS broken FROM wide_orders)
         SELECT area_code AS dataset_code, count(*) AS imported, count(*) AS source_rows,
-          CASE WHEN bool_or(broken) THEN 'csv-parse' ELSE 'line-count' END AS method FROM marked GROUP BY area_code""",
+          CASE WHEN bool_or(broken) THEN 'quote-parity' ELSE 'line-count' END AS method FROM marked GROUP BY area_code""",
     "lossless_verdict": _with(PROVENANCE) + """SELECT dataset_code, rows_imported, source_csv_rows,
         is_filtered OR rows_imported = source_csv_rows AS is_lossless, rows_imported - file_rows_declared AS declared_difference FROM provenance""",
     "build_summary": _with(PROVENANCE) + """SELECT (SELECT count(*) FROM provenance WHERE import_status = 'imported') AS datasets_imported,

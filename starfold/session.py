@@ -6,6 +6,8 @@ import os
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -63,14 +65,33 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.createDataFrame(rows, schema).coalesce(1)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a frame that comes from fewer files than there are cores work for all cores.
+def _hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    A file with one row group is one task, whatever follows. Sources of many files,
-    which is every large one, are returned as they are: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it is; a missing one is fine."""
+    found, system = _hadoop_path(spark, path)
+    system.delete(found, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path."""
+    found, system = _hadoop_path(spark, path)
+    if not system.exists(found):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(found) if s.isDirectory())
+
+
+@contextmanager
+def scratch_dir(spark: SparkSession, label: str) -> Iterator[str]:
+    """A path below the shared folder that is deleted at the end."""
+    path = fresh_dir(spark, label)
+    try:
+        yield path
+    finally:
+        delete_path(spark, path)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

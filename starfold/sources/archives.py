@@ -1,7 +1,7 @@
 """ZIP archives: integrity audit, member listing, unpacking into the shared folder.
 
-Spark has no ZIP reader, so these are the only places where Python runs inside tasks:
-a small helper per archive, with one archive per row and streams of bounded size.
+Spark has no ZIP reader, so these are the only places where Python runs inside tasks. The
+work is spread over rows, one for each archive or member, and streams have bounded size.
 """
 
 from __future__ import annotations
@@ -17,14 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.session import ship_by_value
-from starfold.sources.csv_files import LATIN1, UTF8, UTF16
 
 ship_by_value(__name__)
 
-CHUNK = 1 << 20
-AUDIT_SCHEMA = "archive string, ok boolean, sha256 string, bad_member string, reason string"
+BLOCK = 1 << 20
 MEMBER_SCHEMA = "archive string, member_index int, name string, size bigint"
-TEXT_SCHEMA = "archive string, part bigint, value string"
 
 
 def list_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -33,118 +30,152 @@ def list_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files.select(F.col("path").alias("archive"), "length")
 
 
-def _open(archive: str, content: bytes | None):
-    """The archive as a seekable stream: from its row, or from the file system."""
+def _stream(archive: str, content: bytes | None, options: dict | None = None):
+    """The archive as a seekable stream: from its row, or from its file system.
+
+    s3a and s3n are Hadoop's names of what pyarrow calls s3; ``options`` go to that
+    file system.
+    """
     if content is not None:
         return io.BytesIO(content)
     from pyarrow import fs
 
-    if "://" not in archive and archive.startswith("file:"):
-        archive = archive[len("file:") :]
-    system, path = fs.FileSystem.from_uri(archive) if ":" in archive else (fs.LocalFileSystem(), archive)
+    scheme, found, rest = archive.partition("://")
+    if scheme in ("s3", "s3a", "s3n") and found:
+        return fs.S3FileSystem(**(options or {})).open_input_file(rest)
+    if archive.startswith("file:"):
+        archive, found = "/" + archive[len("file:") :].lstrip("/"), ""
+    system, path = fs.FileSystem.from_uri(archive) if found else (fs.LocalFileSystem(), archive)
     return system.open_input_file(path)
 
 
-def _hash(stream) -> str:
-    digest = hashlib.sha256()
-    stream.seek(0)
-    while chunk := stream.read(CHUNK):
-        digest.update(chunk)
-    return digest.hexdigest()
+def _spread(archives: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all shuffle partitions: short paths would else be packed into one."""
+    parts = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return archives.repartition(parts, *keys)
+
 
+def _given(frame: DataFrame, *names: str) -> DataFrame:
+    return frame.select(*[c for c in (*names, "content") if c in frame.columns])
 
-def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, bytes | None]]:
+
+def _tuples(batches: Iterator[pd.DataFrame], *names: str) -> Iterator[tuple]:
     for batch in batches:
-        contents = batch["content"] if "content" in batch else [None] * len(batch)
-        yield from zip(batch["archive"], contents)
+        content = batch["content"] if "content" in batch else [None] * len(batch)
+        yield from zip(*(batch[n] for n in names), content)
 
 
-def _audit_one(archive: str, content: bytes | None) -> tuple:
-    try:
-        with _open(archive, content) as stream:
-            try:
-                with zipfile.ZipFile(stream) as pack:
-                    bad = pack.testzip()
-            except (zipfile.BadZipFile, EOFError, OSError, ValueError) as error:
-                return archive, False, None, None, f"bad zip: {error}"
-            except Exception as error:  # zlib.error: a damaged stream before its check sum
-                return archive, False, None, None, f"bad zip: {error}"
-            if bad is not None:
-                return archive, False, None, bad, "crc mismatch"
-            return archive, True, _hash(stream), None, None
-    except FileNotFoundError:
-        return archive, False, None, None, "missing"
-
-
-def audit_archives(archives: DataFrame) -> DataFrame:
-    """Integrity of every archive: readable, all check sums right, SHA-256 of the bytes.
-
-    Takes ``archive`` (a path) and optionally ``content`` (its bytes). Archives are
-    spread over the cluster and streamed in chunks, so none has to fit in memory.
+def archive_facts(archives: DataFrame, options: dict | None = None) -> DataFrame:
+    """(archive, sha256, members, problem): digest of the bytes, and the directory.
+
+    ``problem`` is "missing" or what keeps an archive from being opened; whatever goes
+    wrong with one archive stays with it.
     """
 
-    def audit(batches):
-        for row in _rows(batches):
-            yield pd.DataFrame([_audit_one(*row)], columns=["archive", "ok", "sha256", "bad_member", "reason"])
+    def facts(batches):
+        for archive, content in _tuples(batches, "archive"):
+            digest, names, problem = None, None, None
+            try:
+                with _stream(archive, content, options) as stream:
+                    digest = hashlib.file_digest(stream, "sha256").hexdigest()
+                    names = [m.filename for m in zipfile.ZipFile(stream).infolist()]
+            except FileNotFoundError:
+                problem = "missing"
+            except Exception as error:  # one unreadable archive is one finding
+                problem = f"bad zip: {error}"
+            yield pd.DataFrame({"archive": [archive], "sha256": [digest], "members": [names], "problem": [problem]})
+
+    schema = "archive string, sha256 string, members array<string>, problem string"
+    return _spread(_given(archives, "archive"), "archive").mapInPandas(facts, schema)
 
-    columns = [c for c in ("archive", "content") if c in archives.columns]
-    return archives.select(*columns).mapInPandas(audit, AUDIT_SCHEMA)
 
+def damaged_members(members: DataFrame, options: dict | None = None) -> DataFrame:
+    """(archive, member_index, name, problem) of members whose bytes fail their check sum."""
 
-def list_members(archives: DataFrame) -> DataFrame:
+    def read(batches):
+        for archive, index, name, content in _tuples(batches, "archive", "member_index", "name"):
+            try:
+                with _stream(archive, content, options) as stream, zipfile.ZipFile(stream) as pack:
+                    with pack.open(pack.infolist()[index]) as member:
+                        while member.read(BLOCK):
+                            pass
+            except zipfile.BadZipFile as error:
+                problem = "crc mismatch" if "CRC" in str(error) else f"bad zip: {error}"
+            except Exception as error:  # zlib.error, EOFError, a lost connection
+                problem = f"bad zip: {error}"
+            else:
+                continue
+            yield pd.DataFrame([(archive, index, name, problem)], columns=["archive", "member_index", "name", "problem"])
+
+    spread = _spread(_given(members, "archive", "member_index", "name"), "archive", "member_index")
+    return spread.mapInPandas(read, "archive string, member_index int, name string, problem string")
+
+
+def audit_archives(archives: DataFrame, options: dict | None = None) -> DataFrame:
+    """(archive, ok, sha256, bad_member, reason): readable, and all check sums right.
+
+    Takes ``archive`` (a path) and optionally ``content`` (its bytes). Members are read
+    as rows of their own, so one archive of many members is no long task.
+    """
+    archives = _given(archives, "archive")
+    facts = archive_facts(archives, options)
+    members = facts.where("problem is null").select("archive", F.posexplode("members").alias("member_index", "name"))
+    if "content" in archives.columns:
+        members = members.join(archives, "archive")
+    worst = damaged_members(members, options).groupBy("archive").agg(
+        F.min(F.struct("member_index", "name", "problem")).alias("bad")
+    )
+    reason = F.coalesce("problem", "bad.problem")
+    crc = F.col("bad.problem") == "crc mismatch"
+    return facts.join(worst, "archive", "left").select(
+        "archive",
+        reason.isNull().alias("ok"),
+        F.when(reason.isNull(), F.col("sha256")).alias("sha256"),
+        F.when(crc, F.col("bad.name")).alias("bad_member"),
+        reason.alias("reason"),
+    )
+
+
+def list_members(archives: DataFrame, options: dict | None = None) -> DataFrame:
     """Directory of every archive, one row per member that is not a folder."""
 
     def members(batches):
-        for archive, content in _rows(batches):
-            with _open(archive, content) as stream, zipfile.ZipFile(stream) as pack:
+        for archive, content in _tuples(batches, "archive"):
+            with _stream(archive, content, options) as stream, zipfile.ZipFile(stream) as pack:
                 infos = [(archive, i, m.filename, m.file_size) for i, m in enumerate(pack.infolist()) if not m.is_dir()]
             yield pd.DataFrame(infos, columns=["archive", "member_index", "name", "size"])
 
-    columns = [c for c in ("archive", "content") if c in archives.columns]
-    return archives.select(*columns).mapInPandas(members, MEMBER_SCHEMA)
-
-
-def _encoding_of(pack: zipfile.ZipFile, name: str) -> str:
-    with pack.open(name) as member:
-        head = member.read(4)
-    if head.startswith((codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)):
-        return UTF16
-    decoder = codecs.getincrementaldecoder("utf-8")()
-    try:
-        with pack.open(name) as member:
-            while chunk := member.read(CHUNK):
-                decoder.decode(chunk)
-            decoder.decode(b"", final=True)
-    except UnicodeDecodeError:
-        return LATIN1
-    return UTF8
+    return _given(archives, "archive").mapInPandas(members, MEMBER_SCHEMA)
 
 
-def unpack_members(chosen: DataFrame) -> DataFrame:
-    """Text of the chosen members (archive, name[, content]) in blocks of whole lines.
+def unpack_members(chosen: DataFrame, options: dict | None = None) -> DataFrame:
+    """Bytes of the chosen members (archive, name[, content]) in blocks of whole lines.
 
-    A deflate stream can only be read from its start, so one task reads one archive;
-    it holds one block at a time. Blocks end at a line feed, and each goes out as its
-    own row, so that everything after this step is spread evenly.
+    A deflate stream can only be read from its start, so one task inflates one member,
+    once, and holds one block at a time. Blocks are cut at a line-feed byte, which is
+    left out: written as lines of one text file, they are the member again, in its own
+    encoding. What that is, the line scan of the file tells; only UTF-16, whose line
+    feeds have two bytes, becomes UTF-8 here.
     """
-    python_codec = {UTF8: "utf-8-sig", UTF16: "utf-16", LATIN1: "latin-1"}
+    marks = (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)
 
     def blocks(batches):
-        for batch in batches:
-            contents = batch["content"] if "content" in batch else [None] * len(batch)
-            for archive, name, content in zip(batch["archive"], batch["name"], contents):
-                with _open(archive, content) as stream, zipfile.ZipFile(stream) as pack:
-                    encoding = python_codec[_encoding_of(pack, name)]
-                    with pack.open(name) as member:
-                        text = io.TextIOWrapper(member, encoding=encoding, newline="")
-                        part, rest = 0, ""
-                        while chunk := text.read(CHUNK):
-                            whole, feed, rest = (rest + chunk).rpartition("\n")
-                            if feed:
-                                yield pd.DataFrame({"archive": [archive], "part": [part], "value": [whole]})
-                                part += 1
-                        if rest:
-                            yield pd.DataFrame({"archive": [archive], "part": [part], "value": [rest]})
-
-    columns = [c for c in ("archive", "name", "content") if c in chosen.columns]
-    return chosen.select(*columns).mapInPandas(blocks, TEXT_SCHEMA)
+        for archive, name, content in _tuples(batches, "archive", "name"):
+            with _stream(archive, content, options) as stream, zipfile.ZipFile(stream) as pack:
+                with pack.open(name) as member:
+                    part, held, wide = 0, [], None
+                    while block := member.read(BLOCK):
+                        if wide is None:
+                            wide = codecs.getincrementaldecoder("utf-16")() if block.startswith(marks) else False
+                        block = wide.decode(block).encode() if wide else block
+                        whole, feed, rest = block.rpartition(b"\n")
+                        if feed:
+                            yield pd.DataFrame({"archive": [archive], "part": [part], "value": [b"".join([*held, whole])]})
+                            part, held = part + 1, []
+                        held.append(rest)
+                    if any(held):
+                        yield pd.DataFrame({"archive": [archive], "part": [part], "value": [b"".join(held)]})
+
+    rows = _given(chosen, "archive", "name").mapInPandas(blocks, "archive string, part bigint, value binary")
+    # A string column of any bytes: the text writer puts them out as they are.
+    return rows.withColumn("value", F.col("value").cast("string"))

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starfold.functions.cells import blank_to_null, col
-from starfold.session import materialise
 
 UTF8, UTF16, LATIN1 = "utf-8", "utf-16", "latin-1"
 SPARK_ENCODING = {UTF8: "UTF-8", UTF16: "UTF-16", LATIN1: "ISO-8859-1"}
@@ -38,6 +37,11 @@ def _has_utf16_mark(value: Column) -> Column:
     return marked & value.contains(F.lit("\x00"))
 
 
+def _odd_quotes(value: Column) -> Column:
+    quotes = F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
+    return quotes % 2 == 1
+
+
 def file_facts(spark: SparkSession, path: str | list[str], label: Column | None = None) -> DataFrame:
     """What one splittable line scan tells about every file.
 
@@ -46,15 +50,16 @@ def file_facts(spark: SparkSession, path: str | list[str], label: Column | None
     every UTF-16 line with a separator holds and no Latin-1 text does.
     ``physical_rows``: lines less the header, never below zero.
     ``has_multi_line``: some line holds an odd number of quotes, so a quoted cell may
-    run over its end. A file without such lines can be parsed in splits.
+    run over its end, or a carriage return that does not end it, where the CSV reader
+    would end a record. A file without such lines can be parsed in splits.
     """
-    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    inner_return = F.rtrim("value", F.lit("\r")).contains("\r")
     lines = _lines(spark, path).select(
         F.col("_metadata.file_path").alias("file"),
         *([label.alias("label")] if label is not None else []),
         F.is_valid_utf8("value").alias("valid"),
         ((F.col("_metadata.file_block_start") == 0) & _has_utf16_mark(F.col("value"))).alias("mark"),
-        (quotes % 2 == 1).alias("odd"),
+        (_odd_quotes(F.col("value")) | inner_return).alias("odd"),
     )
     found = lines.groupBy("file", *(["label"] if label is not None else [])).agg(
         F.bool_or("mark").alias("mark"),
@@ -119,48 +124,66 @@ def scan_csv(
     return rows.select(*[blank_to_null(col(n)).alias(n) for n in names])
 
 
-def count_records(spark: SparkSession, path: str, names: list[str], facts: SourceFacts) -> int:
-    """Exact records by a quote-aware scan."""
-    return scan_csv(spark, path, names, facts.encoding, facts.has_multi_line).count()
+def record_counts(spark: SparkSession, path: str | list[str], label: Column | None = None) -> DataFrame:
+    """(file[, label], records) less the header, by the parity of quotes alone.
 
+    A record ends at a line feed before which the file has an even number of quotes. It
+    shares nothing with the CSV reader, so it can contradict it. Parities are summed for
+    each block of a file first, then for the lines inside; no task holds a file. Quote
+    and line-feed bytes count as such in every encoding. An unfinished record counts.
+    """
+    labels = [label.alias("label")] if label is not None else []
+    names = ["label"] if labels else []
+    lines = _lines(spark, path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        *labels,
+        F.monotonically_increasing_id().alias("id"),
+        _odd_quotes(F.col("value")).cast("long").alias("odd"),
+    )
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("_odd"))
+    by_file = Window.partitionBy("file").orderBy("block")
+    before = F.coalesce(F.sum("_odd").over(by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = F.lead("block").over(by_file).isNull()
+    blocks = blocks.select("file", "block", before.alias("_before"), last.alias("_last"))
+    inside = Window.partitionBy("file", "block").orderBy("id")
+    running = F.sum("odd").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    ends = (F.col("_before") + F.col("_running")) % 2 == 0
+    unfinished = F.col("_last") & F.col("_is_last") & ~ends
+    counted = (
+        lines.join(blocks, ["file", "block"])
+        .withColumn("_running", running)
+        .withColumn("_is_last", F.lead("id").over(inside).isNull())
+        .groupBy("file", *names)
+        .agg(F.count_if(ends | unfinished).alias("n"))
+    )
+    return counted.select("file", *names, F.greatest(F.col("n") - 1, F.lit(0)).alias("records"))
 
-def count_source_rows(
-    spark: SparkSession, path: str, names: list[str], facts: SourceFacts, imported: int
-) -> tuple[int, str]:
-    """Source record count and how it was found.
 
-    The line count comes from the splittable line scan; only when it disagrees with
-    the imported rows does the quote-aware scan decide.
+def count_source_rows(spark: SparkSession, path: str, facts: SourceFacts) -> tuple[int, str]:
+    """Source record count and how it was found, without looking at what was imported.
+
+    Without cells that run over lines, lines are records; else the parity of quotes tells.
     """
-    if facts.physical_rows == imported:
+    if not facts.has_multi_line:
         return facts.physical_rows, "line-count"
-    return count_records(spark, path, names, facts), "csv-parse"
+    total = record_counts(spark, path).agg(F.coalesce(F.sum("records"), F.lit(0))).first()
+    return total[0], "quote-parity"
 
 
-def audit_row_counts(spark: SparkSession, root: str, names: list[str], imported: DataFrame) -> DataFrame:
+def audit_row_counts(spark: SparkSession, root: str, imported: DataFrame) -> DataFrame:
     """Source rows of many datasets against their imported rows (dataset_code, imported).
 
-    Files lie below ``root/dataset=<code>/``. One line scan covers all of them; the
-    quote-aware scan then reads only the datasets whose counts disagree.
+    Files lie below ``root/dataset=<code>/``, each in its own encoding. One line scan
+    covers all of them; the method says whether a dataset has cells over several lines.
     """
     code = path_value("dataset")
-    lines = file_facts(spark, root, code).groupBy(F.col("label").alias("dataset_code"))
-    physical = imported.join(lines.agg(F.sum("physical_rows").alias("physical")), "dataset_code", "left")
-    physical = materialise(physical, "row-counts")
-    agreed = F.coalesce(F.col("physical"), F.lit(0)) == F.col("imported")
-    fast = physical.where(agreed).select(
-        "dataset_code", "imported", F.col("imported").alias("source_rows"), F.lit("line-count").alias("method")
-    )
-    doubtful = physical.where(~agreed).select("dataset_code", "imported")
-    if doubtful.isEmpty():
-        return fast
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "dataset"]])
-    records = _reader(spark, UTF8, True).schema(schema).csv(root)
-    # A filter on the partition column: folders of other datasets are not read.
-    codes = [r["dataset_code"] for r in doubtful.select("dataset_code").collect()]
-    records = records.where(F.col("dataset").isin(codes))
-    exact = records.select(F.col("dataset").alias("dataset_code")).groupBy("dataset_code").agg(F.count(F.lit(1)).alias("source_rows"))
-    slow = doubtful.join(exact, "dataset_code", "left").select(
-        "dataset_code", "imported", F.coalesce("source_rows", F.lit(0)).alias("source_rows"), F.lit("csv-parse").alias("method")
+    lines = file_facts(spark, root, code).groupBy("label").agg(F.bool_or("has_multi_line").alias("multi"))
+    records = record_counts(spark, root, code).groupBy("label").agg(F.sum("records").alias("records"))
+    counted = lines.join(records, "label").withColumnRenamed("label", "dataset_code")
+    return imported.join(counted, "dataset_code", "left").select(
+        "dataset_code",
+        "imported",
+        F.coalesce("records", F.lit(0)).alias("source_rows"),
+        F.when(F.col("multi"), "quote-parity").otherwise("line-count").alias("method"),
     )
-    return fast.unionByName(slow)

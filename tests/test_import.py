@@ -12,6 +12,7 @@ from starfold.operators.reduce import Years
 from starfold.plans import build as builds
 from starfold.plans import importer
 from starfold.plans.store import Store
+from starfold.session import delete_path
 from starfold.sources import archives, csv_files, inventory, lookup
 
 HEADER = "Domain Code,Domain,Area Code,Area Code (M49),Area,Item Code,Item,Element Code,Element,Year Code,Year,Unit,Value,Flag"
@@ -135,7 +136,7 @@ def test_no_year_column_means_no_filter(store, tmp_path):
 def test_multi_line_cells_in_every_encoding(store, tmp_path, encoding):
     rows = [r.replace("Oats", 'Winter\noats "côté"'.replace('"', '""')) for r in CROPS]
     result = importer.import_archive(store, pack(tmp_path, "CR", rows, encoding=encoding), "CR")
-    assert (result.row_count, result.source_row_count, result.count_method) == (7, 7, "csv-parse")
+    assert (result.row_count, result.source_row_count, result.count_method) == (7, 7, "quote-parity")
     labels = {r[0] for r in store.read("dim_item").select("item_label").collect()}
     assert labels == {'Winter\noats "côté"', "Rye", "Beans"}
 
@@ -157,8 +158,97 @@ def test_the_two_counters_disagree_only_on_multi_line_files(spark, tmp_path):
     path.write_text('"a","b"\n"1","plain"\n"2","has\nnewline"\n"3","plain"\n')
     found = csv_files.source_facts(spark, str(path))
     assert found.physical_rows == 4 and found.has_multi_line
-    assert csv_files.count_source_rows(spark, str(path), ["a", "b"], found, 3) == (3, "csv-parse")
-    assert csv_files.count_source_rows(spark, str(path), ["a", "b"], found, 4) == (4, "line-count")
+    assert csv_files.count_source_rows(spark, str(path), found) == (3, "quote-parity")
+    path.write_text('"a","b"\n"1","plain"\n"2","open\nend')
+    found = csv_files.source_facts(spark, str(path))
+    assert csv_files.count_source_rows(spark, str(path), found) == (2, "quote-parity")
+
+
+def test_parity_counts_across_blocks(spark, tmp_path):
+    rng = random.Random(3)
+    cells = ["x", 'say ""hi""', "two\nlines", "a\rb", "crlf\r\nin"]
+    rows = [[rng.choice(cells) for _ in range(3)] for _ in range(400)]
+    for folder, end in (("lf", "\n"), ("crlf", "\r\n")):
+        (tmp_path / folder).mkdir()
+        text = end.join(",".join(f'"{c}"' for c in r) for r in [["a", "b", "c"], *rows]) + end
+        (tmp_path / folder / "m.csv").write_bytes(text.encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        found = csv_files.record_counts(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["records"] for r in found] == [400, 400]
+
+
+def test_a_carriage_return_inside_a_cell_is_no_record_end(store, tmp_path):
+    path = tmp_path / "cr.csv"
+    path.write_bytes(b'"Name"\n"a\rb"\n"c"\n')
+    result = importer.import_csv(store, str(path), "CRX")
+    assert (result.row_count, result.source_row_count, result.lossless) == (2, 2, True)
+
+
+def test_a_damaged_parse_is_not_lossless(store, tmp_path, monkeypatch):
+    path = tmp_path / "plain.csv"
+    path.write_text("\n".join([HEADER, *CROPS]) + "\n")
+    whole = importer.scan_csv
+    monkeypatch.setattr(importer, "scan_csv", lambda *a: whole(*a).where("year > 2000"))
+    result = importer.import_csv(store, str(path), "CR")
+    assert (result.row_count, result.source_row_count, result.lossless) == (3, 7, False)
+
+
+def test_a_failed_batch_leaves_no_table(spark, store):
+    store.replace("kept", spark.range(3).toDF("a"))
+    with pytest.raises(RuntimeError), store.batch():
+        store.replace("half", spark.range(1).toDF("a"))
+        store.replace("kept", spark.range(9).toDF("a"))
+        raise RuntimeError
+    store.replace("next", spark.range(2).toDF("a"))
+    again = Store(spark, store.root)
+    assert again.tables() == ["kept", "next"] and again.read("kept").count() == 3
+    assert store.tables() == again.tables() and store.read("kept").count() == 3
+
+
+def test_codes_that_look_alike_keep_their_tables(store, tmp_path):
+    for code, rows in (("QC-1", CROPS[:3]), ("QC_1", CROPS[:5]), ("qc 1", CROPS)):
+        path = tmp_path / f"{len(rows)}.csv"
+        path.write_text("\n".join([HEADER, *rows]) + "\n")
+        importer.import_csv(store, str(path), code)
+    assert [len(facts(store, c)) for c in ("QC-1", "QC_1", "qc 1")] == [3, 5, 7]
+    assert importer.fact_table("CR") == "data_cr"
+
+
+def test_a_damaged_log_is_an_error(spark, tmp_path):
+    root = tmp_path / "bad"
+    (root / "table_log").mkdir(parents=True)
+    (root / "table_log" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        Store(spark, str(root)).tables()
+
+
+def test_compaction_frees_disk_and_vacuum_waits(spark, store):
+    store.replace("t", spark.range(2000).toDF("a").repartition(24))
+    before, after = store.compact("t")
+    assert after < before and store.read("t").count() == 2000
+    store.replace("t", spark.range(5).toDF("a"))
+    assert store.vacuum() == [] and len(store.vacuum(older_than=0)) == 1
+    assert store.read("t").count() == 5
+
+
+def test_labelled_view_in_sql(spark, store, tmp_path):
+    importer.import_archive(store, pack(tmp_path, "CR"), "CR")
+    assert "view_cr_labelled" in importer.register_views(store)
+    found = spark.sql("SELECT value FROM view_cr_labelled WHERE area_label = 'Sudland' AND year = 2000")
+    assert [r["value"] for r in found.collect()] == [37000]
+    assert not list((tmp_path / "store").glob("**/staged-*"))
+
+
+def test_problems_name_unreadable_and_missing_facts(spark, store):
+    assert [r["problem"] for r in builds.problems(store).collect()] == ["no fact table"]
+    store.replace("data_e", spark.range(0).toDF("a"))
+    store.replace("data_l", spark.range(1).toDF("a"))
+    delete_path(spark, store.path("data_l"))
+    found = {r["table_name"]: r["problem"].split(":")[0] for r in builds.problems(store).collect()}
+    assert found == {"data_e": "empty", "data_l": "unreadable"}
 
 
 def test_archive_audit(spark, tmp_path):
