@@ -19,15 +19,18 @@ compared by their numbers, which verifies the repeats and finds the least docume
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starfold.llm.common import stored, text_or_empty
-from starfold.llm.words import WordReader, Words, mixed, slices
+from starfold.llm.chunks import Chunks
+from starfold.llm.common import stored
+from starfold.llm.words import Words, mixed, word_reader
 from starfold.session import ship_by_value
 
 ship_by_value(__name__)
@@ -37,8 +40,6 @@ WINDOW, KEY, ROUNDS = 13, 5, 3
 REACH = WINDOW - KEY
 #: Keys are filters, so fewer bits are enough; they shuffle better.
 KEY_BITS = 48
-#: Bytes of text that are handled together in a task.
-TOGETHER = 8 << 20
 PAIR, RUN = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
@@ -84,60 +85,59 @@ def least_documents(number: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np
     return least, shared
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, doc_id, shared): distinct keys of each document; shared is what is known here."""
-    reader = WordReader()
-    for batch in batches:
-        for part in slices(batch, 1, TOGETHER):
-            words = reader.read(part.column(1))
-            at = anchors(words)
-            key = words.windows_at(at, KEY) >> np.uint64(64 - KEY_BITS)
-            doc = part.column(0).to_numpy()[words.row()[at]]
-            # One row for each document and key.
-            order = np.lexsort((doc, key))
-            once = np.ones(len(order), bool)
-            once[1:] = (key[order][1:] != key[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-            kept = np.sort(order[once])  # rows of a document stay together and compress
-            key, doc = key[kept], doc[kept]
-            least, shared = least_documents(key, doc)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.astype(np.int64)), pa.array(doc), pa.array(shared), pa.array(least)],
-                names=["key", "doc_id", "shared", "least"],
-            )
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(window, doc_id, text_hash, place, least) near the shared keys of documents."""
-    reader = WordReader()
-    for batch in batches:
-        for part in slices(batch, 2, TOGETHER):
-            words = reader.read(part.column(2))
-            row = words.row()
-            at = anchors(words)
-            key = (words.windows_at(at, KEY) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
-            keys = part.column(3)
-            known = keys.flatten().to_numpy()
-            owner = np.repeat(np.arange(len(keys)), np.diff(keys.offsets.to_numpy()))
-            at = at[_contains(owner, known, row[at], key)]
-            n = len(words.number)
-            marks = np.zeros(n + 1, np.int64)  # windows from REACH before an anchor up to it
-            np.add.at(marks, np.maximum(at - REACH, words.first[row[at]]), 1)
-            np.add.at(marks, at + 1, -1)
-            near = np.flatnonzero(np.cumsum(marks)[:n] > 0)
-            place = near[near + WINDOW <= words.first[1:][row[near]]]
-            number = words.windows_at(place, WINDOW).astype(np.int64)
-            doc = part.column(0).to_numpy()[row[place]]
-            least, _ = least_documents(number, doc)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(number),
-                    pa.array(doc),
-                    pa.array(part.column(1).to_numpy()[row[place]]),
-                    pa.array((place - words.first[row[place]]).astype(np.int32)),
-                    pa.array(least),
-                ],
-                names=["window", "doc_id", "text_hash", "place", "least"],
-            )
+def _keys(texts: pa.RecordBatch, _: pa.Table) -> Iterator[pa.RecordBatch]:
+    """(key, doc_id, shared, least): distinct keys of each document; shared as known here."""
+    words = word_reader().read(texts.column(1))
+    at = anchors(words)
+    key = words.windows_at(at, KEY) >> np.uint64(64 - KEY_BITS)
+    named = texts.column(0).is_valid().to_numpy(zero_copy_only=False)[words.row()[at]]
+    at, key = at[named], key[named]
+    doc = texts.column(0).fill_null(0).to_numpy()[words.row()[at]]
+    order = np.lexsort((doc, key))
+    once = np.ones(len(order), bool)
+    once[1:] = (key[order][1:] != key[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+    kept = np.sort(order[once])  # rows of a document stay together and compress
+    key, doc = key[kept], doc[kept]
+    least, shared = least_documents(key, doc)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(key.astype(np.int64)), pa.array(doc), pa.array(shared), pa.array(least)],
+        names=["key", "doc_id", "shared", "least"],
+    )
+
+
+def _rows_of(found: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """(row of the texts, value) of a list column of findings, one pair for each value."""
+    lists = found[name].combine_chunks()
+    counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+    return np.repeat(found["row"].to_numpy(), counts), lists.flatten().to_numpy()
+
+
+def _windows(texts: pa.RecordBatch, found: pa.Table) -> Iterator[pa.RecordBatch]:
+    """(window, doc_id, chunk, row, place, least) near the shared keys of documents."""
+    words = word_reader().read(texts.column(1))
+    row, at = words.row(), anchors(words)
+    key = (words.windows_at(at, KEY) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+    at = at[_contains(*_rows_of(found, "keys"), row[at], key)]
+    n = len(words.number)
+    marks = np.zeros(n + 1, np.int64)  # windows from REACH before an anchor up to it
+    np.add.at(marks, np.maximum(at - REACH, words.first[row[at]]), 1)
+    np.add.at(marks, at + 1, -1)
+    near = np.flatnonzero(np.cumsum(marks)[:n] > 0)
+    place = near[near + WINDOW <= words.first[1:][row[near]]]
+    number = words.windows_at(place, WINDOW).astype(np.int64)
+    doc = texts.column(0).fill_null(0).to_numpy()[row[place]]
+    least, _ = least_documents(number, doc)
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(number),
+            pa.array(doc),
+            pa.array(np.full(len(place), found["chunk"][0].as_py())),
+            pa.array(row[place].astype(np.int32)),
+            pa.array((place - words.first[row[place]]).astype(np.int32)),
+            pa.array(least),
+        ],
+        names=["window", "doc_id", "chunk", "row", "place", "least"],
+    )
 
 
 def _contains(owner: np.ndarray, known: np.ndarray, row: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -146,40 +146,35 @@ def _contains(owner: np.ndarray, known: np.ndarray, row: np.ndarray, key: np.nda
     return np.isin(salt(row, key), salt(owner, known))
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n_words, n_removed, kept) from texts, covered places and the copy mark."""
-    reader = WordReader()
-    for batch in batches:
-        for part in slices(batch, 1, TOGETHER):
-            words = reader.read(part.column(1))
-            row, n = words.row(), len(words.number)
-            places = part.column(2)
-            owner = np.repeat(np.arange(len(places)), np.diff(places.offsets.to_numpy()))
-            at = words.first[owner] + places.flatten().to_numpy()
-            marks = np.zeros(n + 1, np.int64)
-            np.add.at(marks, at, 1)
-            np.add.at(marks, at + WINDOW, -1)
-            count = np.diff(words.first)
-            copy = np.array(part.column(3).to_pylist(), bool) & (count >= WINDOW)
-            removed = (np.cumsum(marks)[:n] > 0) | copy[row]
-            total = np.append(0, np.cumsum(removed))
-            gone = total[words.first[1:]] - total[words.first[:-1]]
-            data, keep = words.data.tobytes(), np.flatnonzero(~removed)
-            pieces = [data[a:b] for a, b in zip(words.start[keep].tolist(), words.end[keep].tolist())]
-            ends = np.searchsorted(keep, words.first)
-            texts = [b" ".join(pieces[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(count), pa.array(gone), pa.array(texts, pa.binary()).cast(pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept"],
-            )
-
-
-def whole_copies(texts: DataFrame) -> DataFrame:
-    """(doc_id, text_hash) of documents whose whole text a smaller doc_id has as well."""
-    rows = texts.select("doc_id", "text_hash", F.xxhash64("text", F.lit(1)).alias("_h"))
-    least = rows.groupBy("text_hash", "_h").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most"))
-    several = least.where("_least < _most").drop("_most")
-    return rows.join(several, ["text_hash", "_h"]).where("doc_id > _least").select("doc_id", "text_hash").distinct()
+def _kept(texts: pa.RecordBatch, found: pa.Table) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n_words, n_removed, kept) from texts, covered places and whole copies."""
+    words = word_reader().read(texts.column(1))
+    row, n, count = words.row(), len(words.number), np.diff(words.first)
+    owner, place = _rows_of(found, "places")
+    marks = np.zeros(n + 1, np.int64)
+    np.add.at(marks, words.first[owner] + place, 1)
+    np.add.at(marks, words.first[owner] + place + WINDOW, -1)
+    copy = np.zeros(len(count), bool)
+    copy[found["row"].to_numpy()[found["copy"].to_numpy()]] = True
+    copy &= count >= WINDOW
+    removed = (np.cumsum(marks)[:n] > 0) | copy[row]
+    total = np.append(0, np.cumsum(removed))
+    gone = total[words.first[1:]] - total[words.first[:-1]]
+    data, keep = words.data.tobytes(), np.flatnonzero(~removed)
+    pieces = [data[a:b] for a, b in zip(words.start[keep].tolist(), words.end[keep].tolist())]
+    ends = np.searchsorted(keep, words.first)
+    kept = [b" ".join(pieces[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+    yield pa.RecordBatch.from_arrays(
+        [texts.column(0), pa.array(count), pa.array(gone), pa.array(kept, pa.binary()).cast(pa.string())],
+        names=["doc_id", "n_words", "n_removed", "kept"],
+    )
+
+
+def _text_numbers(texts: pa.RecordBatch) -> list[pa.Array]:
+    """128 bits for each text."""
+    digests = [hashlib.blake2b(t.as_buffer(), digest_size=16).digest() for t in texts.column(1)]
+    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    return [pa.array(both[:, 0]), pa.array(both[:, 1])]
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
@@ -191,43 +186,35 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     and is no earlier document; rows of one doc_id don't count as earlier than each
     other. Empty tables give empty results.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    named = rows.where("doc_id is not null").withColumn("text_hash", F.xxhash64("text"))
-    copies = stored(whole_copies(named), "copies")
+    chunks = Chunks(documents, _text_numbers, "h1 long, h2 long")
+    named = chunks.refs.where("doc_id is not null")
+    # Documents whose whole text an earlier one has need no comparison of passages.
+    least = named.groupBy("h1", "h2").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most"))
+    several = least.where("_least < _most").drop("_most")
+    copies = named.join(several, ["h1", "h2"]).where("doc_id > _least").select("chunk", "row")
+    copies = stored(copies, "copies")
 
-    # Rows that are not of the least document of their task's batch are shared for sure.
-    # A group of equal keys gets one document of each batch; the others are groups of
-    # their own, so no frequent passage makes a large group.
+    # Rows that are not of the least document of their chunk are shared for sure. A group
+    # of equal keys gets one document of each chunk; the others are groups of their own,
+    # so no frequent passage makes a large group.
     apart = F.when(F.col("least"), F.lit(None)).otherwise(F.col("doc_id"))
-    keys = named.select("doc_id", "text").mapInArrow(
-        _keys, "key long, doc_id long, shared boolean, least boolean"
-    )
+    keys = chunks.map(chunks.every(), _keys, "key long, doc_id long, shared boolean, least boolean")
     by_key = Window.partitionBy("key", apart)
     meets = F.min("doc_id").over(by_key) < F.max("doc_id").over(by_key)
     shared = keys.withColumn("_shared", F.col("shared") | meets).where("_shared")
     known = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-    whole = copies.groupBy("doc_id").agg(F.collect_set("text_hash").alias("_whole"))
-    at_keys = (
-        named.join(known.join(whole, "doc_id", "left"), "doc_id")
-        .where("_whole is null or not array_contains(_whole, text_hash)")
-        .select("doc_id", "text_hash", "text", "keys")
-    )
-    windows = at_keys.mapInArrow(
-        _windows, "window long, doc_id long, text_hash long, place int, least boolean"
-    )
+    originals = named.select("chunk", "row", "doc_id").join(copies, ["chunk", "row"], "left_anti")
+    found = originals.join(known, "doc_id").select("chunk", "row", "keys")
+    schema = "window long, doc_id long, chunk long, row int, place int, least boolean"
+    windows = chunks.map(found, _windows, schema)
     by_window = Window.partitionBy("window", apart)
     earlier = ~F.col("least") | (F.col("doc_id") > F.min("doc_id").over(by_window))
     covered = windows.withColumn("_covered", earlier).where("_covered")
-    places = covered.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("places"))
-    marked = (
-        rows.withColumn("text_hash", F.xxhash64("text"))
-        .join(places, ["doc_id", "text_hash"], "left")
-        .join(copies.withColumn("copy", F.lit(True)), ["doc_id", "text_hash"], "left")
-        .select(
-            "doc_id",
-            "text",
-            F.coalesce("places", F.array().cast("array<int>")).alias("places"),
-            F.coalesce("copy", F.lit(False)).alias("copy"),
-        )
+    places = covered.groupBy("chunk", "row").agg(F.collect_list("place").alias("places"))
+    nothing = F.lit(None).cast("array<int>")
+    marks = (
+        places.withColumn("copy", F.lit(False))
+        .unionByName(copies.withColumns({"places": nothing, "copy": F.lit(True)}))
+        .unionByName(chunks.every().withColumns({"places": nothing, "copy": F.lit(False)}))
     )
-    return marked.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string")
+    return chunks.map(marks, _kept, "doc_id long, n_words long, n_removed long, kept string")

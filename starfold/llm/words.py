@@ -120,6 +120,16 @@ class WordReader:
         return out
 
 
+_READERS: dict[bool, WordReader] = {}
+
+
+def word_reader(lower: bool = False) -> WordReader:
+    """A reader that calls in the same task share."""
+    if lower not in _READERS:
+        _READERS[lower] = WordReader(lower)
+    return _READERS[lower]
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int):
     """The batch in parts of consecutive rows whose texts have about ``size`` bytes."""
     lengths = np.array(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0))
