@@ -15,7 +15,7 @@ from starfold.plans import fixtures, importer
 from starfold.plans.fixtures import Tables, spread
 from starfold.plans.store import Store
 from starfold.session import fresh_dir, materialise
-from starfold.sources import archives, csv_files, inventory, lookup
+from starfold.sources import archives, csv_files, inventory, lookup, manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,17 +154,24 @@ def inventory_scan(t: Tables) -> DataFrame:
 
 @query
 def latest_state(t: Tables) -> DataFrame:
-    return merge.latest_state(fixtures.manifest_log(t), "dataset_code", "line", ["state"], ["expected_size"])
+    """The log is written as JSON lines; its time stamps are the places of the lines."""
+    log = fixtures.manifest_log(t).withColumn("updated_at", F.lpad(F.col("line").cast("string"), 20, "0"))
+    path = fresh_dir(t.spark, "manifest")
+    log.select("dataset_code", "state", F.col("expected_size").cast("string").alias("expected_size"), "updated_at").write.json(path)
+    states = manifest.carried_states(manifest.read_log(t.spark, path), "updated_at")
+    kinds = dict(log.dtypes)
+    names = ("dataset_code", "state", "expected_size")
+    return states.select(*[F.col(c).cast(kinds[c]).alias(c) for c in names])
 
 
 @query
 def flag_legend(t: Tables) -> DataFrame:
     key = F.col("o_orderkey")
     rows = t.orders.select(
-        F.when(key % 11 != 0, F.col("o_orderstatus")).alias("flag_code"),
-        F.concat("o_orderstatus", F.lit(" "), "o_orderpriority").alias("description"),
+        F.when(key % 11 != 0, F.col("o_orderstatus")).alias("Flag"),
+        F.concat("o_orderstatus", F.lit(" "), "o_orderpriority").alias("Description"),
     )
-    return merge.flag_legend(lookup.legend_rows(rows), "OR")
+    return lookup.read_flag_legend(t.spark, _write_csv(rows, "legend"), "OR")
 
 
 @query
@@ -334,7 +341,9 @@ def _area_dimension(t: Tables) -> DataFrame:
 
 @query
 def classify_areas(t: Tables) -> DataFrame:
-    return enrich.classify_areas(_area_dimension(t), fixtures.lookup(t))
+    """The curated lookup is written as a CSV file and read back."""
+    curated = lookup.read_lookup(t.spark, _write_csv(fixtures.lookup(t), "lookup"))
+    return enrich.classify_areas(_area_dimension(t), curated)
 
 
 @query

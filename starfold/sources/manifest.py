@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from starfold.operators.merge import latest_state
 
 # The fields of a manifest line.
-# Fixed values of the contract.
 SCHEMA = """
     dataset_code string, state string, archive_path string, archive_sha256 string,
     url string, expected_size string, expected_rows bigint, attempts bigint,
