@@ -27,13 +27,13 @@ ship_by_value(__name__)
 
 #: Documents that the scorer is trained on, at most: so many that annotators saw, and a
 #: quarter as many others.
-SAMPLE = 12_000
+SAMPLE = 8_000
 #: Features; shapes have the first SHAPES of them.
 FEATURES, SHAPES = 1 << 18, 32
 #: A word counts if so many documents of the sample have it.
 LEAST_DOCUMENTS = 8
 STEM = 4
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 
 # Words of the two insult labellers.
 INSULTS = "clown fool idiot idiots jerk loser losers moron morons scum".split()
@@ -254,10 +254,8 @@ def fit_scorer(row: np.ndarray, feature: np.ndarray, value: np.ndarray, target:
     documents count. Chance targets are used as they are.
     """
     n = len(target)
-    seen = np.bincount(feature, minlength=FEATURES)
-    kept = (feature < SHAPES) | (seen[feature] >= LEAST_DOCUMENTS)
-    row, feature, value = row[kept], feature[kept], value[kept]
-    columns, at = np.unique(feature, return_inverse=True)
+    columns = np.flatnonzero(np.bincount(feature, minlength=FEATURES))
+    at = (np.cumsum(np.bincount(columns, minlength=FEATURES)) - 1).astype(np.int32)[feature]
     bad = max(target.sum(), 1e-9)
     weight = target / (2 * bad) + (1 - target) / (2 * max(n - target.sum(), 1e-9))
     # Each feature is scaled by its own curvature, so that common ones don't slow rare ones.
@@ -301,10 +299,12 @@ def train(documents: DataFrame, voted: DataFrame, models: dict[str, LabelModel],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, parts, targets, n = FeatureReader(), [], {name: [] for name in TASKS}, 0
+        seen = np.zeros(FEATURES, np.int64)
         for batch in batches:
             for part in slices(batch, 0, TOGETHER):
                 row, feature, value, f = reader.sparse(part.column(0))
-                parts.append((row + n, feature, value))
+                seen += np.bincount(feature, minlength=FEATURES)
+                parts.append(((row + n).astype(np.int32), feature.astype(np.int32), value.astype(np.float32)))
                 n += len(f.count)
                 for i, name in enumerate(TASKS):
                     votes = part.column(i + 1).to_numpy()
@@ -313,13 +313,15 @@ def train(documents: DataFrame, voted: DataFrame, models: dict[str, LabelModel],
                     targets[name].append(np.where(silent, -1, models[name].posterior(votes)))
         if not n:
             return
-        row, feature, value = (np.concatenate(x) for x in zip(*parts))
+        # Rare words, most of all, go before the parts become one.
+        usual = (np.arange(FEATURES) < SHAPES) | (seen >= LEAST_DOCUMENTS)
         for number, name in enumerate(TASKS):
             target = np.concatenate(targets[name])
             told = target >= 0
-            chosen = told[row]
-            place = np.cumsum(told) - 1
-            weights = fit_scorer(place[row[chosen]], feature[chosen], value[chosen], target[told])
+            place = (np.cumsum(told) - 1).astype(np.int32)
+            chosen = [told[r] & usual[f] for r, f, _ in parts]
+            row, feature, value = (np.concatenate([x[i][c] for x, c in zip(parts, chosen)]) for i in range(3))
+            weights = fit_scorer(place[row], feature, value, target[told])
             used = np.flatnonzero(weights)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(used), number)), pa.array(used), pa.array(weights[used])],
