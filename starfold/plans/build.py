@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import platform
+import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 import pyspark
@@ -16,13 +17,15 @@ from starfold.functions.cells import archive_name, content_hash, size_in_bytes
 from starfold.operators import audit, enrich
 from starfold.operators.merge import upsert
 from starfold.operators.reduce import Years
-from starfold.plans.importer import ImportResult, import_archive
+from starfold.plans.importer import ImportResult, fact_table, import_archive
 from starfold.plans.store import Store
 from starfold.session import materialise, small_frame
+from starfold.sources import manifest
 from starfold.sources.archives import audit_archives
 from starfold.sources.lookup import read_lookup
 
 # Columns and types of the provenance tables.
+MANIFEST = "meta_manifest"
 DATASETS, BUILDS, AREAS = "meta_dataset", "meta_build", "area_classification"
 OUTCOME_SCHEMA = "dataset_code string, rows_imported bigint, source_csv_rows bigint, import_status string"
 BUILD_SCHEMA = """
@@ -37,6 +40,7 @@ class BuildResult:
     build_id: str
     imported: dict[str, ImportResult] = field(default_factory=dict)
     failed: dict[str, str] = field(default_factory=dict)
+    skipped: tuple[str, ...] = ()
 
 
 def _archives(inventory: DataFrame, folder: str) -> DataFrame:
@@ -47,6 +51,30 @@ def _archives(inventory: DataFrame, folder: str) -> DataFrame:
     return materialise(located.join(checked, "archive", "left"), "archives")
 
 
+def _note(store: Store, *changes: dict) -> None:
+    """Append one line for each change of state; what a change leaves out keeps its value."""
+    rows = [
+        tuple({**change, "updated_at": f"{time.time_ns():020d}"}.get(f) for f in ["dataset_code", *manifest.FIELDS])
+        for change in changes
+    ]
+    if rows:
+        store.append(MANIFEST, small_frame(store.spark, rows, manifest.SCHEMA))
+
+
+def states(store: Store) -> DataFrame:
+    """Latest state of every dataset that any build of the store has seen."""
+    return manifest.carried_states(store.read(MANIFEST), "updated_at")
+
+
+def _unchanged(store: Store, archives: DataFrame) -> set[str]:
+    """Datasets that are imported from just these bytes and whose fact is there."""
+    if not store.has(MANIFEST):
+        return set()
+    done = states(store).where("state = 'imported'").select("dataset_code", F.col("archive_sha256").alias("sha256"))
+    same = archives.where("ok").join(done, ["dataset_code", "sha256"]).select("dataset_code").collect()
+    return {r["dataset_code"] for r in same if store.has(fact_table(r["dataset_code"]))}
+
+
 def enrich_areas(store: Store, lookup_path: str, with_validity: bool = True) -> int:
     """(Re)build the area classification from ``dim_area`` and a curated lookup file."""
     if not store.has("dim_area"):
@@ -84,6 +112,18 @@ def _record_datasets(store: Store, archives: DataFrame, outcomes: list[tuple]) -
     store.replace(DATASETS, upsert(store.read(DATASETS), rows, ["dataset_code"]) if store.has(DATASETS) else rows)
 
 
+def _audited_state(row) -> dict:
+    """State of a dataset after the audit of its archive."""
+    bad = "failed" if row["reason"] == "missing" else "zip_invalid"
+    return {
+        "dataset_code": row["dataset_code"],
+        "state": "zip_valid" if row["ok"] else bad,
+        "archive_path": row["archive"],
+        "archive_sha256": row["sha256"],
+        "error": row["reason"],
+    }
+
+
 def build(
     store: Store,
     inventory: DataFrame,
@@ -92,6 +132,7 @@ def build(
     years: Years | None = None,
     keep_raw: bool = False,
     strict: bool = False,
+    resume: bool = False,
     lookup_path: str | None = None,
     command_line: str = "",
 ) -> BuildResult:
@@ -99,19 +140,26 @@ def build(
 
     All archives are audited in one distributed job. Datasets are then imported one by
     one, each as distributed jobs; a failing one is recorded and the build goes on,
-    unless ``strict``. Enrichment is an extra layer, and its failure spoils nothing.
+    unless ``strict``. Every change of a dataset's state is a line of the manifest; with
+    ``resume``, datasets that are imported from the same archive bytes are left alone.
+    Enrichment is an extra layer, and its failure spoils nothing.
     """
     spark, started = store.spark, datetime.now(timezone.utc)
     result = BuildResult(uuid.uuid4().hex)
     archives = _archives(inventory, folder)
     outcomes: list[tuple] = []
-    for row in archives.select("dataset_code", "archive", "ok", "reason").orderBy("dataset_code").collect():
+    found = archives.select("dataset_code", "archive", "ok", "reason", "sha256").orderBy("dataset_code").collect()
+    skipped = _unchanged(store, archives) if resume else set()
+    audited = [r for r in found if r["dataset_code"] not in skipped]
+    _note(store, *[_audited_state(r) for r in audited])
+    for row in audited:
         code, imported, status = row["dataset_code"], None, "imported"
         if not row["ok"]:
             status = "failed" if row["reason"] == "missing" else "zip_invalid"
             result.failed[code] = row["reason"]
         else:
             try:
+                _note(store, {"dataset_code": code, "state": "importing"})
                 imported = import_archive(store, row["archive"], code, years=years, keep_raw=keep_raw)
                 result.imported[code] = imported
                 if strict and not imported.lossless:
@@ -119,6 +167,8 @@ def build(
             except Exception as error:  # recorded with the dataset
                 status = "failed"
                 result.failed[code] = str(error)
+        if row["ok"]:
+            _note(store, {"dataset_code": code, "state": status, "error": result.failed.get(code)})
         rows = (imported.row_count, imported.source_row_count) if imported else (None, None)
         outcomes.append((code, *rows, status))
         if strict and code in result.failed:
@@ -145,7 +195,7 @@ def build(
         }
     )
     store.append(BUILDS, record)
-    return result
+    return replace(result, skipped=tuple(sorted(skipped)))
 
 
 def info(store: Store) -> DataFrame:

@@ -279,6 +279,13 @@ def test_build_records_failures_and_goes_on(spark, store, tmp_path):
     assert set(result.imported) == {"CR"} and set(result.failed) == {"BAD", "GONE"}
     status = {r["dataset_code"]: (r["import_status"], r["rows_imported"]) for r in store.read("meta_dataset").collect()}
     assert status == {"CR": ("imported", 7), "BAD": ("zip_invalid", None), "GONE": ("failed", None)}
+    latest = {r["dataset_code"]: (r["state"], r["error"]) for r in builds.states(store).collect()}
+    assert {c: s for c, (s, _) in latest.items()} == {"CR": "imported", "BAD": "zip_invalid", "GONE": "failed"}
+    assert latest["GONE"][1] == "missing" and latest["BAD"][1].startswith("bad zip")
+    log = store.read("meta_manifest").where("dataset_code = 'CR'").orderBy("updated_at").collect()
+    assert [r["state"] for r in log] == ["zip_valid", "importing", "imported"]
+    resumed = builds.build(store, listed.where("dataset_code = 'CR'"), str(tmp_path), resume=True)
+    assert resumed.skipped == ("CR",) and not resumed.imported and not resumed.failed
     summary = builds.info(store).first()
     assert (summary["datasets_imported"], summary["datasets_failed"]) == (1, 2)
     assert builds.problems(store).count() == 0
@@ -289,7 +296,7 @@ def test_build_records_failures_and_goes_on(spark, store, tmp_path):
     assert set(again.imported) == {"BAD"}
     reopened = Store(spark, store.root)
     assert reopened.read("meta_dataset").where("import_status = 'imported'").count() == 2
-    assert reopened.read("meta_build").count() == 2
+    assert reopened.read("meta_build").count() == 3
     before, after = reopened.compact("data_cr")
     assert 0 < after <= before and reopened.read("data_cr").count() == 7
 
