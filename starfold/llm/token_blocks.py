@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,8 @@ from starfold.session import ship_by_value
 ship_by_value(__name__)
 
 END_ID = 0
-#: Words that a task remembers the ids of, before it starts anew.
-REMEMBERED = 500_000
+#: Words that a worker remembers the ids of, before it starts anew.
+REMEMBERED = 1_200_000
 #: Documents that are tokenised together.
 TOGETHER = 256
 READ = pa.schema(
@@ -37,15 +39,30 @@ READ = pa.schema(
 READ_SQL = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+class _Numbers(dict):
+    """Numbers for keys in the order of their first use; ``new`` are those since the last look."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+
 class Encoder:
     """Ids of whole texts from a byte-level BPE file, with words looked up once.
 
     The file's pre-tokeniser starts a new piece at every single space, and BPE never
     crosses pieces. So the ids of a text without two white-space characters in a row are
     those of its words, each with the space before it. Other texts are encoded whole.
+    In the same way, letters and the punctuation after them are pieces of their own.
     """
 
     two_spaces = re.compile(r"\s\s")
+    punctuation = ".,;!?|"
 
     def __init__(self, path: str):
         # One task is one thread; Spark runs as many as there are cores.
@@ -55,27 +72,77 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         # The text of a special token inside a document is ordinary text.
         self.library.encode_special_tokens = True
-        self.spaced: dict[str, list[int]] = {}
-        self.first: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """``ids`` of word i are those from ``start[i]`` on, ``length[i]`` of them."""
+        self.numbers, self.tails = _Numbers(), {}
+        self.ids = np.empty(0, np.uint32)
+        self.start = self.length = np.empty(0, np.int64)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, known: dict, words: set[str], before: str) -> None:
-        new = list(words.difference(known))
-        known.update(zip(new, self._encode([before + w for w in new])))
+    def _learn(self) -> None:
+        """Find the ids of all words that have got a number since the last time.
+
+        A word of letters with punctuation after it is its letters, a word as well, and
+        the punctuation. The first word of a text has no space before it; its key is a
+        tuple.
+        """
+        base, new = len(self.length), self.numbers.new
+        single, joined = {}, {}
+        for number, key in enumerate(new, base):  # grows by the words of letters
+            word = key[0] if isinstance(key, tuple) else key
+            letters = word.rstrip(self.punctuation)
+            if len(letters) < len(word) and letters.isalpha():
+                own = self.numbers[letters if word is key else (letters,)]
+                joined[number] = own, word[len(letters) :]
+            else:
+                single[number] = " " + word if word is key else word
+        self.numbers.new = []
+        unknown = list({tail for _, tail in joined.values()}.difference(self.tails))
+        self.tails.update(zip(unknown, self._encode(unknown)))
+        found = dict(zip(single, self._encode(list(single.values()))))
+        for number, (own, tail) in joined.items():
+            at = self.start[own] if own < base else 0
+            letters = self.ids[at : at + self.length[own]].tolist() if own < base else found[own]
+            found[number] = letters + self.tails[tail]
+        ids = [found[number] for number in range(base, base + len(new))]
+        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.start = np.append(self.start, len(self.ids) + np.cumsum(length) - length)
+        self.length = np.append(self.length, length)
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(ids), np.uint32))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.spaced) + len(self.first) > REMEMBERED:
-            self.spaced, self.first = {}, {}
+        """The ids of each text, with the end id."""
+        if len(self.numbers) > REMEMBERED:
+            self._forget()
         whole = [i for i, t in enumerate(texts) if self.two_spaces.search(t)]
-        ids = dict(zip(whole, self._encode([texts[i] for i in whole])))
-        words = {i: t.split(" ") for i, t in enumerate(texts) if i not in ids}
-        self._learn(self.spaced, set(chain.from_iterable(w[1:] for w in words.values())), " ")
-        self._learn(self.first, {w[0] for w in words.values()}, "")
-        for i, w in words.items():
-            ids[i] = chain(self.first[w[0]], chain.from_iterable(map(self.spaced.__getitem__, w[1:])))
-        return [np.fromiter(chain(ids[i], (END_ID,)), np.uint32) for i in range(len(texts))]
+        found = dict(zip(whole, self._encode([texts[i] for i in whole])))
+        split = {i: t.split(" ") for i, t in enumerate(texts) if i not in found}
+        number = self.numbers.__getitem__
+        words = np.fromiter(
+            chain.from_iterable(chain((number((w[0],)),), map(number, w[1:])) for w in split.values()),
+            np.int64,
+        )
+        self._learn()
+        length = self.length[words]
+        ends = np.cumsum(length)
+        at = np.repeat(self.start[words] - ends + length, length)
+        ids = self.ids[at + np.arange(len(at))]
+        bounds = np.append(0, ends)[np.cumsum([len(w) for w in split.values()])] if split else []
+        found.update(zip(split, np.split(ids, bounds[:-1] if split else [])))
+        return [np.append(np.asarray(found[i], np.uint32), np.uint32(END_ID)) for i in range(len(texts))]
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: later tasks know the words of earlier ones."""
+    state = sys.modules.setdefault("starfold_worker_state", ModuleType("starfold_worker_state"))
+    known = state.__dict__.setdefault("encoders", {})
+    if path not in known:
+        known[path] = Encoder(path)
+    return known[path]
 
 
 def shard_name(number: int) -> str:
@@ -84,14 +151,14 @@ def shard_name(number: int) -> str:
 
 def _write_shard(folder: str, tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, encoder = TaskContext.get().partitionId(), Encoder(tokenizer)
+        number, own = TaskContext.get().partitionId(), encoder(tokenizer)
         with whole_file(folder, shard_name(number)) as out:
             writer = ShardWriter(out)
             for batch in batches:
                 for first in range(0, batch.num_rows, TOGETHER):
                     part = batch.slice(first, TOGETHER)
                     texts = [t or "" for t in part.column(1).to_pylist()]
-                    for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
+                    for doc_id, ids in zip(part.column(0).to_pylist(), own.encode(texts)):
                         writer.add(doc_id, ids)
             writer.close()
         yield pa.RecordBatch.from_pydict({"shard": [number], "ids": [writer.total]})
