@@ -152,4 +152,6 @@ def search(documents: DataFrame, items: DataFrame, least: float = LEAST) -> Data
 def decontaminate(documents: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """The documents that hold no benchmark item; a null doc_id stays. Columns stay as they are."""
     hit = search(documents, items, least).select(F.col("doc_id").alias("_hit")).distinct()
+    # Written first: with a known size, few ids are broadcast and no text moves.
+    hit = stored(hit, "hit")
     return documents.join(hit, F.col("doc_id") == F.col("_hit"), "left_anti")

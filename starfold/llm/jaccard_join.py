@@ -6,8 +6,9 @@ each still leaves one in common. These short inverted lists, of the shingles tha
 over all documents, give the candidates; how rare is read from counts of all shingles in
 a fixed number of buckets, which only orders shingles and so cannot lose a link.
 
-Lists never become all their pairs. Each list first links its documents to its least one;
-what these links, once verified, do not bring into one component meets in a second round
+A pair must share T less the left-out lists of these short lists; most that have a
+passage in common do not. Lists never become all their pairs. Each list first links its
+documents to its least one; what these links, once verified, do not bring into one component meets in a second round
 as one document of each component, and only documents of a list that are in different
 components even then are compared one by one. Candidates of a document are verified in
 cells of bounded size by DivideSkip over the whole sets: short lists are merged on a
@@ -239,6 +240,11 @@ class Verifier:
         return stored(cells.mapInArrow(_verified, "a long, b long"), "links")
 
 
+    def close(self) -> None:
+        """Forget the table's name; links that were found are files of their own."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reader = WordReader(lower=True)
     cell, query, docs, sets = None, None, [], []
@@ -279,16 +285,26 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _in_order(a: str, b: str) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _candidates(met: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (a, an, b, bn), one row for each common short list, that can link.
+
+    Of the set whose short lists end first, enough - 1 shingles are in none; so as many at
+    most can be common without being counted here, and the count must reach T less these.
+    """
+    shared = met.groupBy("a", "b").agg(F.count("*").alias("_c"), F.max("an").alias("an"), F.max("bn").alias("bn"))
+    long = F.expr("(3 * greatest(an, bn) + 3) div 4 - 1")
+    needed = F.expr("(3 * (an + bn) + 6) div 7")
+    return shared.where(F.col("_c") >= needed - long).select("a", "b")
 
 
 def _stars(lists: DataFrame, keys: list[str]) -> DataFrame:
-    """(a, b): each list's documents with its least one, where their sizes allow a link."""
+    """(a, an, b, bn): each list's documents with its least one, where sizes allow a link."""
     first = lists.groupBy(*keys).agg(F.min(F.struct("doc", "n")).alias("_f"), F.max("doc").alias("_m"))
     first = first.where("_f.doc < _m").drop("_m")
     pairs = lists.join(first, keys).where(F.col("doc") > F.col("_f.doc"))
-    return pairs.where(sizes_fit("n", "_f.n")).select(F.col("_f.doc").alias("a"), F.col("doc").alias("b"))
+    return pairs.where(sizes_fit("n", "_f.n")).select(
+        F.col("_f.doc").alias("a"), F.col("_f.n").alias("an"), F.col("doc").alias("b"), F.col("n").alias("bn")
+    )
 
 
 def near_copies(documents: DataFrame) -> DataFrame:
@@ -328,7 +344,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     band = ["token", "band", "salt"]
     first = lists.groupBy(*band).agg(F.min(F.struct("doc", "n")).alias("_f"))
     heads = first.select("token", F.col("_f.doc").alias("doc"), F.col("_f.n").alias("n"))
-    tried = stored(_stars(lists, band).union(_stars(heads, ["token"])).distinct(), "tried")
+    tried = stored(_candidates(_stars(lists, band).union(_stars(heads, ["token"]))), "tried")
     links = verifier.links(tried)
     of_doc = connected(links)
 
@@ -336,12 +352,14 @@ def near_copies(documents: DataFrame) -> DataFrame:
     placed = _placed(lists, of_doc)
     heads = placed.groupBy("token", "component").agg(F.min(F.struct("doc", "n")).alias("_f"))
     heads = heads.select("token", F.col("_f.doc").alias("doc"), F.col("_f.n").alias("n"))
-    again = stored(_stars(heads, ["token"]).distinct().join(tried, ["a", "b"], "left_anti"), "again")
+    again = _candidates(_stars(heads, ["token"])).join(tried, ["a", "b"], "left_anti")
+    again = stored(again, "again")
     links = links.union(verifier.links(again))
     of_doc = connected(links)
 
     # Last round: whatever is still apart in a list, pair by pair, but for the pairs inside
-    # the list's largest component and those already tried.
+    # the list's largest component and those already tried. Two documents of different
+    # components meet once in each of their common lists, so the count is exact here.
     placed = _placed(lists, of_doc)
     sizes = placed.groupBy("token", "component").agg(F.count("*").alias("_n"))
     largest = sizes.groupBy("token").agg(
@@ -355,9 +373,12 @@ def near_copies(documents: DataFrame) -> DataFrame:
     met = apart.join(others, "token").where(
         (F.col("component") != F.col("xc")) & (F.col("_big") | (F.col("x") < F.col("doc"))) & sizes_fit("n", "xn")
     )
-    rest = met.select(*_in_order("x", "doc")).distinct()
-    rest = rest.join(tried, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti")
+    least = F.col("x") < F.col("doc")
+    ends = {"a": ("x", "doc"), "b": ("doc", "x"), "an": ("xn", "n"), "bn": ("n", "xn")}
+    met = met.select(*[F.when(least, F.col(u)).otherwise(F.col(v)).alias(c) for c, (u, v) in ends.items()])
+    rest = _candidates(met).join(tried, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti")
     links = links.union(verifier.links(stored(rest, "rest")))
+    verifier.close()
     of_doc = connected(links)
 
     of_class = classes.join(of_doc, F.col("rep") == F.col("id"), "left").select(
@@ -385,4 +406,6 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     """
     found = near_copies(documents)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    # Written first: with a known size, few ids are broadcast and no text moves.
+    gone = stored(gone, "gone")
     return documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -204,7 +204,8 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     shared = keys.withColumn("_shared", F.col("shared") | meets).where("_shared")
     known = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     originals = named.select("chunk", "row", "doc_id").join(copies, ["chunk", "row"], "left_anti")
-    found = originals.join(known, "doc_id").select("chunk", "row", "keys")
+    # Keys grow with the corpus; the planner must not take them for a small side.
+    found = originals.join(known.hint("merge"), "doc_id").select("chunk", "row", "keys")
     schema = "window long, doc_id long, chunk long, row int, place int, least boolean"
     windows = chunks.map(found, _windows, schema)
     by_window = Window.partitionBy("window", apart)
