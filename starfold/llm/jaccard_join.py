@@ -133,8 +133,8 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _frequency(counts: DataFrame) -> tuple[np.ndarray, float]:
-    """(class of each bucket, mean count): powers of two above the mean, 0 for usual buckets.
+def _frequency(counts: DataFrame) -> np.ndarray:
+    """A class for each bucket: 1 + log2 of its count above the mean, 0 for usual buckets.
 
     Parts are summed as they stream in; 2^BUCKET_BITS bytes come to the driver, whatever
     the number of documents.
@@ -155,11 +155,13 @@ def _frequency(counts: DataFrame) -> tuple[np.ndarray, float]:
         total[row["part"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
     total = total.ravel().astype(np.float64)
     mean = max(total.mean(), 1.0)
-    frequent = total >= 4 * mean + 16
-    return np.where(frequent, np.log2(np.maximum(total, 1) / mean), 0).astype(np.uint8), mean
+    # Usual buckets differ by chance, about as the root of their mean; more is one shingle's.
+    excess = total - mean
+    frequent = excess > 6 * math.sqrt(mean) + 4
+    return np.where(frequent, np.log2(np.maximum(excess, 1)) + 1, 0).astype(np.uint8)
 
 
-def _short_lists(frequency, mean: float):
+def _short_lists(frequency):
     """Task function: (token, doc, n, band, salt, split) for the rarest shingles of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +182,7 @@ def _short_lists(frequency, mean: float):
                     own, kept = level[s >> np.uint64(64 - BUCKET_BITS)], len(s) - enough(len(s)) + 1
                     order = np.argsort(own, kind="stable")[:kept] if own.any() else slice(kept)
                     own = own[order].astype(np.float64)
-                    spread = np.where(own > 0, np.maximum(mean * np.exp2(own) / LIST, 1), 1).astype(np.uint64)
+                    spread = np.maximum(np.exp2(own) / LIST, 1).astype(np.uint64)
                     tokens.append(s[order])
                     split.append(spread > 1)
                     salts.append(mixed(np.uint64([doc & (2**63 - 1)])) % spread)
@@ -319,7 +321,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     schema = "doc_id long, n long, h1 long, h2 long, part int, counts binary"
     scanned = stored(rows.mapInArrow(_set_rows, schema), "sets")
     sets = scanned.where("part is null").drop("part", "counts")
-    level, mean = _frequency(scanned.where("part is not null").select("part", "counts"))
+    level = _frequency(scanned.where("part is not null").select("part", "counts"))
 
     named = sets.where("doc_id is not null and n > 0")
     of_set = ["n", "h1", "h2"]
@@ -329,7 +331,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     # A fixed four megabytes.
     frequency = spark.sparkContext.broadcast(level)
     tokens = rows.where("doc_id is not null").mapInArrow(
-        _short_lists(frequency, mean), "token long, doc long, n int, band int, salt int, split boolean"
+        _short_lists(frequency), "token long, doc long, n int, band int, salt int, split boolean"
     )
     by_list = Window.partitionBy("token", "salt")
     several = (F.min("doc").over(by_list) < F.max("doc").over(by_list)) | F.col("split")
