@@ -1,15 +1,22 @@
 """Mixing sources to target weights by a low-discrepancy schedule; DataFrame functions only.
 
-A schedule of slots, each worth one block of words, is dealt to the sources: slot i maps
-to the point frac(i / golden ratio), the point to the source whose share of the
-cumulative weights holds it. Any run of slots so has nearly the right shares. The slots
-of a source are ranked; rank r takes block r mod blocks of the source, whose documents
-lie in a shuffled order end to end, cut into blocks of equally many words. When the
-ranks are more than the blocks, the blocks come again.
+The documents of a source lie in a shuffled order end to end, cut into blocks of its own:
+as few as hold at most ``block`` words each, all of one size but for a word. A source has
+as many slots as its target takes blocks, and the last one takes the part of a block that
+is left, so every source gets its target to the word. Slot i maps to the point
+i * g mod slots, with g near slots / golden ratio and prime to slots; the point to the
+source in whose run of points it lies. Any run of slots so has nearly the right shares,
+and all of them exactly. The slots of a source are ranked; rank r takes block r mod
+blocks. When the ranks are more than the blocks, the blocks come again.
+
+The SQL of op6_mixing has an older schedule with the same block size for all sources,
+which ``taken_in_fixed_blocks`` follows.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,7 +84,7 @@ def _source_key() -> Column:
 
 
 def schedule(targets: DataFrame, slots: int) -> DataFrame:
-    """(slot, source key, rank): which source has each slot, and which of its slots it is.
+    """(slot, source key, rank) in fixed blocks: which source has each slot, and which of its slots it is.
 
     ``targets`` has _source and target. Ranks come from counts of whole chunks of slots
     and an order inside each chunk, so no task ranks a whole source.
@@ -111,6 +118,11 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
         .where("_point >= _from and _point < _to")
         .select("slot", "_source", F.expr(f"slot div {CHUNK}").alias("_chunk"))
     )
+    return _ranked(dealt)
+
+
+def _ranked(dealt: DataFrame) -> DataFrame:
+    """(slot, source key, rank) of dealt slots."""
     counts = dealt.groupBy("_source", "_chunk").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("_source").orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
@@ -150,7 +162,7 @@ def placed_documents(documents: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def scheduled_blocks(placed: DataFrame, block: int) -> DataFrame:
-    """(_source, _block, turn, slot): the blocks that the schedule takes, and when.
+    """(_source, _block, turn, slot): the fixed blocks that the schedule takes, and when.
 
     There are as many slots as all words fill blocks of ``block`` words. Turn 0 is the
     first pass over a source; a slot beyond MOST passes stays empty.
@@ -174,7 +186,7 @@ def scheduled_blocks(placed: DataFrame, block: int) -> DataFrame:
 
 
 def pieces(placed: DataFrame, block: int) -> DataFrame:
-    """Documents cut at the block bounds of their sources; one of no words is one piece."""
+    """Documents cut at the bounds of fixed blocks; one of no words is one piece."""
     before, size = F.col("size_before"), F.col("size")
     first = F.expr(f"size_before div {block}")
     last = F.expr(f"greatest(size_before + size - 1, size_before) div {block}")
@@ -184,13 +196,103 @@ def pieces(placed: DataFrame, block: int) -> DataFrame:
     return cut.withColumn("from_word", start - before).withColumn("words", end - start)
 
 
-def mixed_order(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataFrame:
-    """The mix itself: (slot, turn, doc_id, source, from_word, words), slot by slot."""
+def taken_in_fixed_blocks(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataFrame:
+    """As ``taken_words``, by the schedule of the SQL of op6_mixing.
+
+    Every slot is charged ``block`` words, also where a source's last block is shorter, and
+    slots of turn MOST and more stay empty. So sources that are small against a block miss
+    their targets, and with many of them the whole falls short.
+    """
     placed = placed_documents(documents, seed)
+    turns = scheduled_blocks(placed, block).groupBy("_source", "_block").agg(
+        F.count("*").alias("_turns")
+    )
     return (
         pieces(placed, block)
+        .join(turns, ["_source", "_block"], "left")
+        .groupBy("_row", "doc_id", "source", "size", "source_size", "target")
+        .agg(F.coalesce(F.sum(F.col("words") * F.col("_turns")), F.lit(0)).alias("taken"))
+        .drop("_row")
+    )
+
+
+def with_turns(placed: DataFrame) -> DataFrame:
+    """Add _full and _rest: a source is taken _full times, and its first _rest words once more.
+
+    The blocks of a source come in turn, so this holds for any size of blocks.
+    """
+    words = F.round("target").cast("long")
+    size = F.greatest("source_size", F.lit(1))
+    return placed.withColumn("_words", words).withColumn("_size", size).withColumns(
+        {"_full": F.expr("_words div _size"), "_rest": F.expr("_words % _size")}
+    ).drop("_words", "_size")
+
+
+def _own_blocks(block: int) -> Column:
+    """Blocks of a source; block j ends before word (j + 1) * source_size div blocks."""
+    return F.expr(f"greatest((source_size + {block - 1}) div {block}, 1)")
+
+
+def _block_of(word: str) -> Column:
+    """The block that holds a word of a source of words."""
+    return F.expr(f"(({word} + 1) * _blocks - 1) div source_size")
+
+
+def even_schedule(placed: DataFrame, block: int) -> DataFrame:
+    """(_source, _block, turn, slot): each source's own blocks, as often as its target takes them."""
+    spark = placed.sparkSession
+    by_name = Window.orderBy("_source").rowsBetween(Window.unboundedPreceding, -1)
+    sources = placed.groupBy("_source").agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target")
+    )
+    part = F.when(F.col("_rest") > 0, _block_of("_rest - 1") + 1).otherwise(0)
+    sources = (
+        with_turns(sources.where("source_size > 0"))
+        .withColumn("_blocks", _own_blocks(block))
+        .withColumn("_slots", F.col("_full") * F.col("_blocks") + part)
+        .where("_slots > 0")
+        .withColumn("_from", F.coalesce(F.sum("_slots").over(by_name), F.lit(0)))
+    )
+    sources = stored(sources.select("_source", "_blocks", "_slots", "_from"), "mix-slots")
+    slots = sources.agg(F.sum("_slots")).first()[0] or 0
+    step = max(1, round(slots * STEP / POINTS))
+    while gcd(step, max(slots, 1)) > 1:
+        step += 1
+    strip = max(1, -(-slots // STRIPS))
+    strips = F.sequence(F.expr(f"_from div {strip}"), F.expr(f"(_from + _slots - 1) div {strip}"))
+    shares = sources.withColumn("_strip", F.explode(strips))
+    points = spark.range(slots).select(
+        F.col("id").alias("slot"), F.expr(f"id * {step} % {max(slots, 1)}").alias("_point")
+    )
+    dealt = (
+        points.withColumn("_strip", F.expr(f"_point div {strip}"))
+        .join(shares, "_strip")
+        .where("_point >= _from and _point < _from + _slots")
+        .select("slot", "_source", F.expr(f"slot div {CHUNK}").alias("_chunk"))
+    )
+    ranked = _ranked(dealt).join(small_if_proven(sources.select("_source", "_blocks")), "_source")
+    return ranked.select(
+        "_source", F.expr("rank % _blocks").alias("_block"), F.expr("rank div _blocks").alias("turn"), "slot"
+    )
+
+
+def mixed_order(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataFrame:
+    """The mix itself: (slot, turn, doc_id, source, from_word, words), slot by slot."""
+    placed = with_turns(placed_documents(documents, seed))
+    cut = (
+        placed.where("size > 0")
+        .withColumn("_blocks", _own_blocks(block))
+        .withColumn("_block", F.explode(F.sequence(_block_of("size_before"), _block_of("size_before + size - 1"))))
+    )
+    start = F.greatest("size_before", F.expr("_block * source_size div _blocks"))
+    end = F.least(F.col("size_before") + F.col("size"), F.expr("(_block + 1) * source_size div _blocks"))
+    # The last turn ends where the target is reached.
+    last = F.when(F.col("turn") == F.col("_full"), F.least(end, "_rest")).otherwise(end)
+    return (
+        cut.join(even_schedule(placed, block), ["_source", "_block"])
+        .withColumn("from_word", start - F.col("size_before"))
+        .withColumn("words", last - start)
         .where("words > 0")
-        .join(scheduled_blocks(placed, block), ["_source", "_block"])
         .select("slot", "turn", "doc_id", "source", "from_word", "words")
     )
 
@@ -199,38 +301,29 @@ def taken_words(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataF
     """(doc_id, source, size, source_size, target, taken) for every row of documents.
 
     ``taken`` counts the words that the mix takes of it, repeats included; a row without
-    words has none. An empty table gives an empty result.
+    words has none. A source's rows together have its target, rounded to a word, whatever
+    ``block`` is. An empty table gives an empty result.
     """
-    placed = placed_documents(documents, seed)
-    turns = scheduled_blocks(placed, block).groupBy("_source", "_block").agg(
-        F.count("*").alias("_turns")
-    )
-    return (
-        pieces(placed, block)
-        .join(turns, ["_source", "_block"], "left")
-        .groupBy("_row", "doc_id", "source", "size", "source_size", "target")
-        .agg(F.coalesce(F.sum(F.col("words") * F.col("_turns")), F.lit(0)).alias("taken"))
-        .drop("_row")
+    once_more = F.greatest(F.least(F.col("size"), F.col("_rest") - F.col("size_before")), F.lit(0))
+    return with_turns(placed_documents(documents, seed)).select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("_full") * F.col("size") + once_more).alias("taken")
     )
 
 
 def mix_documents(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataFrame:
-    """The documents of the mix, each as often as the mix takes the block of its first word.
+    """The documents of the mix, each as often as the mix takes it, rounded to whole documents.
 
-    Whole documents: those cut by a block bound go with their first word, so sources
-    come near their targets. Columns are those of ``documents``. Rows that share a
-    doc_id are repeated equally often. A document without words, or without doc_id,
-    is not in the mix.
+    Only the document across the end of a source's target is rounded, so a source misses
+    its target by half of that document at most. Columns are those of ``documents``. Rows
+    that share a doc_id are repeated equally often. A document without words, or without
+    doc_id, is not in the mix.
     """
-    placed = placed_documents(documents, seed)
-    first = placed.where("size > 0").withColumn("_block", F.expr(f"size_before div {block}"))
-    turns = scheduled_blocks(placed, block).groupBy("_source", "_block").agg(
-        F.count("*").alias("_turns")
-    )
+    placed = with_turns(placed_documents(documents, seed)).where("size > 0")
+    half = (F.col("_rest") - F.col("size_before")) * 2 >= F.col("size")
     copies = (
-        first.join(turns, ["_source", "_block"], "left")
+        placed.withColumn("_turns", F.col("_full") + half.cast("int"))
         .groupBy("doc_id")
-        .agg(F.round(F.sum(F.coalesce("_turns", F.lit(0))) / F.count("*")).cast("int").alias("_n"))
+        .agg(F.round(F.avg("_turns")).cast("int").alias("_n"))
         .where("_n > 0")
         .withColumnRenamed("doc_id", "_mixed_id")
     )

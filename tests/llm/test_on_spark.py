@@ -201,6 +201,36 @@ def test_mix_of_nulls_ties_and_small_sources(spark):
     assert all(abs(words[s] - target) <= 0.1 * target + 100 for s, (target, _) in sources.items())
 
 
+def _long_tail():
+    """A hot source, sources somewhat longer than a block, and sources much shorter."""
+    rows = [(i, "w " * 2000, "hot") for i in range(100)]
+    rows += [(1000 + i, "w " * 1100, f"long{i:03d}") for i in range(180)]
+    return rows + [(2000 + i, "w " * 60, f"short{i % 130:03d}") for i in range(650)]
+
+
+@pytest.mark.parametrize("which", ["sf0.001", "long tail"])
+def test_every_source_gets_its_target_at_the_production_block_size(spark, which):
+    df = documents(spark, _long_tail()) if which == "long tail" else spark.read.parquet(f"/root/testdata/{which}/documents.parquet")
+    rows = mixing.taken_words(df).collect()
+    targets, taken, longest = {r.source: r.target for r in rows}, Counter(), Counter()
+    for r in rows:
+        taken[r.source] += r.taken
+        longest[r.source] = max(longest[r.source], r["size"])
+    assert all(abs(taken[s] - t) <= 0.5 for s, t in targets.items())
+    order = mixing.mixed_order(df).collect()
+    assert len({(r.slot, r.source) for r in order}) == len({r.slot for r in order}) == max(r.slot for r in order) + 1
+    words, by_document = Counter(), Counter()
+    for r in order:
+        words[r.slot] += r.words
+        by_document[r.doc_id] += r.words
+    assert max(words.values()) <= 1024
+    assert by_document == Counter({r.doc_id: r.taken for r in rows if r.taken})
+    whole = Counter()
+    for r in mixing.mix_documents(df).collect():
+        whole[r.source] += len(r.text.split())
+    assert all(abs(whole[s] - t) <= longest[s] / 2 + 1 for s, t in targets.items())
+
+
 def test_nothing_to_mix(spark):
     assert mixing.taken_words(documents(spark, [])).collect() == []
     assert mixing.mix_documents(documents(spark, [])).collect() == []
