@@ -27,13 +27,15 @@ ship_by_value(__name__)
 
 #: Documents that the scorer is trained on, at most: so many that annotators saw, and a
 #: quarter as many others.
-SAMPLE = 8_000
+SAMPLE = 12_000
 #: Features; shapes have the first SHAPES of them.
 FEATURES, SHAPES = 1 << 18, 32
-#: A word counts if so many documents of the sample have it.
+#: A word counts if so many documents of the sample have it, or one that is likely bad.
 LEAST_DOCUMENTS = 8
 STEM = 4
 TOGETHER = 4 << 20
+#: Values of the sample that one step of the fit widens to doubles together.
+AT_ONCE = 1 << 20
 
 # Words of the two insult labellers.
 INSULTS = "clown fool idiot idiots jerk loser losers moron morons scum".split()
@@ -247,29 +249,33 @@ def label_models(voted: DataFrame) -> dict[str, LabelModel]:
     return models
 
 
-def fit_scorer(row: np.ndarray, feature: np.ndarray, value: np.ndarray, target: np.ndarray, rounds: int = 100, penalty: float = 2e-4) -> np.ndarray:
+def fit_scorer(row: np.ndarray, feature: np.ndarray, value: np.ndarray, target: np.ndarray, rounds: int = 100, penalty: float = 2e-4, times: np.ndarray | None = None) -> np.ndarray:
     """Weights and, last, the bias of a logistic scorer with an L1 penalty on words.
 
     Accelerated proximal gradient over all rows; classes weigh alike, so that rare bad
-    documents count. Chance targets are used as they are.
+    documents count. Chance targets are used as they are. ``times`` says how many rows
+    each one stands for.
     """
     n = len(target)
+    times = np.ones(n) if times is None else times
+    parts = [slice(i, i + AT_ONCE) for i in range(0, len(row), AT_ONCE)]
+    summed = lambda key, size, weigh: sum((np.bincount(key[p], weigh(p), size) for p in parts), np.zeros(size))
     columns = np.flatnonzero(np.bincount(feature, minlength=FEATURES))
     at = (np.cumsum(np.bincount(columns, minlength=FEATURES)) - 1).astype(np.int32)[feature]
-    bad = max(target.sum(), 1e-9)
-    weight = target / (2 * bad) + (1 - target) / (2 * max(n - target.sum(), 1e-9))
+    bad, good = times * target, times * (1 - target)
+    weight = bad / (2 * max(bad.sum(), 1e-9)) + good / (2 * max(good.sum(), 1e-9))
     # Each feature is scaled by its own curvature, so that common ones don't slow rare ones.
-    curve = np.bincount(at, weight[row] * value**2, len(columns)) / 4
-    size = np.bincount(row, value > 0, n).max(initial=1)
+    curve = summed(at, len(columns), lambda p: weight[row[p]] * value[p] ** 2) / 4
+    size = summed(row, n, lambda p: value[p] > 0).max(initial=1)
     step = 1 / (np.maximum(curve, 1e-6) * np.sqrt(size) + 1e-6)
     free = columns < SHAPES
     w = z = np.zeros(len(columns))
     b = c = 0.0
     t = 1.0
     for _ in range(rounds):
-        score = np.bincount(row, z[at] * value, n) + c
+        score = summed(row, n, lambda p: z[at[p]] * value[p]) + c
         slope = weight * (1 / (1 + np.exp(-np.clip(score, -50, 50))) - target)
-        new = z - step * np.bincount(at, slope[row] * value, len(columns))
+        new = z - step * summed(at, len(columns), lambda p: slope[row[p]] * value[p])
         new = np.where(free, new, np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0))
         new_b = c - slope.sum()
         next_t = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -280,55 +286,103 @@ def fit_scorer(row: np.ndarray, feature: np.ndarray, value: np.ndarray, target:
     return out
 
 
+def likely_bad(name: str, model: LabelModel, votes: np.ndarray) -> np.ndarray:
+    return (votes != silent_pattern(RULES[name] + 1)) & (model.posterior(votes) > 0.5)
+
+
+def _quotas(counts: dict[int, int], most: int) -> dict[int, int]:
+    """Rows to draw of each kind, at most ``most``: half for likely bad kinds, rare ones whole."""
+    good = counts.get(0, 0)
+    left = min(max(most // 2, most - good), most)
+    quota, kinds = {}, sorted((n, kind) for kind, n in counts.items() if kind)
+    for i, (n, kind) in enumerate(kinds):
+        quota[kind] = min(n, left // (len(kinds) - i))
+        left -= quota[kind]
+    quota[0] = min(good, most - sum(quota.values()))
+    return quota
+
+
+def drawn_sample(voted: DataFrame, models: dict[str, LabelModel], sample: int) -> DataFrame:
+    """(doc_id, junk, insult, times): a bounded sample by a hash of doc_id.
+
+    It is drawn by what is likely: neither, junk, an insult, or both, so that a rare kind
+    is there in numbers. ``times`` weighs the rows back, within those that annotators saw
+    and within the others.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind = np.zeros(batch.num_rows, np.int64)
+            for bit, name in enumerate(TASKS):
+                votes, place = np.unique(batch.column(name).to_numpy(), return_inverse=True)
+                kind |= likely_bad(name, models[name], votes)[place].astype(np.int64) << bit
+            yield batch.append_column("kind", pa.array(kind))
+
+    named = voted.where("doc_id is not null")
+    kinds = stored(named.mapInArrow(run, "doc_id long, seen boolean, junk long, insult long, kind long"), "kinds")
+    groups = ["seen", "kind"]
+    tally = lambda df: {(r["seen"], r["kind"]): r["n"] for r in df.groupBy(*groups).agg(F.count("*").alias("n")).collect()}
+    counts = tally(kinds)
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    drawn = kinds.limit(0)
+    for seen, most in ((True, sample), (False, sample // 4)):
+        own = {kind: n for (s, kind), n in counts.items() if s == seen}
+        for kind, quota in _quotas(own, most).items():
+            if quota:
+                share = int(quota / own[kind] * (1 << 40))
+                drawn = drawn.union(kinds.where((F.col("seen") == seen) & (F.col("kind") == kind) & (draw < share)).limit(quota))
+    chosen = stored(drawn, "sample")
+    got, times = tally(chosen), F.lit(1.0)
+    for (seen, kind), n in got.items():
+        share = sum(m for (s, _), m in got.items() if s == seen) / sum(m for (s, _), m in counts.items() if s == seen)
+        times = F.when((F.col("seen") == seen) & (F.col("kind") == kind), counts[seen, kind] / n * share).otherwise(times)
+    return chosen.withColumn("times", times).drop("seen", "kind").dropDuplicates(["doc_id"])
+
+
 def train(documents: DataFrame, voted: DataFrame, models: dict[str, LabelModel], sample: int = SAMPLE) -> dict[str, np.ndarray]:
-    """A scorer for each task from a bounded sample, drawn by a hash of doc_id.
+    """A scorer for each task from a bounded sample (see ``drawn_sample``).
 
     Only the sample's texts move; one task fits both scorers on them.
     """
-    counts = {r["seen"]: r["n"] for r in voted.groupBy("seen").agg(F.count("*").alias("n")).collect()}
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    drawn = []
-    for seen, most in ((True, sample), (False, sample // 4)):
-        share = min(1.0, most / max(counts.get(seen, 0), 1))
-        rows = voted.where((F.col("seen") == seen) & (draw < int(share * (1 << 20))))
-        drawn.append(rows.limit(most).drop("seen"))
-    chosen = stored(drawn[0].union(drawn[1]), "sample").dropDuplicates(["doc_id"])
+    chosen = drawn_sample(voted, models, sample)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # At most 5/4 * sample narrow rows are broadcast; a text that repeats its id may come again.
     sampled = texts.join(F.broadcast(chosen), "doc_id").limit(2 * sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, parts, targets, n = FeatureReader(), [], {name: [] for name in TASKS}, 0
-        seen = np.zeros(FEATURES, np.int64)
+        reader, parts, targets, times, n = FeatureReader(), [], {name: [] for name in TASKS}, [], 0
+        seen, of_bad = np.zeros(FEATURES, np.int64), {name: np.zeros(FEATURES, bool) for name in TASKS}
         for batch in batches:
             for part in slices(batch, 0, TOGETHER):
                 row, feature, value, f = reader.sparse(part.column(0))
                 seen += np.bincount(feature, minlength=FEATURES)
                 parts.append(((row + n).astype(np.int32), feature.astype(np.int32), value.astype(np.float32)))
                 n += len(f.count)
+                times.append(part.column("times").to_numpy())
                 for i, name in enumerate(TASKS):
                     votes = part.column(i + 1).to_numpy()
                     # A document without any vote teaches nothing.
                     silent = votes == silent_pattern(RULES[name] + 1)
                     targets[name].append(np.where(silent, -1, models[name].posterior(votes)))
+                    of_bad[name][feature[likely_bad(name, models[name], votes)[row]]] = True
         if not n:
             return
-        # Rare words, most of all, go before the parts become one.
-        usual = (np.arange(FEATURES) < SHAPES) | (seen >= LEAST_DOCUMENTS)
         for number, name in enumerate(TASKS):
             target = np.concatenate(targets[name])
             told = target >= 0
+            # Rare words of good documents, most of all, go before the parts become one.
+            usual = (np.arange(FEATURES) < SHAPES) | (seen >= LEAST_DOCUMENTS) | of_bad[name]
             place = (np.cumsum(told) - 1).astype(np.int32)
             chosen = [told[r] & usual[f] for r, f, _ in parts]
             row, feature, value = (np.concatenate([x[i][c] for x, c in zip(parts, chosen)]) for i in range(3))
-            weights = fit_scorer(place[row], feature, value, target[told])
+            weights = fit_scorer(place[row], feature, value, target[told], times=np.concatenate(times)[told])
             used = np.flatnonzero(weights)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(used), number)), pa.array(used), pa.array(weights[used])],
                 names=["task", "feature", "weight"],
             )
 
-    one_task = sampled.select("text", *TASKS).coalesce(1)
+    one_task = sampled.select("text", *TASKS, "times").coalesce(1)
     fitted = one_task.mapInArrow(run, "task long, feature long, weight float").toArrow()
     out = {name: np.zeros(FEATURES + 1, np.float32) for name in TASKS}
     for number, name in enumerate(TASKS):

@@ -260,6 +260,21 @@ def test_classifier_on_edge_cases(spark):
     assert quality.classify(documents(spark, []), labels.where("false")).collect() == []
 
 
+def test_rare_insults_are_learned(spark):
+    """0.5% of the documents insult; each word of the lexicons is in few of the sample."""
+    rng = np.random.default_rng(11)
+    lexicons = (quality.INSULTS, quality.CONTEMPT)
+    rows = []
+    for i in range(6000):
+        words = [*rng.choice(quality.COMMON, 12), *(f"word{j}" for j in rng.integers(0, 300, 40))]
+        if i % 200 == 7:
+            words += [w for lexicon in lexicons for w in rng.choice(lexicon, 2, replace=False)]
+        rows.append((i, " ".join(rng.permutation(words)) + ".", "a"))
+    keep = {r.doc_id: r["keep"] for r in quality.classify(documents(spark, rows).repartition(4), None, sample=2000).collect()}
+    assert np.mean([keep[i] for i in keep if i % 200 == 7]) < 0.1
+    assert np.mean([keep[i] for i in keep if i % 200 != 7]) > 0.98
+
+
 # Token ids
 
 
