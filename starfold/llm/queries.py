@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import ann, chat, decontam, jaccard_join, mixing, mixing_sql, quality, recompress, sharding, token_blocks, warc
+from starfold.llm import (
+    ann,
+    chat,
+    decontam,
+    jaccard_join,
+    languages,
+    mixing,
+    mixing_sql,
+    phrases,
+    quality,
+    recompress,
+    sharding,
+    token_blocks,
+    warc,
+    whitening,
+)
 from starfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +116,40 @@ ORACLES: dict[str, str] = {
         GROUP BY d.id, i.id, i.n_item HAVING count(*) >= 0.75 * i.n_item
     """,
     "op6_mixing": mixing_sql.TAKEN,
+    "op11_phrases": """
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+        lengths AS (SELECT unnest([1, 2, 3, 4]) AS k),
+        places AS (
+          SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, lengths WHERE len(w) >= k),
+        counts AS (
+          SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+          FROM places GROUP BY ALL HAVING count(*) >= 30),
+        candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+        spans AS (
+          SELECT lang, phrase, k, w, f, unnest(range(1, k)) AS m FROM candidates),
+        cuts AS (
+          SELECT s.lang, s.phrase, s.f AS a, x.f AS l, y.f AS r, m AS k,
+                 CAST((2000000::HUGEINT * s.f) // (x.f + y.f) AS BIGINT) AS score
+          FROM spans s
+          JOIN counts x ON x.lang = s.lang AND x.phrase = array_to_string(s.w[1:m], ' ')
+          JOIN counts y ON y.lang = s.lang AND y.phrase = array_to_string(s.w[m + 1:], ' ')),
+        inner_runs AS (
+          SELECT lang, w, f, m, unnest(range(1, k - m + 2)) AS i FROM spans WHERE m > 1),
+        longer AS (
+          SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS f FROM inner_runs GROUP BY ALL),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        ranked AS (
+          SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+          FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.phrase = b.phrase
+          WHERE g.f IS NULL OR 100::HUGEINT * g.f < 80::HUGEINT * b.a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
 
 
@@ -179,3 +228,24 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in 40 shards of equal row counts."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language, of all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    documents = table(spark, sf_dir, "documents")
+    return languages.identify(documents, languages.learn(documents))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened components of every embedding."""
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # Beyond 64 bits there is no long for it.
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation as long)"))

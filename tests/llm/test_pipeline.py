@@ -25,7 +25,7 @@ def duck():
 
 def test_all_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
