@@ -38,7 +38,7 @@ LONGEST, LEAST, TOP = 4, 30, 2000
 #: A phrase is dropped for a longer one with so many per cent of its occurrences.
 WITHIN = 80
 #: Bytes of text in a chunk, about.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Bits of a bitmap for each frequent fingerprint, and the logarithms of its least and most bits.
 BITS_EACH, BITMAP_BITS = 16, (20, 28)
 PARTS = 256
@@ -87,7 +87,7 @@ class Powers:
 
     def reach(self, n: int) -> Powers:
         if n > self.size:
-            self.size = max(n, 2 * CHUNK)
+            self.size = max(n, 3 * CHUNK // 2 + 1)
             inverse = pow(BASE, -1, 1 << 64)
             ones = np.full(self.size, BASE, np.uint64), np.full(self.size, inverse, np.uint64)
             for table in ones:
@@ -139,9 +139,9 @@ class Grams:
         # Words with one space between them: a phrase is then a run of bytes.
         keep = inside
         keep[end[end < len(data)]] = True
-        moved = np.zeros(len(data) + 1, np.int64)
+        moved = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)
         np.cumsum(keep, out=moved[1:])
-        self.start, self.end = moved[start], moved[end - 1] + 1
+        self.start, self.end = moved[start].astype(np.int64), moved[end - 1].astype(np.int64) + 1
         text = tables.lower[data]
         text[tables.kind[data] > 0] = 32
         self.data = text[keep]
@@ -286,16 +286,22 @@ def _count(folder: str, lengths: tuple[int, ...], known: int, bitmap, bits: int)
                             place = place[may[place + j]]
                     if not len(place):
                         continue
-                    number, check = grams.fingerprint(place, k), grams.check(place, k)
-                    order = np.lexsort((check, number))
-                    new = np.ones(len(order), bool)
-                    new[1:] = (np.diff(number[order]) != 0) | (np.diff(check[order]) != 0)
+                    number, check = grams.fingerprint(place, k), grams.check(place, k).astype(np.int32)
+                    order = np.argsort(number)
+                    number, check = number[order], check[order]
+                    new, other = np.ones(len(order), bool), np.ones(len(order), bool)
+                    new[1:], other[1:] = number[1:] != number[:-1], check[1:] != check[:-1]
+                    if (other & ~new).any():  # one number with several checks
+                        again = np.lexsort((check, number))
+                        order, number, check = order[again], number[again], check[again]
+                        other[1:] = check[1:] != check[:-1]
+                        new |= other
                     first = np.flatnonzero(new)
                     at = (chunk << PLACE_BITS | place[order[first]]) << 2 | (k - 1)
                     yield pa.RecordBatch.from_pydict(
                         {
-                            "fp": number[order[first]].view(np.int64),
-                            "check": check[order[first]].astype(np.int32),
+                            "fp": number[first].view(np.int64),
+                            "check": check[first],
                             "n": np.diff(np.append(first, len(order))),
                             "at": at,
                         }
