@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ def _free_name(name: str, used: set[str]) -> str:
 
 
 def labelled_view(
-    fact: DataFrame, dataset_code: str, dimensions: dict[str, DataFrame]
+    fact: DataFrame, dataset_code: str, dimensions: dict[str, DataFrame], unique: Collection[str] = ()
 ) -> DataFrame | None:
     """Left star join of a fact to every dimension that one of its columns keys.
 
@@ -32,7 +34,9 @@ def labelled_view(
     dimensions hold text while each fact keeps its own type. No join is hinted: the
     planner broadcasts a stored dimension only if its size is below
     ``spark.sql.autoBroadcastJoinThreshold``, and else joins by shuffle, where AQE
-    splits hot keys. Returns None when no dimension fits.
+    splits hot keys. Stems in ``unique`` have been proven to hold no key twice; told so, the
+    planner leaves out their joins where a query uses none of their columns. Returns None
+    when no dimension fits.
     """
     view, joined = fact, False
     used = {"dataset_code", *fact.columns}
@@ -47,6 +51,8 @@ def labelled_view(
         side = dim.where(F.col("dataset_code") == dataset_code).select(
             col(key).alias("_key"), *[col(a).alias(n) for a, n in names.items()]
         )
+        if stem_of(key) in unique:
+            side = side.dropDuplicates(["_key"])
         view = view.join(side, col(key).cast("string") == F.col("_key"), "left").drop("_key")
         joined = True
     if not joined:

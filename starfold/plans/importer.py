@@ -25,7 +25,7 @@ from starfold.operators.reduce import (
     typed,
 )
 from starfold.operators.views import labelled_view, rehydrate
-from starfold.plans.store import Store
+from starfold.plans.store import Store, escape_value
 from starfold.session import materialise, scratch_dir, small_frame
 from starfold.sources.archives import list_members, unpack_members
 from starfold.sources.csv_files import (
@@ -133,13 +133,22 @@ def _store_dimension(store: Store, clean: DataFrame, layout: Layout, group: Dime
 
 
 def _repeated(store: Store, layout: Layout) -> tuple[str, ...]:
-    """Dimensions of a dataset in which some key has several sets of attributes."""
+    """Dimensions of a dataset in which some key has several sets of attributes.
+
+    Of all others the store notes that their keys are unique, which lets the planner
+    leave out joins that a query of the labelled view does not need.
+    """
     found = None
     for group in layout.groups:
         slice_ = store.read(group.table).where(F.col("dataset_code") == layout.dataset_code)
         hit = repeated_keys(slice_, group.key).select(F.lit(group.table).alias("name")).limit(1)
         found = hit if found is None else found.unionByName(hit)
-    return () if found is None else tuple(sorted(r["name"] for r in found.collect()))
+    repeated = set() if found is None else {r["name"] for r in found.collect()}
+    with store.batch():
+        for group in layout.groups:
+            if group.table not in repeated:
+                store.mark_unique(group.table, escape_value(store.spark, layout.dataset_code), group.key)
+    return tuple(sorted(repeated))
 
 
 def _year_partition(df: DataFrame) -> str | None:
@@ -148,20 +157,26 @@ def _year_partition(df: DataFrame) -> str | None:
 
 
 def _merge(store: Store, clean: DataFrame, layout: Layout, years: tuple[int, ...]) -> None:
-    """Bring a reduced year slice into the stored fact of its dataset."""
+    """Bring a reduced year slice into the stored fact of its dataset.
+
+    Only the folders of these years are written; the log knows which years there are. A
+    constant that comes back is a value that the log has for the other years, and a wider
+    type is a cast on read, so no stored row is read or rewritten for either.
+    """
     code, table = layout.dataset_code, fact_table(layout.dataset_code)
     existing = store.read(table)
     incoming = clean.select(*[col(c) for c in layout.reduced_columns])
     constants = recorded_constants(store, code)
     plan = plan_merge(existing, constants, incoming, layout.profiles)
     arriving = plan.incoming_rows(incoming)
-    if store.partition_column(table) == "year" and not plan.changes_schema(existing):
-        # Other years are not even read: only the folders of these years change.
-        stored = {r["year"] for r in existing.select("year").distinct().collect()}
-        present = {r["year"] for r in incoming_years(incoming).collect()}
-        if present:
-            store.overwrite_partitions(table, arriving)
-        store.drop_partitions(table, sorted(stored & (set(years) - present)))
+    if store.partition_column(table) == "year" and plan.types["year"] == "int":
+        store.overwrite_partitions(
+            table,
+            arriving,
+            tuple(str(y) for y in years),
+            fills=plan.restored,
+            widened=plan.changes_schema(existing),
+        )
     else:
         merged = merge_years(plan.stored_rows(existing), arriving, list(years))
         store.replace(table, merged, _year_partition(merged))
@@ -192,7 +207,6 @@ def import_frame(
         applied = tuple(sorted(layout.years.explicit))
         if layout.years.start is not None:
             applied = tuple(r["year"] for r in incoming_years(clean).collect())
-    append = applied is not None and store.has(table)
 
     def write_raw() -> None:
         rows = typed(filter_years(staged, layout.years), layout.profiles)
@@ -208,11 +222,12 @@ def import_frame(
         if layout.row_count:
             _record_constants(store, dataset_code, layout.constants)
 
-    # The writes do not depend on each other: their jobs share the executors.
-    writes = [write_fact, lambda: _record_mapping(store, layout, raw_names or list(staged.columns), append)]
-    writes += [partial(_store_dimension, store, clean, layout, group, append) for group in layout.groups]
-    writes += [write_raw] if keep_raw else []
     with store.batch(), ThreadPoolExecutor(WRITERS) as pool:
+        append = applied is not None and store.has(table)
+        # The writes do not depend on each other: their jobs share the executors.
+        writes = [write_fact, lambda: _record_mapping(store, layout, raw_names or list(staged.columns), append)]
+        writes += [partial(_store_dimension, store, clean, layout, group, append) for group in layout.groups]
+        writes += [write_raw] if keep_raw else []
         for done in [pool.submit(write) for write in writes]:
             done.result()
     repeated = _repeated(store, layout)
@@ -318,7 +333,10 @@ def _dataset_dimensions(store: Store, dataset_code: str) -> dict[str, DataFrame]
 def labelled(store: Store, dataset_code: str) -> DataFrame | None:
     """Labelled view of a stored dataset."""
     fact = store.read(fact_table(dataset_code))
-    return labelled_view(fact, dataset_code, _dataset_dimensions(store, dataset_code))
+    value = escape_value(store.spark, dataset_code)
+    dimensions = _dataset_dimensions(store, dataset_code)
+    unique = {stem for stem in dimensions if store.unique_key(f"dim_{stem}", value)}
+    return labelled_view(fact, dataset_code, dimensions, unique)
 
 
 def rebuild_source(store: Store, dataset_code: str) -> DataFrame:

@@ -76,12 +76,52 @@ def delete_path(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
-def list_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders right below a path."""
+def find_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, in order; none if nothing does."""
+    found, system = _hadoop_path(spark, pattern)
+    return sorted(str(s.getPath().toString()) for s in system.globStatus(found) or [])
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path; a missing one has none."""
+    found, system = _hadoop_path(spark, path)
+    return system.getContentSummary(found).getLength() if system.exists(found) else 0
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The whole of a small text file."""
+    found, system = _hadoop_path(spark, path)
+    stream = system.open(found)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its whole content, or return False if the name is taken.
+
+    A draft is written next to it and then linked (local files) or renamed, which on HDFS
+    never replaces a file. Of several writers exactly one succeeds.
+    """
     found, system = _hadoop_path(spark, path)
-    if not system.exists(found):
-        return []
-    return sorted(s.getPath().getName() for s in system.listStatus(found) if s.isDirectory())
+    draft, _ = _hadoop_path(spark, f"{path.rsplit('/', 1)[0]}/.draft-{uuid.uuid4().hex}")
+    stream = system.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if system.getUri().getScheme() != "file":
+        if not system.exists(found) and system.rename(draft, found):
+            return True
+        system.delete(draft, False)
+        return False
+    own = [str(system.makeQualified(p).toUri().getPath()) for p in (draft, found)]
+    try:
+        os.link(*own)
+    except FileExistsError:
+        return False
+    finally:
+        system.delete(draft, False)
+    return True
 
 
 @contextmanager
