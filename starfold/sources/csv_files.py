@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starfold.functions.cells import blank_to_null, col
+from starfold.session import materialise
+from starfold.sources.records import whole_records
+from starfold.sources.utf16 import utf16_counts
 
 UTF8, UTF16, LATIN1 = "utf-8", "utf-16", "latin-1"
 SPARK_ENCODING = {UTF8: "UTF-8", UTF16: "UTF-16", LATIN1: "ISO-8859-1"}
@@ -51,7 +55,8 @@ def file_facts(spark: SparkSession, path: str | list[str], label: Column | None
     ``physical_rows``: lines less the header, never below zero.
     ``has_multi_line``: some line holds an odd number of quotes, so a quoted cell may
     run over its end, or a carriage return that does not end it, where the CSV reader
-    would end a record. A file without such lines can be parsed in splits.
+    would end a record. A file without such lines is read by the plain CSV reader. Lines
+    and cells of UTF-16 files are counted by code unit.
     """
     inner_return = F.rtrim("value", F.lit("\r")).contains("\r")
     lines = _lines(spark, path).select(
@@ -68,7 +73,23 @@ def file_facts(spark: SparkSession, path: str | list[str], label: Column | None
         F.bool_or("odd").alias("has_multi_line"),
     )
     encoding = F.when(F.col("mark"), UTF16).when(F.col("valid"), UTF8).otherwise(LATIN1)
-    return found.withColumn("encoding", encoding).drop("mark", "valid")
+    found = materialise(found.withColumn("encoding", encoding).drop("mark", "valid"), "file-facts")
+    units = _units(spark, found)
+    if units is None:
+        return found
+    lines, multi = F.coalesce("_lines", "physical_rows"), F.coalesce("_multi", "has_multi_line")
+    counted = found.join(units, "file", "left").withColumns({"physical_rows": lines, "has_multi_line": multi})
+    return counted.drop("_lines", "_records", "_multi")
+
+
+def _units(spark: SparkSession, facts: DataFrame) -> DataFrame | None:
+    """(file, _lines, _records, _multi) of the UTF-16 files among all, None if there are none."""
+    paths = [r["file"] for r in facts.where(F.col("encoding") == UTF16).select("file").collect()]
+    if not paths:
+        return None
+    counts = utf16_counts(spark, [unquote(path) for path in paths])
+    multi = (F.col("lines") != F.col("records")).alias("_multi")
+    return counts.select("file", F.col("lines").alias("_lines"), F.col("records").alias("_records"), multi)
 
 
 @dataclass(frozen=True)
@@ -118,19 +139,42 @@ def csv_header(spark: SparkSession, path: str, encoding: str = UTF8) -> list[str
 def scan_csv(
     spark: SparkSession, path: str, names: list[str], encoding: str = UTF8, multi_line: bool = True
 ) -> DataFrame:
-    """Every cell as text under the given names; an empty cell, quoted or not, is NULL."""
+    """Every cell as text under the given names; an empty cell, quoted or not, is NULL.
+
+    Where cells run over lines, records are put together from lines first and then parsed
+    one by one, so that such files are read in splits too. Only UTF-16 files are parsed
+    whole, one task each.
+    """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    if multi_line and encoding != UTF16:
+        raw = F.decode("record", SPARK_ENCODING[encoding])
+        text = whole_records(_numbered_lines(spark, path)).select(F.rtrim(raw, F.lit("\r")).alias("record"))
+        options = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+        parsed = F.from_csv("record", F.lit(", ".join(f"c{i} string" for i in range(len(names)))), options)
+        rows = text.where(F.trim("record") != "").select(parsed.alias("cells"))
+        return rows.select(*[blank_to_null(F.col(f"cells.c{i}")).alias(n) for i, n in enumerate(names)])
     rows = _reader(spark, encoding, multi_line).schema(schema).csv(path)
     return rows.select(*[blank_to_null(col(n)).alias(n) for n in names])
 
 
+def _numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, block, line, odd) of the lines of each block of files, in their order."""
+    return _lines(spark, path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").cast("binary").alias("line"),
+        _odd_quotes(F.col("value")).alias("odd"),
+    )
+
+
 def record_counts(spark: SparkSession, path: str | list[str], label: Column | None = None) -> DataFrame:
     """(file[, label], records) less the header, by the parity of quotes alone.
 
     A record ends at a line feed before which the file has an even number of quotes. It
     shares nothing with the CSV reader, so it can contradict it. Parities are summed for
-    each block of a file first, then for the lines inside; no task holds a file. Quote
-    and line-feed bytes count as such in every encoding. An unfinished record counts.
+    each block of a file first, then for the lines inside; no task holds a file. Bytes
+    count, so this is for any encoding but UTF-16 (see ``utf16``). An unfinished record
+    counts.
     """
     labels = [label.alias("label")] if label is not None else []
     names = ["label"] if labels else []
@@ -167,7 +211,8 @@ def count_source_rows(spark: SparkSession, path: str, facts: SourceFacts) -> tup
     """
     if not facts.has_multi_line:
         return facts.physical_rows, "line-count"
-    total = record_counts(spark, path).agg(F.coalesce(F.sum("records"), F.lit(0))).first()
+    counts = utf16_counts(spark, [path]) if facts.encoding == UTF16 else record_counts(spark, path)
+    total = counts.agg(F.coalesce(F.sum("records"), F.lit(0))).first()
     return total[0], "quote-parity"
 
 
@@ -178,8 +223,13 @@ def audit_row_counts(spark: SparkSession, root: str, imported: DataFrame) -> Dat
     covers all of them; the method says whether a dataset has cells over several lines.
     """
     code = path_value("dataset")
-    lines = file_facts(spark, root, code).groupBy("label").agg(F.bool_or("has_multi_line").alias("multi"))
-    records = record_counts(spark, root, code).groupBy("label").agg(F.sum("records").alias("records"))
+    facts = file_facts(spark, root, code)
+    lines = facts.groupBy("label").agg(F.bool_or("has_multi_line").alias("multi"))
+    counts, units = record_counts(spark, root, code), _units(spark, facts)
+    if units is not None:
+        by_unit = F.coalesce("_records", "records").alias("records")
+        counts = counts.join(units, "file", "left").select("label", by_unit)
+    records = counts.groupBy("label").agg(F.sum("records").alias("records"))
     counted = lines.join(records, "label").withColumnRenamed("label", "dataset_code")
     return imported.join(counted, "dataset_code", "left").select(
         "dataset_code",
