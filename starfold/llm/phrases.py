@@ -42,9 +42,13 @@ CHUNK = 2 << 20
 #: Bits of a bitmap for each frequent fingerprint, and the logarithms of its least and most bits.
 BITS_EACH, BITMAP_BITS = 16, (20, 28)
 PARTS = 256
-#: A pointer is a chunk, a place in it and a length: 35 + 26 + 2 bits. Chunks are numbered by
-#: the task that wrote them (22 bits) and their place among its chunks (13 bits).
+#: A pointer is a place in a chunk, the chunk, and a length: 26 + 35 + 2 bits, so that least
+#: and greatest pointers lie in all chunks alike. Chunks are numbered by the task that wrote
+#: them (22 bits) and their place among its chunks (13 bits).
 PLACE_BITS, SEQUENCE_BITS, TASK_BITS = 26, 13, 22
+CHUNK_BITS = SEQUENCE_BITS + TASK_BITS
+#: Chunks that a task reads, and tasks beyond which it reads more.
+CHUNKS_EACH, MOST_TASKS = 8, 100_000
 
 BASE, STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 PRIME, PRIME_BASE = (1 << 31) - 1, 1_237_940_039
@@ -297,7 +301,7 @@ def _count(folder: str, lengths: tuple[int, ...], known: int, bitmap, bits: int)
                         other[1:] = check[1:] != check[:-1]
                         new |= other
                     first = np.flatnonzero(new)
-                    at = (chunk << PLACE_BITS | place[order[first]]) << 2 | (k - 1)
+                    at = place[order[first]] << (CHUNK_BITS + 2) | chunk << 2 | (k - 1)
                     yield pa.RecordBatch.from_pydict(
                         {
                             "fp": number[first].view(np.int64),
@@ -352,7 +356,8 @@ class PhraseCounts:
         self.written = stored(written, "phrase-chunks")
         self.chunks = self.written.select("chunk", "file").distinct()
         n = self.chunks.count()
-        self.tasks = max(1, min(n, max(4 * self.spark.sparkContext.defaultParallelism, n // 32)))
+        least = min(n, 4 * self.spark.sparkContext.defaultParallelism)
+        self.tasks = max(1, least, min(n // CHUNKS_EACH, MOST_TASKS))
 
     def words(self) -> DataFrame:
         """(lang, n): all word occurrences of each language."""
@@ -386,7 +391,7 @@ class PhraseCounts:
         """
         folder, bits = self.folder, self.bits
         both = phrases.select("fp", "check", F.explode(F.array_distinct(F.array("first", "last"))).alias("at"))
-        pointers = both.withColumn("chunk", F.shiftright("at", PLACE_BITS + 2)).join(self.chunks, "chunk")
+        pointers = both.withColumn("chunk", F.shiftright("at", 2).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))).join(self.chunks, "chunk")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             name, held = None, []
@@ -422,7 +427,7 @@ class PhraseCounts:
 
 def _materialised(grams: Grams, found: pa.Table) -> Iterator[pa.RecordBatch]:
     at = found.column("at").to_numpy()
-    lengths, places = (at & 3) + 1, at >> 2 & ((1 << PLACE_BITS) - 1)
+    lengths, places = (at & 3) + 1, at >> (CHUNK_BITS + 2)
     for k in np.unique(lengths).tolist():
         own = np.flatnonzero(lengths == k)
         place = places[own]
