@@ -8,9 +8,6 @@ i * g mod slots, with g near slots / golden ratio and prime to slots; the point
 source in whose run of points it lies. Any run of slots so has nearly the right shares,
 and all of them exactly. The slots of a source are ranked; rank r takes block r mod
 blocks. When the ranks are more than the blocks, the blocks come again.
-
-The SQL of op6_mixing has an older schedule with the same block size for all sources,
-which ``taken_in_fixed_blocks`` follows.
 """
 
 from __future__ import annotations
@@ -24,7 +21,7 @@ from starfold.llm.common import n_words, running_before, small_if_proven, stored
 
 #: No document is taken more often.
 MOST = 3
-#: Points are whole numbers below POINTS; STEP is the odd number nearest to POINTS / phi.
+#: The step between points is to the number of slots as STEP is to POINTS, about 1 / phi.
 POINTS = 1 << 31
 STEP = 1327217885
 #: The range of points is cut into so many strips to join points with shares by equality.
@@ -34,8 +31,12 @@ CHUNK = 1 << 14
 
 
 def shuffle_key(seed: int = 0) -> Column:
-    """A number below 2^62 for each document, evenly spread and the same in every run."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    """A number below 2^62 for each document, evenly spread and the same in every run.
+
+    It comes from doc_id, or from the text where there is none.
+    """
+    none = F.concat(F.lit("text:"), text_or_empty())
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), none))
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long") * 4
 
 
@@ -83,44 +84,6 @@ def _source_key() -> Column:
     return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
 
 
-def schedule(targets: DataFrame, slots: int) -> DataFrame:
-    """(slot, source key, rank) in fixed blocks: which source has each slot, and which of its slots it is.
-
-    ``targets`` has _source and target. Ranks come from counts of whole chunks of slots
-    and an order inside each chunk, so no task ranks a whole source.
-    """
-    spark = targets.sparkSession
-    so_far = Window.orderBy("_source").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.orderBy("_source").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    end = F.sum("target").over(so_far) / F.sum("target").over(everything)
-    strip = POINTS // STRIPS
-    shares = (
-        targets.where("target > 0")
-        .select("_source", F.round(end * POINTS).cast("long").alias("_to"))
-        .withColumn("_from", F.coalesce(F.lag("_to").over(Window.orderBy("_source")), F.lit(0)))
-        .where("_to > _from")
-        .withColumn(
-            "_strip",
-            F.explode(
-                F.sequence(F.expr(f"_from div {strip}"), F.expr(f"(_to - 1) div {strip}"))
-            ),
-        )
-    )
-    points = spark.range(slots).select(
-        F.col("id").alias("slot"),
-        F.expr(f"(id % {POINTS}) * {STEP} % {POINTS}").alias("_point"),
-    )
-    dealt = (
-        points.withColumn("_strip", F.expr(f"_point div {strip}"))
-        .join(shares, "_strip")
-        .where("_point >= _from and _point < _to")
-        .select("slot", "_source", F.expr(f"slot div {CHUNK}").alias("_chunk"))
-    )
-    return _ranked(dealt)
-
-
 def _ranked(dealt: DataFrame) -> DataFrame:
     """(slot, source key, rank) of dealt slots."""
     counts = dealt.groupBy("_source", "_chunk").agg(F.count("*").alias("_n"))
@@ -136,6 +99,12 @@ def _ranked(dealt: DataFrame) -> DataFrame:
     )
 
 
+def _content_key() -> Column:
+    """A number of everything in a row that the mix looks at; with doc_id, it names like rows."""
+    parts = [F.col(c) for c in ("doc_id", "source", "text")]
+    return F.xxhash64(*[x for p in parts for x in (p.isNull(), p.cast("string"))])
+
+
 def placed_documents(documents: DataFrame, seed: int = 0) -> DataFrame:
     """Every row's size, its source's size and target, and the words before it.
 
@@ -147,6 +116,7 @@ def placed_documents(documents: DataFrame, seed: int = 0) -> DataFrame:
         documents.select(
             "doc_id",
             "source",
+            _content_key().alias("_content"),
             n_words(text_or_empty()).alias("size"),
             shuffle_key(seed).alias("_key"),
             _source_key().alias("_source"),
@@ -161,61 +131,6 @@ def placed_documents(documents: DataFrame, seed: int = 0) -> DataFrame:
     return stored(rows, "mix-places")
 
 
-def scheduled_blocks(placed: DataFrame, block: int) -> DataFrame:
-    """(_source, _block, turn, slot): the fixed blocks that the schedule takes, and when.
-
-    There are as many slots as all words fill blocks of ``block`` words. Turn 0 is the
-    first pass over a source; a slot beyond MOST passes stays empty.
-    """
-    sources = stored(
-        placed.groupBy("_source").agg(
-            F.first("source_size").alias("source_size"), F.first("target").alias("target")
-        ),
-        "mix-sources",
-    )
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    blocks = F.expr(f"greatest((source_size + {block - 1}) div {block}, 1)").alias("_blocks")
-    sizes = small_if_proven(sources.select("_source", blocks))
-    ranked = schedule(sources, -(-total // block)).join(sizes, "_source")
-    return ranked.select(
-        "_source",
-        F.expr("rank % _blocks").alias("_block"),
-        F.expr("rank div _blocks").alias("turn"),
-        "slot",
-    ).where(F.col("turn") < MOST)
-
-
-def pieces(placed: DataFrame, block: int) -> DataFrame:
-    """Documents cut at the bounds of fixed blocks; one of no words is one piece."""
-    before, size = F.col("size_before"), F.col("size")
-    first = F.expr(f"size_before div {block}")
-    last = F.expr(f"greatest(size_before + size - 1, size_before) div {block}")
-    cut = placed.withColumn("_block", F.explode(F.sequence(first, last)))
-    start = F.greatest(before, F.col("_block") * block)
-    end = F.least(before + size, (F.col("_block") + 1) * block)
-    return cut.withColumn("from_word", start - before).withColumn("words", end - start)
-
-
-def taken_in_fixed_blocks(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataFrame:
-    """As ``taken_words``, by the schedule of the SQL of op6_mixing.
-
-    Every slot is charged ``block`` words, also where a source's last block is shorter, and
-    slots of turn MOST and more stay empty. So sources that are small against a block miss
-    their targets, and with many of them the whole falls short.
-    """
-    placed = placed_documents(documents, seed)
-    turns = scheduled_blocks(placed, block).groupBy("_source", "_block").agg(
-        F.count("*").alias("_turns")
-    )
-    return (
-        pieces(placed, block)
-        .join(turns, ["_source", "_block"], "left")
-        .groupBy("_row", "doc_id", "source", "size", "source_size", "target")
-        .agg(F.coalesce(F.sum(F.col("words") * F.col("_turns")), F.lit(0)).alias("taken"))
-        .drop("_row")
-    )
-
-
 def with_turns(placed: DataFrame) -> DataFrame:
     """Add _full and _rest: a source is taken _full times, and its first _rest words once more.
 
@@ -234,8 +149,12 @@ def _own_blocks(block: int) -> Column:
 
 
 def _block_of(word: str) -> Column:
-    """The block that holds a word of a source of words."""
-    return F.expr(f"(({word} + 1) * _blocks - 1) div source_size")
+    """The block that holds a word of a source of words; products may pass 64 bits."""
+    return F.expr(f"((cast({word} as decimal(20,0)) + 1) * _blocks - 1) div source_size")
+
+
+def _first_word(block: str) -> Column:
+    return F.expr(f"cast({block} as decimal(20,0)) * source_size div _blocks")
 
 
 def even_schedule(placed: DataFrame, block: int) -> DataFrame:
@@ -262,7 +181,7 @@ def even_schedule(placed: DataFrame, block: int) -> DataFrame:
     strips = F.sequence(F.expr(f"_from div {strip}"), F.expr(f"(_from + _slots - 1) div {strip}"))
     shares = sources.withColumn("_strip", F.explode(strips))
     points = spark.range(slots).select(
-        F.col("id").alias("slot"), F.expr(f"id * {step} % {max(slots, 1)}").alias("_point")
+        F.col("id").alias("slot"), F.expr(f"cast(cast(id as decimal(20,0)) * {step} % {max(slots, 1)} as long)").alias("_point")
     )
     dealt = (
         points.withColumn("_strip", F.expr(f"_point div {strip}"))
@@ -276,16 +195,15 @@ def even_schedule(placed: DataFrame, block: int) -> DataFrame:
     )
 
 
-def mixed_order(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataFrame:
-    """The mix itself: (slot, turn, doc_id, source, from_word, words), slot by slot."""
-    placed = with_turns(placed_documents(documents, seed))
+def _pieces_in_order(placed: DataFrame, block: int) -> DataFrame:
+    """Pieces of documents joined with the slots that take their blocks."""
     cut = (
         placed.where("size > 0")
         .withColumn("_blocks", _own_blocks(block))
         .withColumn("_block", F.explode(F.sequence(_block_of("size_before"), _block_of("size_before + size - 1"))))
     )
-    start = F.greatest("size_before", F.expr("_block * source_size div _blocks"))
-    end = F.least(F.col("size_before") + F.col("size"), F.expr("(_block + 1) * source_size div _blocks"))
+    start = F.greatest("size_before", _first_word("_block"))
+    end = F.least(F.col("size_before") + F.col("size"), _first_word("_block + 1"))
     # The last turn ends where the target is reached.
     last = F.when(F.col("turn") == F.col("_full"), F.least(end, "_rest")).otherwise(end)
     return (
@@ -293,21 +211,30 @@ def mixed_order(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataF
         .withColumn("from_word", start - F.col("size_before"))
         .withColumn("words", last - start)
         .where("words > 0")
-        .select("slot", "turn", "doc_id", "source", "from_word", "words")
+        .select("slot", "turn", "_row", "doc_id", "source", "from_word", "words")
     )
 
 
+def mixed_order(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataFrame:
+    """The mix itself: (slot, turn, doc_id, source, from_word, words), slot by slot."""
+    return _pieces_in_order(with_turns(placed_documents(documents, seed)), block).drop("_row")
+
+
+def _with_taken(documents: DataFrame, block: int, seed: int) -> DataFrame:
+    """Placed rows with the words that the slots take of each."""
+    placed = with_turns(placed_documents(documents, seed))
+    sums = _pieces_in_order(placed, block).groupBy("_row").agg(F.sum("words").alias("_taken"))
+    return placed.join(sums, "_row", "left").withColumn("taken", F.coalesce("_taken", F.lit(0)))
+
+
 def taken_words(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every row of documents.
 
-    ``taken`` counts the words that the mix takes of it, repeats included; a row without
-    words has none. A source's rows together have its target, rounded to a word, whatever
-    ``block`` is. An empty table gives an empty result.
+    ``taken`` counts the words that the slots of the schedule take of it, repeats
+    included; a row without words has none. A source's rows together have its target,
+    rounded to a word, whatever ``block`` is. An empty table gives an empty result.
     """
-    once_more = F.greatest(F.least(F.col("size"), F.col("_rest") - F.col("size_before")), F.lit(0))
-    return with_turns(placed_documents(documents, seed)).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("_full") * F.col("size") + once_more).alias("taken")
-    )
+    return _with_taken(documents, block, seed).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def mix_documents(documents: DataFrame, block: int = 1024, seed: int = 0) -> DataFrame:
@@ -315,18 +242,19 @@ def mix_documents(documents: DataFrame, block: int = 1024, seed: int = 0) -> Dat
 
     Only the document across the end of a source's target is rounded, so a source misses
     its target by half of that document at most. Columns are those of ``documents``. Rows
-    that share a doc_id are repeated equally often. A document without words, or without
-    doc_id, is not in the mix.
+    alike in doc_id, source and text are repeated equally often; so are rows without
+    doc_id. A document without words is not in the mix.
     """
-    placed = with_turns(placed_documents(documents, seed)).where("size > 0")
-    half = (F.col("_rest") - F.col("size_before")) * 2 >= F.col("size")
     copies = (
-        placed.withColumn("_turns", F.col("_full") + half.cast("int"))
-        .groupBy("doc_id")
+        _with_taken(documents, block, seed)
+        .where("size > 0")
+        .withColumn("_turns", F.expr("(2 * taken + size) div (2 * size)"))
+        .groupBy(F.coalesce("doc_id", F.lit(0)).alias("_mixed_id"), "_content")
         .agg(F.round(F.avg("_turns")).cast("int").alias("_n"))
         .where("_n > 0")
-        .withColumnRenamed("doc_id", "_mixed_id")
     )
-    joined = documents.join(copies, F.col("doc_id") == F.col("_mixed_id"))
+    keyed = documents.withColumn("_own", _content_key())
+    same = (F.coalesce("doc_id", F.lit(0)) == F.col("_mixed_id")) & (F.col("_own") == F.col("_content"))
     columns = [F.col(f"`{c}`") for c in documents.columns]
+    joined = keyed.join(copies, same)
     return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*columns)

@@ -1,17 +1,20 @@
-"""DuckDB SQL for the mix: the same shares, schedule and blocks, ranked in one go."""
+"""DuckDB SQL for the mix: the same targets and order, and what whole passes and a rest take.
 
-from starfold.llm.mixing import MOST, POINTS, STEP
+It knows no schedule: a source's blocks come in turn, so its slots take all of it so many
+times, and the words before the rest of its target once more.
+"""
+
+from starfold.llm.mixing import MOST
 
 TAKEN = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS id, doc_id, source,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key
+         CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))), 1, 15) AS BIGINT) AS key
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-         CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight,
-         coalesce('s' || source, 'n') AS k
+         CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight
   FROM docs GROUP BY source),
 ratios AS (
   SELECT *, CAST(source_size AS DOUBLE) * {MOST} AS cap,
@@ -23,35 +26,16 @@ levels AS (
   WINDOW w AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 free AS (SELECT arg_min(level, ratio) AS free FROM levels WHERE ratio >= level),
 targets AS (
-  SELECT source, source_size, k,
-         CASE WHEN free IS NULL OR ratio < free THEN cap ELSE weight * free END AS target,
-         greatest((source_size + 1023) // 1024, 1) AS blocks
+  SELECT source, source_size,
+         CASE WHEN free IS NULL OR ratio < free THEN cap ELSE weight * free END AS target
   FROM levels, free),
-ends AS (
-  SELECT k, CAST(round(sum(target) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING)
-                       / sum(target) OVER () * {POINTS}) AS BIGINT) AS upto
-  FROM targets WHERE target > 0),
-shares AS (SELECT k, upto, coalesce(lag(upto) OVER (ORDER BY k), 0) AS lower FROM ends),
-slots AS (
-  SELECT slot, (slot % {POINTS}) * {STEP} % {POINTS} AS point
-  FROM range((SELECT CAST((sum(source_size) + 1023) // 1024 AS BIGINT) FROM targets)) t(slot)),
-ranks AS (
-  SELECT k, row_number() OVER (PARTITION BY k ORDER BY slot) - 1 AS rank
-  FROM slots JOIN shares ON point >= lower AND point < upto),
-turns AS (
-  SELECT k, rank % blocks AS block, count(*) AS turns
-  FROM ranks JOIN targets USING (k) WHERE rank // blocks < {MOST} GROUP BY ALL),
 placed AS (
-  SELECT d.*, k, source_size, target,
+  SELECT d.*, source_size, target, CAST(round(target) AS BIGINT) AS words,
+         greatest(source_size, 1) AS pass,
          CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size, id
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
-  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
-pieces AS (
-  SELECT *, unnest(range(before // 1024, greatest(before + size - 1, before) // 1024 + 1)) AS block
-  FROM placed)
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
-       CAST(coalesce(sum((least(before + size, (block + 1) * 1024) - greatest(before, block * 1024))
-                         * turns), 0) AS BIGINT) AS taken
-FROM pieces LEFT JOIN turns USING (k, block)
-GROUP BY id, doc_id, size, source_size, target
+       CAST(words // pass * size + greatest(least(size, words % pass - before), 0) AS BIGINT) AS taken
+FROM placed
 """

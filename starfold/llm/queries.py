@@ -199,8 +199,8 @@ def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mix of all documents to the target weights of their sources, in the fixed blocks of its SQL."""
-    mixed = mixing.taken_in_fixed_blocks(table(spark, sf_dir, "documents"))
+    """What the slots of the schedule take of all documents, to the targets of their sources."""
+    mixed = mixing.taken_words(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
