@@ -12,7 +12,7 @@ import re
 import sys
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 from types import ModuleType
 
 import numpy as np
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from starfold.llm.common import work_dir
 from starfold.llm.files import open_file, whole_file
 from starfold.llm.pfor import ShardReader, ShardWriter
+from starfold.llm.words import slices
 from starfold.session import ship_by_value
 
 ship_by_value(__name__)
@@ -31,14 +32,32 @@ ship_by_value(__name__)
 END_ID = 0
 #: Words that a worker remembers the ids of, before it starts anew.
 REMEMBERED = 1_200_000
-#: Documents that are tokenised together.
-TOGETHER = 256
+#: Bytes of text that are tokenised together, and new words that are one text.
+TOGETHER, GROUP = 4 << 20, 1000
+#: How the vocabulary writes a space.
+SPACE = "\u0120"
 READ = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
 )
 READ_SQL = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+class _Grown:
+    """An array that grows at its end; ``held`` is what it has so far."""
+
+    def __init__(self, kind: type):
+        self.room, self.held = np.empty(1 << 16, kind), np.empty(0, kind)
+
+    def extend(self, more: np.ndarray) -> None:
+        n = len(self.held) + len(more)
+        if n > len(self.room):
+            room = np.empty(2 * n, self.room.dtype)
+            room[: len(self.held)] = self.held
+            self.room = room
+        self.room[len(self.held) : n] = more
+        self.held = self.room[:n]
+
+
 class _Numbers(dict):
     """Numbers for keys in the order of their first use; ``new`` are those since the last look."""
 
@@ -57,8 +76,8 @@ class Encoder:
 
     The file's pre-tokeniser starts a new piece at every single space, and BPE never
     crosses pieces. So the ids of a text without two white-space characters in a row are
-    those of its words, each with the space before it. Other texts are encoded whole.
-    In the same way, letters and the punctuation after them are pieces of their own.
+    those of its words, each with the space before it. Texts with more white space, or
+    with one of the file's added tokens, are encoded whole.
     """
 
     two_spaces = re.compile(r"\s\s")
@@ -70,67 +89,92 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        # The text of a special token inside a document is ordinary text.
-        self.library.encode_special_tokens = True
+        added = sorted(t.content for t in self.library.get_added_tokens_decoder().values() if t.content)
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.can_join = not any(c.isspace() for t in added for c in t)
+        #: Whether the text of an id begins with a space.
+        self.spaced = np.zeros(self.library.get_vocab_size(), bool)
+        for token, number in self.library.get_vocab().items():
+            self.spaced[number] = token.startswith(SPACE)
         self._forget()
 
     def _forget(self) -> None:
         """``ids`` of word i are those from ``start[i]`` on, ``length[i]`` of them."""
-        self.numbers, self.tails = _Numbers(), {}
-        self.ids = np.empty(0, np.uint32)
-        self.start = self.length = np.empty(0, np.int64)
+        self.numbers = _Numbers()
+        self.ids = _Grown(np.uint32)
+        self.start, self.length = _Grown(np.int64), _Grown(np.int64)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _keep(self, ids: np.ndarray, length: np.ndarray, numbers: np.ndarray) -> None:
+        """Remember the ids of words, given one after the other."""
+        base = len(self.ids.held)
+        self.ids.extend(ids)
+        self.start.held[numbers] = base + np.cumsum(length) - length
+        self.length.held[numbers] = length
+
     def _learn(self) -> None:
         """Find the ids of all words that have got a number since the last time.
 
-        A word of letters with punctuation after it is its letters, a word as well, and
-        the punctuation. The first word of a text has no space before it; its key is a
-        tuple.
+        Many words are encoded as one text and cut where an id begins with a space. The
+        word of a text has no space before it; its key is a tuple. It, and words
+        with white space at an end, are encoded alone. Letters and the punctuation after
+        them are pieces, too; such a word is put together from both.
         """
-        base, new = len(self.length), self.numbers.new
-        single, joined = {}, {}
-        for number, key in enumerate(new, base):  # grows by the words of letters
-            word = key[0] if isinstance(key, tuple) else key
-            letters = word.rstrip(self.punctuation)
-            if len(letters) < len(word) and letters.isalpha():
-                own = self.numbers[letters if word is key else (letters,)]
-                joined[number] = own, word[len(letters) :]
+        base, new = len(self.length.held), self.numbers.new
+        alone, together, joined = [], [], []
+        for number, key in enumerate(new, base):  # grows by letters and punctuation
+            if not isinstance(key, str) or not key or key[0].isspace() or key[-1].isspace() or not self.can_join:
+                alone.append(number)
+                continue
+            letters = key.rstrip(self.punctuation)
+            if len(letters) < len(key) and letters.isalpha():
+                joined.append((number, self.numbers[letters], self.numbers[(key[len(letters) :],)]))
             else:
-                single[number] = " " + word if word is key else word
+                together.append(number)
         self.numbers.new = []
-        unknown = list({tail for _, tail in joined.values()}.difference(self.tails))
-        self.tails.update(zip(unknown, self._encode(unknown)))
-        found = dict(zip(single, self._encode(list(single.values()))))
-        for number, (own, tail) in joined.items():
-            at = self.start[own] if own < base else 0
-            letters = self.ids[at : at + self.length[own]].tolist() if own < base else found[own]
-            found[number] = letters + self.tails[tail]
-        ids = [found[number] for number in range(base, base + len(new))]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.start = np.append(self.start, len(self.ids) + np.cumsum(length) - length)
-        self.length = np.append(self.length, length)
-        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(ids), np.uint32))
+        for table in (self.start, self.length):
+            table.extend(np.zeros(len(new), np.int64))
+        words = [new[n - base] for n in together]
+        groups = [words[i : i + GROUP] for i in range(0, len(words), GROUP)]
+        for first, group, ids in zip(range(0, len(words), GROUP), groups, self._encode([" " + " ".join(g) for g in groups])):
+            ids, own = np.array(ids, np.uint32), together[first : first + GROUP]
+            begins = np.flatnonzero(self.spaced[ids])
+            if len(begins) == len(group):
+                self._keep(ids, np.diff(np.append(begins, len(ids))), np.array(own))
+            else:
+                alone += own
+        if alone:
+            keys = [new[n - base] for n in alone]
+            found = self._encode([k[0] if isinstance(k, tuple) else " " + k for k in keys])
+            length = np.fromiter(map(len, found), np.int64, len(found))
+            self._keep(np.fromiter(chain.from_iterable(found), np.uint32), length, np.array(alone))
+        if joined:
+            number, *parts = np.array(joined).T
+            parts = np.stack(parts, 1).ravel()
+            self._keep(self._ids_of(parts), self.length.held[parts].reshape(-1, 2).sum(1), number)
+
+    def _ids_of(self, words: np.ndarray) -> np.ndarray:
+        """The ids of known words, one after the other."""
+        length = self.length.held[words]
+        at = np.repeat(self.start.held[words] - np.cumsum(length) + length, length)
+        return self.ids.held[at + np.arange(len(at))]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
         if len(self.numbers) > REMEMBERED:
             self._forget()
-        whole = [i for i, t in enumerate(texts) if self.two_spaces.search(t)]
+        whole = [i for i, t in enumerate(texts) if self.two_spaces.search(t) or (self.added and self.added.search(t))]
         found = dict(zip(whole, self._encode([texts[i] for i in whole])))
         split = {i: t.split(" ") for i, t in enumerate(texts) if i not in found}
         number = self.numbers.__getitem__
         words = np.fromiter(
-            chain.from_iterable(chain((number((w[0],)),), map(number, w[1:])) for w in split.values()),
+            chain.from_iterable(chain((number((w[0],)),), map(number, islice(w, 1, None))) for w in split.values()),
             np.int64,
         )
         self._learn()
-        length = self.length[words]
-        ends = np.cumsum(length)
-        at = np.repeat(self.start[words] - ends + length, length)
-        ids = self.ids[at + np.arange(len(at))]
+        ids, ends = self._ids_of(words), np.cumsum(self.length.held[words])
         bounds = np.append(0, ends)[np.cumsum([len(w) for w in split.values()])] if split else []
         found.update(zip(split, np.split(ids, bounds[:-1] if split else [])))
         return [np.append(np.asarray(found[i], np.uint32), np.uint32(END_ID)) for i in range(len(texts))]
@@ -155,8 +199,7 @@ def _write_shard(folder: str, tokenizer: str):
         with whole_file(folder, shard_name(number)) as out:
             writer = ShardWriter(out)
             for batch in batches:
-                for first in range(0, batch.num_rows, TOGETHER):
-                    part = batch.slice(first, TOGETHER)
+                for part in slices(batch, 1, TOGETHER):
                     texts = [t or "" for t in part.column(1).to_pylist()]
                     for doc_id, ids in zip(part.column(0).to_pylist(), own.encode(texts)):
                         writer.add(doc_id, ids)

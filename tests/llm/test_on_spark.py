@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from starfold.llm import ann, chat, decontam, jaccard_join, mixing, quality, sharding, token_blocks, warc
 from starfold.llm.components import connected
@@ -282,12 +283,13 @@ def test_token_ids_with_nulls_and_repeats(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rng = np.random.default_rng(4)
     rows = [(i, prose(rng, 30) + ".\n\n x", None) for i in range(40)] + [(7, None, None), (None, "x", None), (50, "", None), (3, "long " * 5000, None)]
+    rows += [(60 + i, t, None) for i, t in enumerate(["a <|endoftext|> b", " lead", "trail ", "\nb c\n", "'s it's.", "x. y, z!?"])]
     found = token_blocks.token_ids(documents(spark, rows).repartition(5), path).collect()
-    encoder = token_blocks.Encoder(path)
+    library = Tokenizer.from_file(path)
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     expected, start = [], 0
     for doc, text, _ in ordered:
-        ids = encoder.library.encode(text or "", add_special_tokens=False).ids + [0]
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
         expected.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, found), key=lambda r: r[1]) == expected

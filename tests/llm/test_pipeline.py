@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -13,7 +14,6 @@ from oracle import connect, differences
 from starfold.llm import mixing
 from starfold.llm.common import stored, table
 from starfold.llm.queries import ORACLES, QUERIES
-from starfold.llm.token_blocks import Encoder
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -72,10 +72,10 @@ def test_each_stage_equals_brute_force_on_its_input(spark):
     assert [list(r.asDict()) for r in mixed[:1]] == [columns]
     assert max(Counter(r.doc_id for r in mixed).values()) <= mixing.MOST and {r.doc_id for r in mixed} <= clean
 
-    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     start, expected = 0, []
     for r in sorted(mixed, key=lambda r: r.doc_id):
-        ids = encoder.library.encode(r.text, add_special_tokens=False).ids + [0]
+        ids = library.encode(r.text, add_special_tokens=False).ids + [0]
         expected.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, kept["token_output"]), key=lambda r: r[1]) == expected
