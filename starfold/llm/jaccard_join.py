@@ -8,11 +8,12 @@ a fixed number of buckets, which only orders shingles and so cannot lose a link.
 
 A pair must share T less the left-out lists of these short lists; most that have a
 passage in common do not. Lists never become all their pairs. Each list first links its
-documents to its least one; what these links, once verified, do not bring into one component meets in a second round
-as one document of each component, and only documents of a list that are in different
-components even then are compared one by one. Candidates of a document are verified in
-cells of bounded size by DivideSkip over the whole sets: short lists are merged on a
-heap, long ones are searched for what the merge leaves.
+documents to its least one; what these links, once verified, do not bring into one
+component meets in a second round as one document of each component. Documents that are
+outside the largest component of a list even then are searched one by one: DivideSkip
+merges their short lists and probes the long ones for what enough of them have.
+Candidates of a document are verified in cells of bounded size by DivideSkip over the
+whole sets, merged on a heap.
 """
 
 from __future__ import annotations
@@ -37,11 +38,13 @@ from starfold.session import ship_by_value
 ship_by_value(__name__)
 
 WORDS = 5
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 #: Buckets that shingles are counted in, and parts that the counts move in.
 BUCKET_BITS, PARTS = 22, 256
 #: Documents of a list that meet in one group, about; candidates of a cell.
 LIST, CELL = 20_000, 64
+#: Documents of a part of a list, and ids that a search holds before it adds them up.
+LIST_PART, AT_ONCE = 128, 1 << 22
 #: The weight of probing against merging in the choice of long lists.
 MU = 0.0085
 
@@ -309,6 +312,112 @@ def _stars(lists: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def merged_counts(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids that are in at least ``least`` ascending lists, and in how many: DivideSkip on arrays.
+
+    Short lists are merged; what enough of them have is searched for in the long ones.
+    """
+    lists = sorted(lists, key=len, reverse=True)
+    longest = len(lists[0]) if lists else 0
+    n_long = min(least - 1, int(least / (MU * math.log2(longest) + 1))) if longest > 1 else 0
+    short = lists[n_long:]
+    ids, counts = np.unique(np.concatenate(short) if short else np.empty(0, np.int64), return_counts=True)
+    kept = counts >= least - n_long
+    ids, counts = ids[kept], counts[kept]
+    for x in lists[:n_long]:
+        at = np.searchsorted(x, ids)
+        counts = counts + (x[np.minimum(at, len(x) - 1)] == ids)
+    kept = counts >= least
+    return ids[kept], counts[kept]
+
+
+def _least_common(an, bn):
+    """Short lists that two sets of these sizes must have in common to link (see _candidates)."""
+    return (3 * (an + bn) + 6) // 7 - ((3 * np.maximum(an, bn) + 3) // 4 - 1)
+
+
+class _Query:
+    """Short lists of one document, with what they hold."""
+
+    def __init__(self, x: int, n: int, component: int):
+        self.x, self.n, self.component = x, n, component
+        self.lists: dict[int, list[np.ndarray]] = {}
+        self.size = 0
+        self.known = np.empty((0, 3), np.int64)  # id, n, count of lists that were folded away
+
+    def add(self, token: int, docs: np.ndarray) -> None:
+        """``docs``: (id, n, component) of a part of a list; only those that may link count."""
+        low, high = np.minimum(docs[:, 1], self.n), np.maximum(docs[:, 1], self.n)
+        docs = docs[(docs[:, 2] != self.component) & (100 * low >= 75 * high)]
+        if len(docs):
+            self.lists.setdefault(token, []).append(docs[:, :2])
+            self.size += len(docs)
+            if self.size > AT_ONCE:
+                self.known, self.lists, self.size = self._counted(1), {}, 0
+
+    def _counted(self, least: int) -> np.ndarray:
+        """(id, n, count) over all lists so far."""
+        if not self.lists:
+            return self.known
+        parts = [np.concatenate(p) for p in self.lists.values()]
+        ids, counts = merged_counts([np.sort(p[:, 0]) for p in parts], 1 if len(self.known) else least)
+        every = np.concatenate(parts)
+        order = np.argsort(every[:, 0], kind="stable")
+        n = every[order, 1][np.searchsorted(every[order, 0], ids)]
+        found = np.concatenate([self.known, np.stack([ids, n, counts], 1)])
+        ids, first, place = np.unique(found[:, 0], return_index=True, return_inverse=True)
+        return np.stack([ids, found[first, 1], np.bincount(place, found[:, 2], len(ids)).astype(np.int64)], 1)
+
+    def candidates(self) -> list[tuple[int, int]]:
+        sizes = np.concatenate([d[:, 1] for p in self.lists.values() for d in p]) if self.lists else np.empty(0, np.int64)
+        least = max(int(_least_common(self.n, sizes).min(initial=1 << 40)), 1) if len(sizes) else 1
+        found = self._counted(least)
+        found = found[found[:, 2] >= _least_common(self.n, found[:, 1])]
+        return [(min(self.x, y), max(self.x, y)) for y in found[:, 0].tolist()]
+
+
+def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(x, xn, xc, token, docs) in the order of x to candidate pairs."""
+    query: _Query | None = None
+    for batch in batches:
+        out = []
+        docs = batch.column(4)
+        flat = docs.flatten()
+        table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in flat.flatten()], 1)
+        ends = np.cumsum(docs.value_lengths().to_numpy())
+        for i, (x, n, component, token) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:4]))):
+            if query is None or query.x != x:
+                out += query.candidates() if query else []
+                query = _Query(x, n, component)
+            query.add(token, table[ends[i - 1] if i else 0 : ends[i]])
+        yield _pairs(out)
+    yield _pairs(query.candidates() if query else [])
+
+
+def _still_apart(placed: DataFrame) -> DataFrame:
+    """(a, b) of all pairs in different components whose common short lists allow a link.
+
+    Documents outside the largest component of a list are searched, each with all its
+    lists that hold several components. Of two documents of different components that
+    meet in a list, one is outside its largest; so it is searched and meets the other in
+    all their common lists. Lists go to the searches in parts of LIST_PART documents, not
+    as pairs.
+    """
+    sizes = placed.groupBy("token", "component").agg(F.count("*").alias("_n"))
+    of_list = sizes.groupBy("token").agg(
+        F.max_by("component", F.struct("_n", "component")).alias("_largest"), F.count("*").alias("_k"), F.sum("_n").alias("_size")
+    )
+    mixed_lists = stored(placed.join(of_list.where("_k > 1").drop("_k"), "token"), "mixed-lists")
+    queries = mixed_lists.where("component <> _largest").select(F.col("doc").alias("x")).distinct()
+    entries = mixed_lists.select("token", F.col("doc").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
+    entries = entries.join(queries, "x", "left_semi")
+    part = F.pmod(F.xxhash64("doc"), F.ceil(F.col("_size") / LIST_PART)).alias("_part")
+    parts = mixed_lists.groupBy("token", part).agg(F.collect_list(F.struct("doc", "n", "component")).alias("docs"))
+    met = entries.join(parts, "token").select("x", "xn", "xc", "token", "docs")
+    dealt = met.repartition("x").sortWithinPartitions("x")
+    return dealt.mapInArrow(_searched, "a long, b long").distinct()
+
+
 def near_copies(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: see the module.
 
@@ -359,26 +468,9 @@ def near_copies(documents: DataFrame) -> DataFrame:
     links = links.union(verifier.links(again))
     of_doc = connected(links)
 
-    # Last round: whatever is still apart in a list, pair by pair, but for the pairs inside
-    # the list's largest component and those already tried. Two documents of different
-    # components meet once in each of their common lists, so the count is exact here.
-    placed = _placed(lists, of_doc)
-    sizes = placed.groupBy("token", "component").agg(F.count("*").alias("_n"))
-    largest = sizes.groupBy("token").agg(
-        F.max_by("component", F.struct("_n", "component")).alias("_largest"), F.count("*").alias("_k")
-    )
-    mixed_lists = placed.join(largest.where("_k > 1").drop("_k"), "token")
-    apart = mixed_lists.where("component <> _largest").select(
-        "token", F.col("doc").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc")
-    )
-    others = mixed_lists.select("token", "doc", "n", "component", (F.col("component") == F.col("_largest")).alias("_big"))
-    met = apart.join(others, "token").where(
-        (F.col("component") != F.col("xc")) & (F.col("_big") | (F.col("x") < F.col("doc"))) & sizes_fit("n", "xn")
-    )
-    least = F.col("x") < F.col("doc")
-    ends = {"a": ("x", "doc"), "b": ("doc", "x"), "an": ("xn", "n"), "bn": ("n", "xn")}
-    met = met.select(*[F.when(least, F.col(u)).otherwise(F.col(v)).alias(c) for c, (u, v) in ends.items()])
-    rest = _candidates(met).join(tried, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti")
+    # Last round: a T-occurrence search for each document that is still apart in a list.
+    rest = _still_apart(_placed(lists, of_doc))
+    rest = rest.join(tried, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti")
     links = links.union(verifier.links(stored(rest, "rest")))
     verifier.close()
     of_doc = connected(links)
@@ -403,8 +495,8 @@ def _placed(lists: DataFrame, of_doc: DataFrame) -> DataFrame:
 def keep_one_of_each(documents: DataFrame) -> DataFrame:
     """The documents without those that link to one of smaller doc_id, directly or not.
 
-    One row stays of each component: that of its least doc_id. Columns stay as they are;
-    rows without doc_id stay.
+    The rows of the least doc_id stay of each component; so does every row that repeats it,
+    and every row without doc_id. Columns stay as they are.
     """
     found = near_copies(documents)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()

@@ -106,6 +106,31 @@ def test_components_equal_brute_force(spark):
     assert len(found) == len(rows) + 2
 
 
+def test_a_large_group_of_near_copies_equals_brute_force(spark, monkeypatch):
+    """Copies of one text, most of them too far apart to link: lists stay in many components."""
+    monkeypatch.setattr(jaccard_join, "LIST_PART", 7)
+    monkeypatch.setattr(jaccard_join, "AT_ONCE", 500)
+    rng = np.random.default_rng(12)
+    base, rows = prose(rng, 80, 10**6).split(), []
+    for i in range(150):
+        copy = list(base)
+        for at in rng.choice(80, rng.integers(0, 7), replace=False):
+            copy[at] = f"own{i}x{at}"
+        rows.append((int(i * 7 % 150), " ".join(copy + ["end"] * (i % 3)), None))
+    sets = {d: shingles(t) for d, t, _ in rows}
+    least = {d: d for d in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in itertools.combinations(sorted(sets), 2):
+            if least[a] != least[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                least[a] = least[b] = min(least[a], least[b])
+                changed = True
+    assert 20 < len(set(least.values())) < 120
+    found = {r.doc_id: r.component_id for r in jaccard_join.near_copies(documents(spark, rows).repartition(3)).collect()}
+    assert found == least
+
+
 def test_no_documents_to_join(spark):
     assert jaccard_join.near_copies(documents(spark, [])).collect() == []
 

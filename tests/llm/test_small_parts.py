@@ -168,3 +168,31 @@ def _encoder():
     if not _ENCODERS:
         _ENCODERS.append(Encoder(public_tokenizers.path("byte_bpe_50k.json")))
     return _ENCODERS[0]
+
+
+def test_merged_counts_equal_counting():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        lists = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(rng.integers(0, 12))]
+        least = int(rng.integers(1, 8))
+        every = Counter(int(i) for x in lists for i in x)
+        ids, counts = jaccard_join.merged_counts(lists, least)
+        assert dict(zip(ids.tolist(), counts.tolist())) == {i: c for i, c in every.items() if c >= least}
+
+
+def test_entries_keep_their_values():
+    rng = np.random.default_rng(9)
+    parts, dense = [], np.zeros((30, quality.FEATURES), np.float32)
+    for first in (0, 10, 20):
+        at = np.unique(rng.integers(0, 10 * 64, 80))
+        row, feature = first + at // 64, at % 64
+        value = np.where(feature < quality.SHAPES, rng.random(len(at)), 1)
+        dense[row, feature] = value
+        parts.append(quality._Entries.of(row, feature, value))
+    rows, features = rng.random(30) < 0.7, rng.random(quality.FEATURES) < 0.7
+    row, feature, value = quality._Entries.joined([p.where(rows, features) for p in parts])
+    found = np.zeros_like(dense)
+    for i in range(0, len(row), 7):
+        end = min(i + 7, len(row))
+        found[row[i:end], feature[i:end]] = value[i:end]
+    assert (found == dense * rows[:, None] * features[None, :]).all()
