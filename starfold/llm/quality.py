@@ -33,7 +33,7 @@ FEATURES, SHAPES = 1 << 18, 32
 #: A word counts if so many documents of the sample have it, or one that is likely bad.
 LEAST_DOCUMENTS = 8
 STEM = 4
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 #: Values of the sample that one step of the fit widens to doubles together.
 AT_ONCE = 1 << 20
 
@@ -258,9 +258,10 @@ def fit_scorer(row: np.ndarray, feature: np.ndarray, value: np.ndarray, target:
     """
     n = len(target)
     times = np.ones(n) if times is None else times
-    parts = [slice(i, i + AT_ONCE) for i in range(0, len(row), AT_ONCE)]
+    parts = [slice(i, min(i + AT_ONCE, len(row))) for i in range(0, len(row), AT_ONCE)]
     summed = lambda key, size, weigh: sum((np.bincount(key[p], weigh(p), size) for p in parts), np.zeros(size))
     columns = np.flatnonzero(np.bincount(feature, minlength=FEATURES))
+    # A value that all words share is held once.
     at = (np.cumsum(np.bincount(columns, minlength=FEATURES)) - 1).astype(np.int32)[feature]
     bad, good = times * target, times * (1 - target)
     weight = bad / (2 * max(bad.sum(), 1e-9)) + good / (2 * max(good.sum(), 1e-9))
@@ -286,6 +287,48 @@ def fit_scorer(row: np.ndarray, feature: np.ndarray, value: np.ndarray, target:
     return out
 
 
+class _Values:
+    """Values of entries: ones for the first of them, the rest as they are."""
+
+    def __init__(self, ones: int, rest: np.ndarray):
+        self.ones, self.rest = ones, rest
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        out = np.ones(part.stop - part.start)
+        n = min(max(self.ones - part.start, 0), len(out))
+        at = part.start + n - self.ones
+        own = self.rest[max(at, 0) : max(at, 0) + len(out) - n]
+        out[n : n + len(own)] = own
+        return out[: n + len(own)]
+
+
+@dataclass
+class _Entries:
+    """Entries of a sparse matrix: those of words, whose value is 1, and those of shapes."""
+
+    row: np.ndarray
+    feature: np.ndarray
+    shape_row: np.ndarray
+    shape: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, row: np.ndarray, feature: np.ndarray, value: np.ndarray) -> _Entries:
+        word = feature >= SHAPES
+        short = lambda x: x.astype(np.int32)
+        return cls(short(row[word]), short(feature[word]), short(row[~word]), short(feature[~word]), value[~word].astype(np.float32))
+
+    def where(self, rows: np.ndarray, features: np.ndarray) -> _Entries:
+        word, shape = rows[self.row] & features[self.feature], rows[self.shape_row] & features[self.shape]
+        return _Entries(self.row[word], self.feature[word], self.shape_row[shape], self.shape[shape], self.value[shape])
+
+    @staticmethod
+    def joined(parts: list[_Entries]) -> tuple[np.ndarray, np.ndarray, _Values]:
+        """(row, feature, value) of all parts, words first."""
+        all_of = lambda *names: np.concatenate([getattr(p, name) for name in names for p in parts])
+        return all_of("row", "shape_row"), all_of("feature", "shape"), _Values(sum(len(p.row) for p in parts), all_of("value"))
+
+
 def likely_bad(name: str, model: LabelModel, votes: np.ndarray) -> np.ndarray:
     return (votes != silent_pattern(RULES[name] + 1)) & (model.posterior(votes) > 0.5)
 
@@ -330,13 +373,15 @@ def drawn_sample(voted: DataFrame, models: dict[str, LabelModel], sample: int) -
         for kind, quota in _quotas(own, most).items():
             if quota:
                 share = int(quota / own[kind] * (1 << 40))
-                drawn = drawn.union(kinds.where((F.col("seen") == seen) & (F.col("kind") == kind) & (draw < share)).limit(quota))
+                own_kind = kinds.where((F.col("seen") == seen) & (F.col("kind") == kind) & (draw < share))
+                drawn = drawn.union(own_kind.orderBy(draw, "doc_id", "junk", "insult").limit(quota))
     chosen = stored(drawn, "sample")
     got, times = tally(chosen), F.lit(1.0)
     for (seen, kind), n in got.items():
         share = sum(m for (s, _), m in got.items() if s == seen) / sum(m for (s, _), m in counts.items() if s == seen)
         times = F.when((F.col("seen") == seen) & (F.col("kind") == kind), counts[seen, kind] / n * share).otherwise(times)
-    return chosen.withColumn("times", times).drop("seen", "kind").dropDuplicates(["doc_id"])
+    first = F.min(F.struct("junk", "insult", "times")).alias("first")
+    return chosen.withColumn("times", times).groupBy("doc_id").agg(first).select("doc_id", "first.*")
 
 
 def train(documents: DataFrame, voted: DataFrame, models: dict[str, LabelModel], sample: int = SAMPLE) -> dict[str, np.ndarray]:
@@ -346,8 +391,9 @@ def train(documents: DataFrame, voted: DataFrame, models: dict[str, LabelModel],
     """
     chosen = drawn_sample(voted, models, sample)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # At most 5/4 * sample narrow rows are broadcast; a text that repeats its id may come again.
-    sampled = texts.join(F.broadcast(chosen), "doc_id").limit(2 * sample)
+    # At most 5/4 * sample narrow rows are broadcast. Of rows that repeat an id the least text counts.
+    joined = texts.join(F.broadcast(chosen), "doc_id")
+    sampled = joined.groupBy("doc_id", *TASKS, "times").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, parts, targets, times, n = FeatureReader(), [], {name: [] for name in TASKS}, [], 0
@@ -356,7 +402,7 @@ def train(documents: DataFrame, voted: DataFrame, models: dict[str, LabelModel],
             for part in slices(batch, 0, TOGETHER):
                 row, feature, value, f = reader.sparse(part.column(0))
                 seen += np.bincount(feature, minlength=FEATURES)
-                parts.append(((row + n).astype(np.int32), feature.astype(np.int32), value.astype(np.float32)))
+                parts.append(_Entries.of(row + n, feature, value))
                 n += len(f.count)
                 times.append(part.column("times").to_numpy())
                 for i, name in enumerate(TASKS):
@@ -367,22 +413,23 @@ def train(documents: DataFrame, voted: DataFrame, models: dict[str, LabelModel],
                     of_bad[name][feature[likely_bad(name, models[name], votes)[row]]] = True
         if not n:
             return
+        del batch, part, row, feature, value, f
         for number, name in enumerate(TASKS):
             target = np.concatenate(targets[name])
             told = target >= 0
             # Rare words of good documents, most of all, go before the parts become one.
             usual = (np.arange(FEATURES) < SHAPES) | (seen >= LEAST_DOCUMENTS) | of_bad[name]
             place = (np.cumsum(told) - 1).astype(np.int32)
-            chosen = [told[r] & usual[f] for r, f, _ in parts]
-            row, feature, value = (np.concatenate([x[i][c] for x, c in zip(parts, chosen)]) for i in range(3))
+            row, feature, value = _Entries.joined([p.where(told, usual) for p in parts])
             weights = fit_scorer(place[row], feature, value, target[told], times=np.concatenate(times)[told])
+            del row, feature, value
             used = np.flatnonzero(weights)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(used), number)), pa.array(used), pa.array(weights[used])],
                 names=["task", "feature", "weight"],
             )
 
-    one_task = sampled.select("text", *TASKS, "times").coalesce(1)
+    one_task = sampled.select("text", *TASKS, "times", "doc_id").repartition(1).sortWithinPartitions("doc_id").drop("doc_id")
     fitted = one_task.mapInArrow(run, "task long, feature long, weight float").toArrow()
     out = {name: np.zeros(FEATURES + 1, np.float32) for name in TASKS}
     for number, name in enumerate(TASKS):

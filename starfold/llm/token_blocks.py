@@ -31,7 +31,7 @@ ship_by_value(__name__)
 
 END_ID = 0
 #: Words that a worker remembers the ids of, before it starts anew.
-REMEMBERED = 1_200_000
+REMEMBERED = 800_000
 #: Bytes of text that are tokenised together, and new words that are one text.
 TOGETHER, GROUP = 4 << 20, 1000
 #: How the vocabulary writes a space.
