@@ -96,8 +96,19 @@ class Encoder:
         self.spaced = np.zeros(self.library.get_vocab_size(), bool)
         for token, number in self.library.get_vocab().items():
             self.spaced[number] = token.startswith(SPACE)
+        # Fixed values of byte-level vocabularies: the characters that stand for bytes.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.byte = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        probe = ["word", "Stra\u00dfe", "\u65e5\u672c", "\u00e9t\u00e9", "Zzyzx"]
+        self.direct = self._encode([" " + w for w in probe]) == [self._of_letters(w) for w in probe]
         self._forget()
 
+    def _of_letters(self, word: str) -> list[int]:
+        """Ids of a word of letters with a space before it, one piece, from the model alone."""
+        piece = SPACE + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(self.byte)
+        return [t.id for t in self.library.model.tokenize(piece)]
+
     def _forget(self) -> None:
         """``ids`` of word i are those from ``start[i]`` on, ``length[i]`` of them."""
         self.numbers = _Numbers()
@@ -117,13 +128,14 @@ class Encoder:
     def _learn(self) -> None:
         """Find the ids of all words that have got a number since the last time.
 
-        Many words are encoded as one text and cut where an id begins with a space. The
+        A word of letters is one piece, which the library's model takes as it is. Many
+        other words are encoded as one text and cut where an id begins with a space. The
         word of a text has no space before it; its key is a tuple. It, and words
         with white space at an end, are encoded alone. Letters and the punctuation after
         them are pieces, too; such a word is put together from both.
         """
         base, new = len(self.length.held), self.numbers.new
-        alone, together, joined = [], [], []
+        alone, together, joined, letters_only = [], [], [], []
         for number, key in enumerate(new, base):  # grows by letters and punctuation
             if not isinstance(key, str) or not key or key[0].isspace() or key[-1].isspace() or not self.can_join:
                 alone.append(number)
@@ -132,7 +144,7 @@ class Encoder:
             if len(letters) < len(key) and letters.isalpha():
                 joined.append((number, self.numbers[letters], self.numbers[(key[len(letters) :],)]))
             else:
-                together.append(number)
+                (letters_only if self.direct and key.isalpha() else together).append(number)
         self.numbers.new = []
         for table in (self.start, self.length):
             table.extend(np.zeros(len(new), np.int64))
@@ -145,6 +157,10 @@ class Encoder:
                 self._keep(ids, np.diff(np.append(begins, len(ids))), np.array(own))
             else:
                 alone += own
+        if letters_only:
+            found = [self._of_letters(new[n - base]) for n in letters_only]
+            length = np.fromiter(map(len, found), np.int64, len(found))
+            self._keep(np.fromiter(chain.from_iterable(found), np.uint32), length, np.array(letters_only))
         if alone:
             keys = [new[n - base] for n in alone]
             found = self._encode([k[0] if isinstance(k, tuple) else " " + k for k in keys])
