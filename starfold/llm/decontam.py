@@ -6,7 +6,9 @@ small as what it shares. The reduced sets are put into size classes. The contain
 bound and a class's largest size give the least Jaccard similarity that a hit can have;
 bands of MinHash values are chosen for it. Where even single values could miss a hit, the
 class is joined shingle by shingle, which misses nothing. Every candidate is verified
-by counting the shingles, as words, that it shares with the item.
+by counting the shingles, as words, that it shares with the item. An item of fewer than
+five words is one shingle, its whole word sequence, and is looked for in the windows of
+that length.
 """
 
 from __future__ import annotations
@@ -30,26 +32,44 @@ CLASSES = 31
 BREAKS = "[\\x20\\x09-\\x0D]+"
 
 
-def shingle_rows(df: DataFrame, key: str) -> DataFrame:
-    """(key, shingle): every five-word shingle of every text, lower case, repeats included.
-
-    Five copies of the words, each a word further on, are zipped, so that shingles are
-    built by generated code and not by a lambda for each word. A text of fewer than five
-    words, or none, has no shingles.
-    """
+def split_words(df: DataFrame, key: str) -> DataFrame:
+    """(key, _w, _n): the lower-case words of every text between two empty ones, their number."""
     # One space before and after each text gives every split an empty first and last word.
     text = F.concat(F.lit(" "), F.lower(text_or_empty()), F.lit(" "))
     words = df.select(F.col(key), F.split(text, BREAKS).alias("_w"))
-    n = F.size("_w") - 1 - WORDS
-    shifted = [F.slice("_w", i + 2, n) for i in range(WORDS)]
-    names = [f"w{i}" for i in range(WORDS)]
-    zipped = words.where(n > 0).select(key, F.inline(F.arrays_zip(*shifted)).alias(*names))
-    return zipped.select(key, F.concat_ws(" ", *names).alias("shingle"))
+    return words.withColumn("_n", F.size("_w") - 2)
+
+
+def shingle_rows(words: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+    """(key, shingle): every run of so many words of every text, repeats included.
+
+    Copies of the words, each a word further on, are zipped, so that shingles are built by
+    generated code and not by a lambda for each word. Texts that are too short have none.
+    """
+    longest, shortest = max(lengths), min(lengths)
+    names = [f"w{i}" for i in range(longest)]
+    # Where a copy is shorter than the first, the zip fills it with nulls.
+    shifted = [F.slice("_w", i + 2, F.greatest(F.col("_n") - max(i, shortest - 1), F.lit(0))) for i in range(longest)]
+    zipped = words.where(F.col("_n") >= shortest).select(key, F.inline(F.arrays_zip(*shifted)).alias(*names))
+    runs = {n: F.concat_ws(" ", *names[:n]) for n in lengths}
+    if len(lengths) == 1:
+        return zipped.select(key, runs[longest].alias("shingle"))
+    whole = [F.when(F.col(names[n - 1]).isNotNull(), run) for n, run in runs.items()]
+    return zipped.select(key, F.explode(F.array(*whole)).alias("shingle")).where("shingle is not null")
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
-    """(item_id, shingle, n_item): distinct shingles of each item, and how many they are."""
-    distinct = shingle_rows(items, "item_id").distinct()
+    """(item_id, n_words, shingle, n_item): distinct shingles of each item, and how many they are.
+
+    ``n_words`` are those of the shingle: five, or all of a shorter item. An item without
+    words has no shingles.
+    """
+    words = split_words(items, "item_id")
+    short = words.where(F.col("_n").between(1, WORDS - 1)).select(
+        "item_id", F.col("_n").alias("n_words"), F.array_join(F.slice("_w", 2, F.col("_n")), " ").alias("shingle")
+    )
+    rows = shingle_rows(words, "item_id", [WORDS]).select("item_id", F.lit(WORDS).alias("n_words"), "shingle")
+    distinct = rows.unionByName(short).distinct()
     sizes = distinct.groupBy("item_id").agg(F.count("*").alias("n_item"))
     return distinct.join(sizes, "item_id")
 
@@ -57,8 +77,10 @@ def item_shingles(items: DataFrame) -> DataFrame:
 def reduced_documents(documents: DataFrame, shingles: DataFrame) -> DataFrame:
     """(doc_id, shared): the distinct shingles of each document that any item has."""
     known = small_if_proven(shingles.select("shingle").distinct())
+    # At most five: windows are built of the lengths that items have, and of no other.
+    lengths = sorted(r[0] for r in shingles.select("n_words").distinct().collect()) or [WORDS]
     return (
-        shingle_rows(documents, "doc_id")
+        shingle_rows(split_words(documents, "doc_id"), "doc_id", lengths)
         .join(known, "shingle")
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_set("shingle")).alias("shared"))
@@ -103,9 +125,11 @@ def bands(df: DataFrame, key: str, shared: str, rows: list[int], extra: list[str
 def search(documents: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared): items of which a document holds the least share.
 
-    A null text is empty. An item or document of fewer than five words is never part of
-    a hit: so short a text is no evidence. Items and documents may repeat: rows of one
-    id are one set. Rows whose id is null are left out. Empty tables give no hits.
+    A null text is empty, and an item without words is never part of a hit. An item of one
+    to four words hits every document that holds these words in a row; one word may well be
+    in very many, so leave such items out of ``items`` where they are no evidence. Items
+    and documents may repeat: rows of one id are one set. Rows whose id is null are left
+    out. Empty tables give no hits.
     """
     items = items.where("item_id is not null")
     documents = documents.where("doc_id is not null")

@@ -107,9 +107,12 @@ ORACLES: dict[str, str] = {
         words AS (
           SELECT kind, id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w
           FROM texts),
-        starts AS (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM words),
+        lengths AS (SELECT DISTINCT least(len(w), 5) AS k FROM words WHERE kind = 'i' AND len(w) > 0),
+        starts AS (
+          SELECT kind, id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, lengths
+          WHERE len(w) >= k AND (kind = 'd' OR k = least(len(w), 5))),
         shingles AS (
-          SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS shingle FROM starts),
+          SELECT DISTINCT kind, id, array_to_string(w[i:i + k - 1], ' ') AS shingle FROM starts),
         items AS (SELECT *, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE kind = 'i')
         SELECT d.id AS doc_id, i.id AS item_id, i.n_item, count(*) AS n_shared
         FROM shingles d JOIN items i USING (shingle) WHERE d.kind = 'd'

@@ -172,6 +172,7 @@ def test_conversation_parts_keep_their_attachments(spark):
 def test_hits_equal_brute_force(spark):
     rng = np.random.default_rng(2)
     items = [(i, prose(rng, n)) for i, n in enumerate([3, 5, 6, 14, 40, 59])] + [(6, None), (7, ""), (None, "a b c d e f")]
+    items += [(8, " Xq "), (9, "xq\tyq zq  VQ"), (10, "xq yq"), (10, "xq yq zq vq uq tq")]
     rows = [(9, None, None), (10, "", None), (11, "a b", None)]
     for d in range(30):
         parts = [prose(rng, 30)]
@@ -180,13 +181,19 @@ def test_hits_equal_brute_force(spark):
             parts += [" ".join(w[: len(w) - rng.integers(0, 3)]).upper(), prose(rng, 9)]
         rows.append((20 + d, "\n".join(parts), None))
     rows.append((99, " ".join(t for _, t in items if t) * 2, None))
-    whole = lambda t: {x for x in shingles(t) if len(x) == 5}
+    for d, text in enumerate(["xq", "a xq yq b", "Xq yq zq\nvq", "xq yq zq vq uq tq", "xq xq", "x q", "yq zq vq"]):
+        rows.append((60 + d, text, None))
+    sets = {}
+    for i, item in items:
+        sets.setdefault(i, set()).update(shingles(item))
     expected = set()
     for d, t, _ in rows:
-        for i, item in items:
-            s = whole(item)
-            if i is not None and s and len(s & whole(t)) >= 0.75 * len(s):
-                expected.add((d, i, len(s), len(s & whole(t))))
+        words = (t or "").lower().split()
+        held = {tuple(words[i : i + n]) for n in range(1, 6) for i in range(len(words) - n + 1)}
+        for i, s in sets.items():
+            if i is not None and s and len(s & held) >= 0.75 * len(s):
+                expected.add((d, i, len(s), len(s & held)))
+    assert {(r[0], r[1]) for r in expected} >= {(60, 8), (62, 9), (63, 9), (63, 10)} and (61, 10) not in expected
     table = documents(spark, [*rows, rows[5], (None, rows[-1][1], None)])
     bench = spark.createDataFrame([(*r, 1) for r in items], "item_id long, text string, doc_id int")
     assert {tuple(r) for r in decontam.search(table, bench).collect()} == expected
