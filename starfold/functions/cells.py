@@ -123,10 +123,6 @@ def archive_name(url: Column, code: Column) -> Column:
     return F.when(F.lower(tail).endswith(".zip"), tail).otherwise(F.concat(code, F.lit(".zip")))
 
 
-def first_non_empty(*candidates: Column) -> Column:
-    return F.coalesce(*[blank_to_null(c) for c in candidates])
-
-
 def content_hash(c: Column) -> Column:
     """SHA-256 of text or bytes, as lower-case hex."""
     return F.sha2(c.cast("binary"), 256)

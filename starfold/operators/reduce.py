@@ -108,10 +108,6 @@ def repeated_keys(dim: DataFrame, key: str) -> DataFrame:
     return dim.groupBy("dataset_code", key).count().where("count > 1")
 
 
-def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.drop(*[col(name) for name in names])
-
-
 @dataclass(frozen=True)
 class Layout:
     """Everything one profile pass decides about a dataset."""

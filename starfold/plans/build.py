@@ -5,6 +5,7 @@ from __future__ import annotations
 import platform
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
@@ -18,12 +19,15 @@ from starfold.operators import audit, enrich
 from starfold.operators.merge import upsert
 from starfold.operators.reduce import Years
 from starfold.plans.importer import ImportResult, fact_table, import_archive
-from starfold.plans.store import Store
-from starfold.session import materialise, small_frame
+from starfold.plans.store import Store, StoreConflict
+from starfold.session import SCHEDULER_POOL, materialise, small_frame
 from starfold.sources import manifest
 from starfold.sources.archives import audit_archives
 from starfold.sources.lookup import read_lookup
 
+#: Datasets that are imported side by side.
+AT_ONCE = 8
+
 # Columns and types of the provenance tables.
 MANIFEST = "meta_manifest"
 DATASETS, BUILDS, AREAS = "meta_dataset", "meta_build", "area_classification"
@@ -124,6 +128,38 @@ def _audited_state(row) -> dict:
     }
 
 
+def _imported(store: Store, row, **options) -> ImportResult | Exception:
+    """Import one audited archive through a store of its own; a failure is the result.
+
+    The jobs of a dataset go to a pool of their own, so that a session with fair
+    scheduling lets small datasets pass beside a large one.
+    """
+    code, own = row["dataset_code"], Store(store.spark, store.root)
+    store.spark.sparkContext.setLocalProperty(SCHEDULER_POOL, f"import-{code}")
+    try:
+        _note(own, {"dataset_code": code, "state": "importing"})
+        return import_archive(own, row["archive"], code, **options)
+    except Exception as error:  # recorded with the dataset
+        return error
+    finally:
+        store.spark.sparkContext.setLocalProperty(SCHEDULER_POOL, None)
+
+
+def _imported_side_by_side(store: Store, rows: list, at_once: int, **options) -> dict:
+    """Result or failure of every dataset; the store takes them over at the end.
+
+    Datasets write different partitions, which the log merges. Whoever loses against
+    another dataset all the same (a column of two types) is imported again, alone.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        found = dict(zip([r["dataset_code"] for r in rows], pool.map(lambda r: _imported(store, r, **options), rows)))
+    for row in rows:
+        if isinstance(found[row["dataset_code"]], StoreConflict):
+            found[row["dataset_code"]] = _imported(store, row, **options)
+    store.refresh()
+    return found
+
+
 def build(
     store: Store,
     inventory: DataFrame,
@@ -135,12 +171,14 @@ def build(
     resume: bool = False,
     lookup_path: str | None = None,
     command_line: str = "",
+    at_once: int = AT_ONCE,
 ) -> BuildResult:
     """Import every dataset of a (selected) inventory from a folder of archives.
 
-    All archives are audited in one distributed job. Datasets are then imported one by
-    one, each as distributed jobs; a failing one is recorded and the build goes on,
-    unless ``strict``. Every change of a dataset's state is a line of the manifest; with
+    All archives are audited in one distributed job. Datasets are then imported as
+    distributed jobs, ``at_once`` of them side by side; a failing one is recorded and the
+    build goes on. With ``strict`` they come one by one, and the first failure is the end.
+    Every change of a dataset's state is a line of the manifest; with
     ``resume``, datasets that are imported from the same archive bytes are left alone.
     Enrichment is an extra layer, and its failure spoils nothing.
     """
@@ -152,26 +190,26 @@ def build(
     skipped = _unchanged(store, archives) if resume else set()
     audited = [r for r in found if r["dataset_code"] not in skipped]
     _note(store, *[_audited_state(r) for r in audited])
-    for row in audited:
-        code, imported, status = row["dataset_code"], None, "imported"
-        if not row["ok"]:
-            status = "failed" if row["reason"] == "missing" else "zip_invalid"
-            result.failed[code] = row["reason"]
-        else:
-            try:
-                _note(store, {"dataset_code": code, "state": "importing"})
-                imported = import_archive(store, row["archive"], code, years=years, keep_raw=keep_raw)
+    options = {"years": years, "keep_raw": keep_raw}
+    groups = [[r] for r in audited] if strict else [audited]
+    for group in groups:
+        done = _imported_side_by_side(store, [r for r in group if r["ok"]], at_once, **options)
+        for row in group:
+            code, imported, status = row["dataset_code"], done.get(row["dataset_code"]), "imported"
+            if not row["ok"]:
+                status = _audited_state(row)["state"]
+                result.failed[code] = row["reason"]
+            elif isinstance(imported, Exception):
+                status, result.failed[code], imported = "failed", str(imported), None
+            else:
                 result.imported[code] = imported
                 if strict and not imported.lossless:
                     result.failed[code] = "row counts differ"
-            except Exception as error:  # recorded with the dataset
-                status = "failed"
-                result.failed[code] = str(error)
-        if row["ok"]:
-            _note(store, {"dataset_code": code, "state": status, "error": result.failed.get(code)})
-        rows = (imported.row_count, imported.source_row_count) if imported else (None, None)
-        outcomes.append((code, *rows, status))
-        if strict and code in result.failed:
+            counts = (imported.row_count, imported.source_row_count) if imported else (None, None)
+            outcomes.append((code, *counts, status))
+        ended = [(code, status) for code, *_, status in outcomes if code in done]
+        _note(store, *[{"dataset_code": c, "state": s, "error": result.failed.get(c)} for c, s in ended])
+        if strict and result.failed:
             break
     if lookup_path is not None:
         try:

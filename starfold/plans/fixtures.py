@@ -6,7 +6,10 @@ row of the tables takes part.
 
 from __future__ import annotations
 
+import csv
 import io
+import itertools
+import uuid
 import zipfile
 
 import pandas as pd
@@ -277,3 +280,67 @@ def small_archives(t: Tables) -> DataFrame:
             yield pd.DataFrame(made, columns=["archive", "content"])
 
     return t.part.select("p_partkey", "p_name", "p_type").mapInPandas(pack, "archive string, content binary")
+
+
+ARCHIVE_HEADERS = ["Area Code", "Area", "Item Code", "Item", "Year", "Value", "Flag"]
+
+
+def region_archives(t: Tables, folder: str) -> DataFrame:
+    """(dataset_code, rows) of one ZIP archive for each region, written to ``folder``.
+
+    An archive holds the region's orders as CSV, a legend of its flags, and a read-me file.
+    Rows go through its one deflate stream as they come; a task holds a batch of them and
+    the few flags. Archives get their names when they are whole.
+    """
+
+    def pack(batches):
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+        system.create_dir(root, recursive=True)
+        rows = itertools.chain.from_iterable(b.itertuples(index=False, name=None) for b in batches)
+        for code, group in itertools.groupby(rows, key=lambda r: r[0]):
+            draft, flags, count = f"{root}/.draft-{uuid.uuid4().hex}", set(), 0
+            with system.open_output_stream(draft) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                with archive.open(f"{code}_All_Data.csv", "w", force_zip64=True) as member:
+                    text = io.TextIOWrapper(member, "utf-8", newline="")
+                    writer = csv.writer(text, quoting=csv.QUOTE_ALL)
+                    writer.writerow(ARCHIVE_HEADERS)
+                    for _, _, *cells in group:
+                        writer.writerow(["" if c is None else c for c in cells])
+                        flags.add(cells[-1])
+                        count += 1
+                    text.detach()
+                legend = [f"{f},Status {f}" for f in sorted(flags - {None})]
+                archive.writestr(f"{code}_Flags.csv", "\n".join(["Flag,Description", *legend]) + "\n")
+                archive.writestr("readme.txt", "orders of one region\n")
+            system.move(draft, f"{root}/{code}.zip")
+            yield pd.DataFrame({"dataset_code": [code], "rows": [count]})
+
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        t.nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    cells = rows.select(
+        F.concat(F.lit("R"), _text("n_regionkey")).alias("code"),
+        F.col("o_orderkey").alias("place"),
+        _text("n_nationkey").alias("area_code"),
+        F.col("n_name").alias("area_label"),
+        F.concat(F.lit("P"), F.substring("o_orderpriority", 1, 1)).alias("item_code"),
+        F.col("o_orderpriority").alias("item_label"),
+        _text(F.year("o_orderdate")).alias("year"),
+        _text(F.floor("o_totalprice").cast("bigint")).alias("value"),
+        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderstatus")).alias("flag_code"),
+    )
+    ordered = cells.repartition("code").sortWithinPartitions("code", "place")
+    return ordered.mapInPandas(pack, "dataset_code string, rows bigint")
+
+
+def archive_inventory(packed: DataFrame) -> DataFrame:
+    """An inventory document for every packed archive."""
+    entry = F.struct(
+        F.col("dataset_code").alias("DatasetCode"),
+        F.concat(F.lit("Orders of "), "dataset_code").alias("DatasetName"),
+        _text("rows").alias("FileRows"),
+    )
+    document = F.to_json(F.struct(F.struct(F.array(entry).alias("Dataset")).alias("Datasets")))
+    return packed.select(F.concat(F.lit("doc/"), "dataset_code").alias("source_url"), document.alias("value"))

@@ -26,7 +26,7 @@ from starfold.operators.reduce import (
 )
 from starfold.operators.views import labelled_view, rehydrate
 from starfold.plans.store import Store, escape_value
-from starfold.session import materialise, scratch_dir, small_frame
+from starfold.session import SCHEDULER_POOL, materialise, scratch_dir, small_frame
 from starfold.sources.archives import list_members, unpack_members
 from starfold.sources.csv_files import (
     count_source_rows,
@@ -222,7 +222,10 @@ def import_frame(
         if layout.row_count:
             _record_constants(store, dataset_code, layout.constants)
 
-    with store.batch(), ThreadPoolExecutor(WRITERS) as pool:
+    context = store.spark.sparkContext
+    own_pool = (SCHEDULER_POOL, context.getLocalProperty(SCHEDULER_POOL))
+    writers = ThreadPoolExecutor(WRITERS, initializer=context.setLocalProperty, initargs=own_pool)
+    with store.batch(), writers as pool:
         append = applied is not None and store.has(table)
         # The writes do not depend on each other: their jobs share the executors.
         writes = [write_fact, lambda: _record_mapping(store, layout, raw_names or list(staged.columns), append)]

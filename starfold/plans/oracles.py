@@ -311,6 +311,20 @@ ORACLES: dict[str, str] = {
     "strip_marker": _with(SALES) + """SELECT item_code, CASE WHEN flag_code = 'F' THEN substr(area_code_m49, 2) END AS area_code_m49,
         CASE WHEN flag_code = 'F' THEN concat('''', area_label) ELSE area_label END AS area_label, value FROM wide_sales""",
     "labelled_view": _with(SALES) + SALES_VIEW,
+    "archive_to_star": """
+        WITH rows AS (
+          SELECT concat('R', CAST(n_regionkey AS VARCHAR)) AS dataset_code, n_name AS area_label,
+            o_orderpriority AS item_label, CAST(year(o_orderdate) AS INTEGER) AS year,
+            CASE WHEN o_orderkey % 11 <> 0 THEN concat('Status ', o_orderstatus) END AS flag_description,
+            CAST(floor(o_totalprice) AS BIGINT) AS value
+          FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+        noted AS (
+          SELECT dataset_code, count(*) FILTER (year >= 1995) AS rows_imported,
+            count(*) AS file_rows_declared, count(*) FILTER (year = 1995) AS raw_rows
+          FROM rows GROUP BY dataset_code)
+        SELECT dataset_code, area_label, item_label, year, flag_description, count(*) AS n,
+          CAST(sum(value) AS BIGINT) AS total, rows_imported, file_rows_declared, raw_rows
+        FROM rows JOIN noted USING (dataset_code) WHERE year >= 1995 GROUP BY ALL""",
     "import_dataset": _with(SALES) + SALES_VIEW,
     "labelled_trade": _with(TRADE) + """SELECT 'TR' AS dataset_code, CAST(reporter_country_code AS INTEGER) AS reporter_country_code,
         CAST(partner_country_code AS INTEGER) AS partner_country_code, item_code, iso_currency_code, CAST(year AS INTEGER) AS year,

@@ -11,7 +11,7 @@ from starfold.functions import cells, headers
 from starfold.functions.headers import DimensionGroup, normalise_names
 from starfold.operators import audit, enrich, merge, profile, reduce, selection, views
 from starfold.operators.reduce import Years
-from starfold.plans import fixtures, importer
+from starfold.plans import build, fixtures, importer
 from starfold.plans.fixtures import Tables, spread
 from starfold.plans.store import Store
 from starfold.session import fresh_dir, materialise
@@ -589,6 +589,33 @@ def import_dataset(t: Tables) -> DataFrame:
     return importer.labelled(store, "LI")
 
 
+@query
+def archive_to_star(t: Tables) -> DataFrame:
+    """From ZIP archives to labelled views: several datasets side by side, in two builds.
+
+    The first takes the years from 1996 on, the second merges 1995 into them and keeps a
+    raw copy of it. The result has the rows of each label and what provenance and raw copy
+    say of the dataset.
+    """
+    folder = fresh_dir(t.spark, "archives")
+    packed = materialise(fixtures.region_archives(t, folder), "packed")
+    listed = materialise(inventory.scan_inventory(fixtures.archive_inventory(packed)), "inventory")
+    store = _store(t, "archives")
+    for years, keep_raw in ((Years.of(start=1996), False), (Years.of(1995), True)):
+        result = build.build(store, listed, folder, years=years, keep_raw=keep_raw)
+        if result.failed:
+            raise RuntimeError(f"builds failed: {result.failed}")
+    found = raw = None
+    labels = ["dataset_code", "area_label", "item_label", "year", "flag_description"]
+    for code in sorted(result.imported):
+        view = importer.labelled(store, code)
+        rows = view.groupBy(*labels).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("bigint")).alias("total"))
+        copies = store.read(importer.raw_table(code)).agg(F.count(F.lit(1)).alias("raw_rows")).withColumn("dataset_code", F.lit(code))
+        found, raw = (rows, copies) if found is None else (found.unionByName(rows), raw.unionByName(copies))
+    noted = store.read(build.DATASETS).select("dataset_code", "rows_imported", "file_rows_declared")
+    return found.join(noted, "dataset_code").join(raw, "dataset_code")
+
+
 # --- recipes and scalar functions -------------------------------------------------------
 
 

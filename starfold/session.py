@@ -13,6 +13,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Property of a thread: the pool that its jobs go to where ``spark.scheduler.mode`` is FAIR.
+SCHEDULER_POOL = "spark.scheduler.pool"
 
 
 def local_session(cores: int | str = 8, app: str = "starfold") -> SparkSession:

@@ -7,13 +7,15 @@ work is spread over rows, one for each archive or member, and streams have bound
 from __future__ import annotations
 
 import codecs
+import contextlib
 import hashlib
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.session import ship_by_value
@@ -21,15 +23,11 @@ from starfold.session import ship_by_value
 ship_by_value(__name__)
 
 BLOCK = 1 << 20
+#: Members that are read by one task after the other: so many bytes of them, or so many.
+CHUNK_BYTES, CHUNK_MEMBERS = 64 << 20, 1024
 MEMBER_SCHEMA = "archive string, member_index int, name string, size bigint"
 
 
-def list_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Archive files by path and length; their bytes are not read here."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(F.col("path").alias("archive"), "length")
-
-
 def _stream(archive: str, content: bytes | None, options: dict | None = None):
     """The archive as a seekable stream: from its row, or from its file system.
 
@@ -65,61 +63,85 @@ def _tuples(batches: Iterator[pd.DataFrame], *names: str) -> Iterator[tuple]:
         yield from zip(*(batch[n] for n in names), content)
 
 
+def _chunked(pack: zipfile.ZipFile) -> list[tuple[str, int]]:
+    """(name, chunk) of every member, in the order of the directory."""
+    out, chunk, held, count = [], 0, 0, 0
+    for member in pack.infolist():
+        if count and (held + member.compress_size > CHUNK_BYTES or count == CHUNK_MEMBERS):
+            chunk, held, count = chunk + 1, 0, 0
+        held, count = held + member.compress_size, count + 1
+        out.append((member.filename, chunk))
+    return out
+
+
 def archive_facts(archives: DataFrame, options: dict | None = None) -> DataFrame:
     """(archive, sha256, members, problem): digest of the bytes, and the directory.
 
-    ``problem`` is "missing" or what keeps an archive from being opened; whatever goes
+    A member comes with the chunk that it is read in. ``problem`` is "missing" or what keeps an archive from being opened; whatever goes
     wrong with one archive stays with it.
     """
 
     def facts(batches):
         for archive, content in _tuples(batches, "archive"):
-            digest, names, problem = None, None, None
+            digest, members, problem = None, None, None
             try:
                 with _stream(archive, content, options) as stream:
                     digest = hashlib.file_digest(stream, "sha256").hexdigest()
-                    names = [m.filename for m in zipfile.ZipFile(stream).infolist()]
+                    members = [{"name": n, "chunk": c} for n, c in _chunked(zipfile.ZipFile(stream))]
             except FileNotFoundError:
                 problem = "missing"
             except Exception as error:  # one unreadable archive is one finding
                 problem = f"bad zip: {error}"
-            yield pd.DataFrame({"archive": [archive], "sha256": [digest], "members": [names], "problem": [problem]})
+            yield pd.DataFrame({"archive": [archive], "sha256": [digest], "members": [members], "problem": [problem]})
 
-    schema = "archive string, sha256 string, members array<string>, problem string"
+    schema = "archive string, sha256 string, members array<struct<name: string, chunk: int>>, problem string"
     return _spread(_given(archives, "archive"), "archive").mapInPandas(facts, schema)
 
 
 def damaged_members(members: DataFrame, options: dict | None = None) -> DataFrame:
-    """(archive, member_index, name, problem) of members whose bytes fail their check sum."""
+    """(archive, member_index, name, problem) of members whose bytes fail their check sum.
 
-    def read(batches):
-        for archive, index, name, content in _tuples(batches, "archive", "member_index", "name"):
-            try:
-                with _stream(archive, content, options) as stream, zipfile.ZipFile(stream) as pack:
-                    with pack.open(pack.infolist()[index]) as member:
-                        while member.read(BLOCK):
-                            pass
-            except zipfile.BadZipFile as error:
-                problem = "crc mismatch" if "CRC" in str(error) else f"bad zip: {error}"
-            except Exception as error:  # zlib.error, EOFError, a lost connection
-                problem = f"bad zip: {error}"
-            else:
-                continue
-            yield pd.DataFrame([(archive, index, name, problem)], columns=["archive", "member_index", "name", "problem"])
+    Takes (archive, chunk, member_index, name[, content]). The members of a chunk come to
+    one task one after the other, which opens the archive once for all of them.
+    """
 
-    spread = _spread(_given(members, "archive", "member_index", "name"), "archive", "member_index")
-    return spread.mapInPandas(read, "archive string, member_index int, name string, problem string")
+    def read(batches):
+        rows = _tuples(batches, "archive", "chunk", "member_index", "name")
+        for (archive, _), chunk in itertools.groupby(rows, key=lambda r: r[:2]):
+            with contextlib.ExitStack() as opened:
+                pack = None
+                for *_, index, name, content in chunk:
+                    try:
+                        if pack is None:
+                            stream = opened.enter_context(_stream(archive, content, options))
+                            pack = opened.enter_context(zipfile.ZipFile(stream))
+                        with pack.open(pack.infolist()[index]) as member:
+                            while member.read(BLOCK):
+                                pass
+                    except zipfile.BadZipFile as error:
+                        problem = "crc mismatch" if "CRC" in str(error) else f"bad zip: {error}"
+                    except Exception as error:  # zlib.error, EOFError, a lost connection
+                        problem = f"bad zip: {error}"
+                    else:
+                        continue
+                    yield pd.DataFrame([(archive, index, name, problem)], columns=["archive", "member_index", "name", "problem"])
+
+    spread = _spread(_given(members, "archive", "chunk", "member_index", "name"), "archive", "chunk")
+    ordered = spread.sortWithinPartitions("archive", "chunk", "member_index")
+    return ordered.mapInPandas(read, "archive string, member_index int, name string, problem string")
 
 
 def audit_archives(archives: DataFrame, options: dict | None = None) -> DataFrame:
     """(archive, ok, sha256, bad_member, reason): readable, and all check sums right.
 
     Takes ``archive`` (a path) and optionally ``content`` (its bytes). Members are read
-    as rows of their own, so one archive of many members is no long task.
+    in chunks, so one archive of many members is no long task, and its directory is read
+    once a chunk.
     """
     archives = _given(archives, "archive")
     facts = archive_facts(archives, options)
-    members = facts.where("problem is null").select("archive", F.posexplode("members").alias("member_index", "name"))
+    found = F.posexplode("members").alias("member_index", "member")
+    members = facts.where("problem is null").select("archive", found).select("archive", "member_index", "member.*")
     if "content" in archives.columns:
         members = members.join(archives, "archive")
     worst = damaged_members(members, options).groupBy("archive").agg(

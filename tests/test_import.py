@@ -301,6 +301,46 @@ def test_build_records_failures_and_goes_on(spark, store, tmp_path):
     assert 0 < after <= before and reopened.read("data_cr").count() == 7
 
 
+def test_datasets_built_side_by_side_equal_single_imports(spark, store, tmp_path):
+    """Shared tables take the partitions of all datasets; a failing one spoils no other."""
+    codes = [f"D{i}" for i in range(6)]
+    for i, code in enumerate(codes):
+        pack(tmp_path, code, CROPS[: i + 2] if i != 4 else [r.replace('"15"', '"F1"') for r in CROPS])
+    with zipfile.ZipFile(tmp_path / "NOCSV.zip", "w") as archive:
+        archive.writestr("readme.txt", "nothing")
+    entries = [{"DatasetCode": c, "DatasetName": c} for c in [*codes, "NOCSV"]]
+    (tmp_path / "inventory.json").write_text(json.dumps({"Datasets": {"Dataset": entries}}))
+    listed = inventory.scan_inventory(inventory.read_documents(spark, str(tmp_path / "inventory.json")))
+    result = builds.build(store, listed, str(tmp_path), at_once=4)
+    assert set(result.imported) == set(codes) and set(result.failed) == {"NOCSV"}
+    assert "no CSV member" in result.failed["NOCSV"]
+    single = Store(spark, str(tmp_path / "single"))
+    for code in codes:
+        importer.import_archive(single, str(tmp_path / f"{code}.zip"), code)
+    assert set(single.tables()) < set(store.tables())
+    for table in ("dim_area", "dim_item", "dim_flag", "meta_constant_column", "meta_column_mapping", "data_d4", "data_d5"):
+        a, b = store.read(table), single.read(table)
+        a = a.select(*b.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, table
+    states = {r["dataset_code"]: r["state"] for r in builds.states(store).collect()}
+    assert states == {**{c: "imported" for c in codes}, "NOCSV": "failed"}
+
+
+def test_members_are_audited_in_chunks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "CHUNK_MEMBERS", 3)
+    with zipfile.ZipFile(tmp_path / "M.zip", "w") as archive:
+        for i in range(10):
+            archive.writestr(f"m{i}.csv", f"member {i}\n")
+    assert [c for _, c in archives._chunked(zipfile.ZipFile(tmp_path / "M.zip"))] == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3]
+    data = bytearray((tmp_path / "M.zip").read_bytes())
+    for i in (4, 7):
+        data[data.index(f"member {i}".encode())] ^= 0xFF
+    (tmp_path / "M.zip").write_bytes(data)
+    paths = spark.createDataFrame([(str(tmp_path / "M.zip"),)], "archive string")
+    (row,) = archives.audit_archives(paths).collect()
+    assert (row["ok"], row["reason"], row["bad_member"]) == (False, "crc mismatch", "m4.csv")
+
+
 def test_flag_legend_keeps_one_description(spark, tmp_path):
     path = tmp_path / "flags.csv"
     path.write_text("Description,Flag\nB text,E\nA text,E\nOfficial,A\nnone,\n")
