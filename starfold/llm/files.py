@@ -32,12 +32,3 @@ def open_file(folder: str, name: str):
     """A readable, seekable file of the folder."""
     fs, path = file_system(folder)
     return fs.open_input_file(f"{path}/{name}")
-
-
-def names_in(folder: str, ending: str) -> list[str]:
-    """Names of the whole files with an ending, in order."""
-    from pyarrow.fs import FileSelector
-
-    fs, path = file_system(folder)
-    found = fs.get_file_info(FileSelector(path, allow_not_found=True))
-    return sorted(f.base_name for f in found if f.base_name.endswith(ending) and f.base_name[0] != ".")

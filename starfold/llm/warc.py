@@ -2,9 +2,12 @@
 
 A task writes its pages as one gzipped WARC file, a member for each record, and beside it
 runs of captures sorted by (URL key, timestamp, page). The index is an external merge:
-key ranges are dealt to tasks, each of which seeks to its range in every run and merges
-the slices with a loser tree. Ranges are cut between single captures, not between URLs,
-so one URL may have any share of all captures.
+key ranges are dealt to tasks, each of which seeks to its range in the runs that reach
+into it and merges the slices with a loser tree. No task opens more than FAN_IN runs: where
+there are more, earlier passes merge bunches of them into longer runs, first over the
+whole key space, then over ever narrower ranges, so that tasks stay about equally long.
+Ranges are cut between single captures, not between URLs, so one URL may have any share
+of all captures.
 """
 
 from __future__ import annotations
@@ -12,16 +15,17 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta, timezone
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starfold.llm.common import stored, work_dir
-from starfold.llm.files import names_in, open_file, whole_file
+from starfold.llm.files import open_file, whole_file
 from starfold.llm.loser_tree import LoserTree
 from starfold.session import ship_by_value
 
@@ -31,6 +35,8 @@ ship_by_value(__name__)
 LEAST_BYTES = 100
 #: Captures in a run, and in one batch of a run's file.
 RUN_ROWS, BATCH_ROWS = 100_000, 1024
+#: Runs that one task merges, at most.
+FAN_IN = 64
 #: At most so many run keys decide where key ranges are cut; they only balance tasks.
 SAMPLE_KEYS = 20_000
 
@@ -51,6 +57,9 @@ CAPTURE = pa.schema(
     ]
 )
 CAPTURE_SQL = "url_key string, timestamp string, page string, archive string, offset long, length long"
+KEY = CAPTURE.names[:3]
+KEY_SQL = "url_key string, timestamp string, page string"
+RUN_SQL = f"run long, range_no long, name string, first struct<{KEY_SQL}>, last struct<{KEY_SQL}>"
 RECORD = pa.schema(
     [
         ("page_id", pa.int64()),
@@ -122,17 +131,31 @@ def read_record(member: bytes) -> dict:
     }
 
 
-def _write_run(folder: str, name: str, captures: list[tuple]) -> None:
-    captures.sort()
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema
+    )
+
+
+def _batches(rows: Iterable[tuple], size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while held := list(islice(rows, size)):
+        yield _batch(held, schema)
+
+
+def _write_run(folder: str, name: str, captures: Iterable[tuple]) -> None:
+    """Captures in order to a file of small batches, held one batch at a time."""
     with whole_file(folder, name) as out, pa.ipc.new_file(out, CAPTURE) as file:
-        for start in range(0, len(captures), BATCH_ROWS):
-            columns = zip(*captures[start : start + BATCH_ROWS])
-            arrays = [pa.array(c, t) for c, t in zip(columns, CAPTURE.types)]
-            file.write_batch(pa.RecordBatch.from_arrays(arrays, schema=CAPTURE))
+        for batch in _batches(captures, BATCH_ROWS, CAPTURE):
+            file.write_batch(batch)
 
 
 def _write_archive(folder: str):
-    """Task function: rows of pages to one archive and its runs; returns sampled keys."""
+    """Task function: rows of pages to one archive and its runs; returns keys of each run.
+
+    These are the first key of every batch and the last key, with the run's file name.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -141,8 +164,10 @@ def _write_archive(folder: str):
 
         def close_run() -> None:
             nonlocal captures, runs
-            _write_run(folder, f"pages-{part:06d}-{runs:04d}.run", captures)
-            keys.extend(captures[::BATCH_ROWS])
+            name = f"pages-{part:06d}-{runs:04d}.run"
+            captures.sort()
+            _write_run(folder, name, captures)
+            keys.extend((name, *c[:3]) for c in (*captures[::BATCH_ROWS], captures[-1]))
             captures, runs = [], runs + 1
 
         with whole_file(folder, archive) as out:
@@ -163,10 +188,7 @@ def _write_archive(folder: str):
                         close_run()
         if captures:
             close_run()
-        yield pa.RecordBatch.from_pydict(
-            {n: [k[i] for k in keys] for i, n in enumerate(("url_key", "timestamp", "page"))},
-            schema=pa.schema(list(CAPTURE)[:3]),
-        )
+        yield _batch(keys, pa.schema([("name", pa.string()), *list(CAPTURE)[:3]]))
 
     return run
 
@@ -201,21 +223,24 @@ def classified(pages: DataFrame) -> DataFrame:
     return rows.join(revisits, same, "left").select("page_id", "url", "payload", "digest", "first")
 
 
-def write_archives(pages: DataFrame, folder: str) -> list[tuple]:
-    """Write all pages below ``folder``; returns a bounded sample of the runs' keys.
+def write_archives(pages: DataFrame, folder: str) -> tuple[DataFrame, list[tuple]]:
+    """Write all pages below ``folder``; returns (runs as RUN_SQL, bounded sample of keys).
 
     A null html is an empty payload, a null url a capture without URL; a null page_id
     is no reference for others. Repeated rows are records each.
     """
-    keys = ["page_id", "digest"]
-    rows = classified(pages).sortWithinPartitions(*keys)
-    sampled = stored(
-        rows.mapInArrow(_write_archive(folder), "url_key string, timestamp string, page string"),
-        "warc-keys",
+    rows = classified(pages).sortWithinPartitions("page_id", "digest", "url")
+    keys = stored(rows.mapInArrow(_write_archive(folder), f"name string, {KEY_SQL}"), "warc-keys")
+    by_key = keys.groupBy("name").agg(
+        F.min(F.struct(*KEY)).alias("first"), F.max(F.struct(*KEY)).alias("last")
+    )
+    # Consecutive numbers deal runs to bunches; there is one row for RUN_ROWS captures.
+    numbered = stored(by_key, "warc-bounds").withColumn(
+        "run", F.row_number().over(Window.orderBy("name")).cast("long") - 1
     )
-    names = ["url_key", "timestamp", "page"]
-    mixed = sampled.withColumn("_h", F.xxhash64(*names)).orderBy("_h").limit(SAMPLE_KEYS)
-    return sorted(tuple(r) for r in mixed.select(*names).collect())
+    runs = numbered.select("run", F.lit(0).cast("long").alias("range_no"), "name", "first", "last")
+    mixed = keys.select(*KEY).withColumn("_h", F.xxhash64(*KEY)).orderBy("_h").limit(SAMPLE_KEYS)
+    return stored(runs, "warc-runs"), sorted(tuple(r) for r in mixed.select(*KEY).collect())
 
 
 def _slice(folder: str, name: str, low: tuple | None, high: tuple | None) -> Iterator[tuple]:
@@ -235,39 +260,97 @@ def _slice(folder: str, name: str, low: tuple | None, high: tuple | None) -> Ite
                     yield row
 
 
-def merged_index(spark: SparkSession, folder: str, sample: list[tuple], ranges: int) -> DataFrame:
-    """All captures below ``folder`` in global order: range_no, position, and CAPTURE."""
-    step = max(1, len(sample) // ranges)
-    cuts = sorted(set(sample[step::step]))
-    bounds = [None, *cuts, None]
-    rows = [(i, *(bounds[i] or (None,) * 3), *(bounds[i + 1] or (None,) * 3)) for i in range(len(bounds) - 1)]
-    schema = "range_no int, a string, b string, c string, d string, e string, f string"
-    tasks = spark.createDataFrame(rows, schema).repartitionByRange(len(rows), "range_no")
-    out_schema = pa.schema([("range_no", pa.int32()), ("position", pa.int64()), *CAPTURE])
+def merge_units(runs: DataFrame, cuts: list[tuple], width: int, wider: int) -> DataFrame:
+    """One row for each merge of a pass: bunch, range_no, low, high, names (FAN_IN at most).
+
+    Ranges hold ``width`` of the narrowest ranges that ``cuts`` divide, those of the pass
+    before held ``wider``, a multiple of it. Only runs that reach into a range are named.
+    """
+    at = range(0, len(cuts) + 1, width)
+    low_high = [
+        (i, start // wider, cuts[start - 1] if start else None, (cuts + [None])[min(start + width - 1, len(cuts))])
+        for i, start in enumerate(at)
+    ]
+    key = f"struct<{KEY_SQL}>"
+    ranges = runs.sparkSession.createDataFrame(
+        low_high, f"range_no long, wide long, low {key}, high {key}"
+    )
+    reaches = (F.col("low").isNull() | (F.col("last") >= F.col("low"))) & (
+        F.col("high").isNull() | (F.col("first") < F.col("high"))
+    )
+    bunch = F.floor(F.col("run") / FAN_IN).alias("bunch")
+    return (
+        runs.withColumnRenamed("range_no", "wide")
+        .join(ranges, "wide")
+        .where(reaches)
+        .groupBy(bunch, "range_no")
+        .agg(F.first("low").alias("low"), F.first("high").alias("high"), F.sort_array(F.collect_list("name")).alias("names"))
+    )
+
+
+def _merges(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[tuple[int, int, LoserTree]]:
+    """(bunch, range_no, captures in order) of every unit in the batches."""
+    for batch in batches:
+        for unit in batch.to_pylist():
+            low, high = (tuple(b.values()) if (b := unit[n]) else None for n in ("low", "high"))
+            tree = LoserTree(_slice(folder, n, low, high) for n in unit["names"])
+            yield unit["bunch"], unit["range_no"], tree
+
+
+def _longer_runs(folder: str, level: int):
+    """Task function: units to one run each; returns rows of RUN_SQL."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, *key in zip(*(c.to_pylist() for c in batch.columns)):
-                low = tuple(key[:3]) if key[0] is not None else None
-                high = tuple(key[3:]) if key[3] is not None else None
-                tree = LoserTree(_slice(folder, n, low, high) for n in names_in(folder, ".run"))
-                held, position = [], 0
+        key = pa.struct(list(CAPTURE)[:3])
+        schema = pa.schema([("run", pa.int64()), ("range_no", pa.int64()), ("name", pa.string()), ("first", key), ("last", key)])
+        for bunch, number, tree in _merges(batches, folder):
+            name, ends = f"merged-{level:02d}-{bunch:08d}-{number:06d}.run", [None, None]
+
+            def noted() -> Iterator[tuple]:
                 for capture in tree:
-                    held.append((number, position, *capture))
-                    position += 1
-                    if len(held) == BATCH_ROWS * 8:
-                        yield _batch(held, out_schema)
-                        held = []
-                yield _batch(held, out_schema)
+                    ends[0], ends[1] = ends[0] or capture, capture
+                    yield capture
 
-    return tasks.mapInArrow(run, f"range_no int, position long, {CAPTURE_SQL}")
+            _write_run(folder, name, noted())
+            if ends[0]:
+                first, last = (dict(zip(KEY, e)) for e in ends)
+                yield _batch([(bunch, number, name, first, last)], schema)
 
+    return run
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * len(schema)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema
-    )
+
+def merged_index(runs: DataFrame, folder: str, sample: list[tuple], ranges: int) -> DataFrame:
+    """All captures of the runs in global order: range_no, position, and CAPTURE.
+
+    There are at least as many ranges as bunches of runs, as far as the sample of keys
+    can tell them apart.
+    """
+    n = max(1, runs.count())
+    passes, left = 1, n
+    while left > FAN_IN:
+        passes, left = passes + 1, -(-left // FAN_IN)
+    step = max(1, len(sample) // max(ranges, -(-n // FAN_IN)))
+    cuts = sorted(set(sample[step::step]))
+    base = 1
+    while passes > 1 and base ** (passes - 1) <= len(cuts):
+        base += 1
+    widths = [base ** (passes - p) if passes > 1 else 1 for p in range(1, passes + 1)]
+    wider = len(cuts) + 1
+    for level, width in enumerate(widths[:-1], 1):
+        units = merge_units(runs, cuts, width, wider)
+        tasks = units.repartitionByRange(-(-n // FAN_IN), "range_no", "bunch")
+        runs = stored(tasks.mapInArrow(_longer_runs(folder, level), RUN_SQL), "warc-runs")
+        wider = width
+
+    out = pa.schema([("range_no", pa.int32()), ("position", pa.int64()), *CAPTURE])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, number, tree in _merges(batches, folder):
+            rows = ((number, i, *capture) for i, capture in enumerate(tree))
+            yield from _batches(rows, BATCH_ROWS * 8, out)
+
+    tasks = merge_units(runs, cuts, 1, wider).repartitionByRange(len(cuts) + 1, "range_no")
+    return tasks.mapInArrow(run, f"range_no int, position long, {CAPTURE_SQL}")
 
 
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
@@ -296,6 +379,6 @@ def archive_pages(pages: DataFrame) -> tuple[DataFrame, str]:
     """(index, folder): archives of all pages and their merged index, both written."""
     spark = pages.sparkSession
     folder = work_dir(spark, "warc")
-    sample = write_archives(pages, folder)
+    runs, sample = write_archives(pages, folder)
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return stored(merged_index(spark, folder, sample, ranges), "warc-index"), folder
+    return stored(merged_index(runs, folder, sample, ranges), "warc-index"), folder

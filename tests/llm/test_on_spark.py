@@ -353,12 +353,39 @@ def test_one_url_spreads_over_ranges(spark, monkeypatch):
     monkeypatch.setattr(warc, "RUN_ROWS", 16)
     df = spark.createDataFrame([(i, "http://a.org/", "") for i in range(100)], "page_id long, url string, html string")
     folder = warc.work_dir(spark, "warc-test")
-    sample = warc.write_archives(df.repartition(3), folder)
-    index = warc.merged_index(spark, folder, sample, 5).collect()
+    runs, sample = warc.write_archives(df.repartition(3), folder)
+    index = warc.merged_index(runs, folder, sample, 5).collect()
     assert len(index) == 100 and len({r.range_no for r in index}) >= 4
     assert [r.page for r in sorted(index, key=lambda r: (r.range_no, r.position))] == sorted(r.page for r in index)
 
 
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_many_runs_merge_in_passes_of_bounded_fan_in(spark, monkeypatch, ranges):
+    monkeypatch.setattr(warc, "BATCH_ROWS", 2)
+    monkeypatch.setattr(warc, "RUN_ROWS", 5)
+    monkeypatch.setattr(warc, "FAN_IN", 3)
+    opened, plain = [], warc.merge_units
+
+    def noted(*args):
+        units = plain(*args)
+        opened.append([len(u.names) for u in units.collect()])
+        return units
+
+    monkeypatch.setattr(warc, "merge_units", noted)
+    # A third of all captures are of one URL; one row comes twice.
+    rows = [(i, "http://hot.org/" if i % 3 == 0 else f"http://h{i * 7 % 50}.org/{i % 4}", "x" * (i % 5)) for i in range(150)]
+    df = spark.createDataFrame([*rows, rows[3], (None, None, None)], "page_id long, url string, html string")
+    folder = warc.work_dir(spark, "warc-test")
+    runs, sample = warc.write_archives(df.repartition(3), folder)
+    assert 27 < runs.count() <= 81
+    index = warc.stored(warc.merged_index(runs, folder, sample, ranges), "warc-test")
+    assert len(opened) == 4 and max(map(max, opened)) <= 3
+    order = [(r.url_key, r.timestamp, r.page) for r in index.orderBy("range_no", "position").collect()]
+    assert order == sorted(order) and len(order) == 152
+    assert sorted(r.page for r in index.collect()) == sorted(["", f"{3:020d}", *(f"{i:020d}" for i in range(150))])
+    assert warc.read_archives(index, folder).count() == 152
+
+
 # Shards
 
 
