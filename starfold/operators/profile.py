@@ -1,13 +1,15 @@
 """One-pass column profile: types, text markers and constants of a whole dataset.
 
-Every figure is a plain aggregate without DISTINCT, so a profile of any width is one
-scan with partial aggregation in each task and one small merge.
+Every figure is a plain aggregate without DISTINCT, so a profile is a scan with partial
+aggregation in each task and one small merge. Wide sources are profiled in slices of
+columns, each of which reads its own columns only, so time stays linear in the width.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,9 @@ from starfold.functions.cells import (
 PROTECTED = ("value", "year")
 # Rows looked at before the full scan, to settle what a few rows can settle.
 HEAD_ROWS = 1000
+# Columns in one aggregate. Beyond some dozens the generated code of a stage outgrows what
+# the JVM compiles, and every cell is worked on by interpreted code.
+SLICE = 24
 
 
 @dataclass(frozen=True)
@@ -59,10 +64,14 @@ class ColumnProfile:
 
 
 def _long_form(df: DataFrame, names: list[str], figures: Callable[[str], Column]) -> DataFrame:
-    """One aggregated struct per column, turned into one row per column."""
-    slots = [f"_p{i}" for i in range(len(names))]
-    wide = df.agg(*[figures(name).alias(slot) for slot, name in zip(slots, names)])
-    return wide.select(F.inline(F.array(*slots)))
+    """One aggregated struct per column, turned into one row per column, slice by slice."""
+    slices = []
+    for start in range(0, max(len(names), 1), SLICE):
+        part = names[start : start + SLICE]
+        slots = [f"_p{i}" for i in range(len(part))]
+        wide = df.agg(*[figures(name).alias(slot) for slot, name in zip(slots, part)])
+        slices.append(wide.select(F.inline(F.array(*slots))))
+    return reduce(DataFrame.unionAll, slices)
 
 
 def infer_types(df: DataFrame) -> DataFrame:

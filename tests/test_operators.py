@@ -141,3 +141,16 @@ def test_manifest_log(spark, tmp_path):
     changes = changes.unionByName(log.drop("place", "state", "url", "dataset_code").limit(0), allowMissingColumns=True)
     row = manifest.carried_states(changes, "n").first()
     assert (row["state"], row["url"]) == ("imported", "u")
+
+
+def test_wide_sources_are_profiled_in_slices(spark, monkeypatch):
+    names = [f"c.{i}" for i in range(11)]
+    rows = [tuple("7" if i % 3 == 0 else f"'{r}" if i % 3 == 1 else None for i in range(11)) for r in range(6)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))
+    whole = [f(df).collect() for f in (profile.profile, profile.infer_types, profile.marker_profile)]
+    constant = profile.constant_columns(df).collect()
+    monkeypatch.setattr(profile, "SLICE", 4)
+    assert [f(df).collect() for f in (profile.profile, profile.infer_types, profile.marker_profile)] == whole
+    assert [r.column_name for r in whole[0]] == names
+    assert profile.constant_columns(df).collect() == constant
+    assert [r.column_name for r in constant] == [n for i, n in enumerate(names) if i % 3 != 1]
