@@ -137,7 +137,7 @@ def header_table(t: Tables) -> DataFrame:
         F.lit("Flag"),
         F.upper("p_name"),
     )
-    return t.part.select(
+    return spread(t.part).select(
         F.concat(F.lit("P"), _text("p_partkey")).alias("dataset_code"),
         F.posexplode(names).alias("position", "raw_name"),
     ).select("dataset_code", (F.col("position") + 1).alias("ordinal"), "raw_name")
