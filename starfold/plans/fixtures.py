@@ -279,7 +279,7 @@ def small_archives(t: Tables) -> DataFrame:
                 made.append((f"p{key}.zip", bytes(content)))
             yield pd.DataFrame(made, columns=["archive", "content"])
 
-    return t.part.select("p_partkey", "p_name", "p_type").mapInPandas(pack, "archive string, content binary")
+    return spread(t.part.select("p_partkey", "p_name", "p_type")).mapInPandas(pack, "archive string, content binary")
 
 
 ARCHIVE_HEADERS = ["Area Code", "Area", "Item Code", "Item", "Year", "Value", "Flag"]

@@ -18,13 +18,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.session import ship_by_value
+from starfold.session import materialise, ship_by_value
 
 ship_by_value(__name__)
 
 BLOCK = 1 << 20
 #: Members that are read by one task after the other: so many bytes of them, or so many.
 CHUNK_BYTES, CHUNK_MEMBERS = 64 << 20, 1024
+#: Rows, counting the members in them, that a task gathers before it passes them on.
+AT_ONCE = 8192
 MEMBER_SCHEMA = "archive string, member_index int, name string, size bigint"
 
 
@@ -63,6 +65,19 @@ def _tuples(batches: Iterator[pd.DataFrame], *names: str) -> Iterator[tuple]:
         yield from zip(*(batch[n] for n in names), content)
 
 
+def _gathered(rows: Iterator[tuple[tuple, int]], names: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of many of the (row, weight), since a frame for each row costs more than the row."""
+    held, weight = [], 0
+    for row, own in rows:
+        held.append(row)
+        weight += own
+        if weight >= AT_ONCE:
+            yield pd.DataFrame(held, columns=names)
+            held, weight = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=names)
+
+
 def _chunked(pack: zipfile.ZipFile) -> list[tuple[str, int]]:
     """(name, chunk) of every member, in the order of the directory."""
     out, chunk, held, count = [], 0, 0, 0
@@ -77,11 +92,11 @@ def _chunked(pack: zipfile.ZipFile) -> list[tuple[str, int]]:
 def archive_facts(archives: DataFrame, options: dict | None = None) -> DataFrame:
     """(archive, sha256, members, problem): digest of the bytes, and the directory.
 
-    A member comes with the chunk that it is read in. ``problem`` is "missing" or what keeps an archive from being opened; whatever goes
-    wrong with one archive stays with it.
+    A member comes with the chunk that it is read in. ``problem`` is "missing" or what
+    keeps an archive from being opened; whatever goes wrong with one archive stays with it.
     """
 
-    def facts(batches):
+    def found(batches):
         for archive, content in _tuples(batches, "archive"):
             digest, members, problem = None, None, None
             try:
@@ -92,7 +107,10 @@ def archive_facts(archives: DataFrame, options: dict | None = None) -> DataFrame
                 problem = "missing"
             except Exception as error:  # one unreadable archive is one finding
                 problem = f"bad zip: {error}"
-            yield pd.DataFrame({"archive": [archive], "sha256": [digest], "members": [members], "problem": [problem]})
+            yield (archive, digest, members, problem), 1 + len(members or ())
+
+    def facts(batches):
+        return _gathered(found(batches), ["archive", "sha256", "members", "problem"])
 
     schema = "archive string, sha256 string, members array<struct<name: string, chunk: int>>, problem string"
     return _spread(_given(archives, "archive"), "archive").mapInPandas(facts, schema)
@@ -105,7 +123,7 @@ def damaged_members(members: DataFrame, options: dict | None = None) -> DataFram
     one task one after the other, which opens the archive once for all of them.
     """
 
-    def read(batches):
+    def damaged(batches):
         rows = _tuples(batches, "archive", "chunk", "member_index", "name")
         for (archive, _), chunk in itertools.groupby(rows, key=lambda r: r[:2]):
             with contextlib.ExitStack() as opened:
@@ -124,7 +142,10 @@ def damaged_members(members: DataFrame, options: dict | None = None) -> DataFram
                         problem = f"bad zip: {error}"
                     else:
                         continue
-                    yield pd.DataFrame([(archive, index, name, problem)], columns=["archive", "member_index", "name", "problem"])
+                    yield (archive, index, name, problem), 1
+
+    def read(batches):
+        return _gathered(damaged(batches), ["archive", "member_index", "name", "problem"])
 
     spread = _spread(_given(members, "archive", "chunk", "member_index", "name"), "archive", "chunk")
     ordered = spread.sortWithinPartitions("archive", "chunk", "member_index")
@@ -136,10 +157,11 @@ def audit_archives(archives: DataFrame, options: dict | None = None) -> DataFram
 
     Takes ``archive`` (a path) and optionally ``content`` (its bytes). Members are read
     in chunks, so one archive of many members is no long task, and its directory is read
-    once a chunk.
+    once a chunk. Digests and directories are written to the shared folder, so that no
+    archive is read twice for them.
     """
     archives = _given(archives, "archive")
-    facts = archive_facts(archives, options)
+    facts = materialise(archive_facts(archives, options), "archive-facts")
     found = F.posexplode("members").alias("member_index", "member")
     members = facts.where("problem is null").select("archive", found).select("archive", "member_index", "member.*")
     if "content" in archives.columns:

@@ -341,6 +341,19 @@ def test_members_are_audited_in_chunks(spark, tmp_path, monkeypatch):
     assert (row["ok"], row["reason"], row["bad_member"]) == (False, "crc mismatch", "m4.csv")
 
 
+def test_archives_are_read_once_for_facts_and_rows_come_in_large_frames(spark, tmp_path):
+    sizes = [len(f) for f in archives._gathered((((str(i), i), 1) for i in range(20000)), ["a", "n"])]
+    assert sizes == [8192, 8192, 3616]
+    # Members weigh in, so a frame of large directories stays small.
+    assert [len(f) for f in archives._gathered((((i,), 5000) for i in range(5)), ["a"])] == [2, 2, 1]
+    rows = [(f"{i}.zip", open(pack(tmp_path, "CR"), "rb").read() if i % 3 else b"no archive") for i in range(30)]
+    audited = archives.audit_archives(spark.createDataFrame(rows, "archive string, content binary"))
+    # What remains to be read are the members, by one step.
+    assert audited._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
+    found = {r["archive"]: (r["ok"], (r["reason"] or "").split(":")[0]) for r in audited.collect()}
+    assert found == {f"{i}.zip": (True, "") if i % 3 else (False, "bad zip") for i in range(30)}
+
+
 def test_flag_legend_keeps_one_description(spark, tmp_path):
     path = tmp_path / "flags.csv"
     path.write_text("Description,Flag\nB text,E\nA text,E\nOfficial,A\nnone,\n")
