@@ -36,6 +36,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def evenly(df: DataFrame) -> DataFrame:
+    """The rows of a table over all cores, moved only if its splits don't do that already.
+
+    What each split holds is counted from file footers; no column is read. Done before a
+    table is widened, a move takes only the columns that the joins need.
+    """
+    splits = df.groupBy(F.spark_partition_id()).count()
+    rows, most = splits.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if most * cores <= 2 * rows else spread(df)
+
+
 def _text(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -44,7 +56,7 @@ def wide_sales(t: Tables) -> DataFrame:
     """Crop-like source: constants, a text marker, a year dimension."""
     flag, year = F.col("l_returnflag"), _text(F.year("l_shipdate"))
     rows = (
-        t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        evenly(t.lineitem).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     )
@@ -74,7 +86,7 @@ def wide_trade(t: Tables) -> DataFrame:
     seller = t.nation.select(F.col("n_nationkey").alias("seller_key"), F.col("n_name").alias("seller"))
     year = _text(F.year("l_shipdate"))
     rows = (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        evenly(t.lineitem).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(buyer, F.col("c_nationkey") == F.col("buyer_key"))
         .join(t.region, F.col("region_key") == F.col("r_regionkey"))
@@ -100,7 +112,7 @@ def wide_trade(t: Tables) -> DataFrame:
 
 def wide_orders(t: Tables) -> DataFrame:
     """Source with range year labels, censored values and NULL flags."""
-    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
+    rows = evenly(t.orders).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
     key = F.col("o_orderkey")

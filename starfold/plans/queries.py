@@ -12,7 +12,7 @@ from starfold.functions.headers import DimensionGroup, normalise_names
 from starfold.operators import audit, enrich, merge, profile, reduce, selection, views
 from starfold.operators.reduce import Years
 from starfold.plans import build, fixtures, importer
-from starfold.plans.fixtures import Tables, spread
+from starfold.plans.fixtures import Tables
 from starfold.plans.store import Store
 from starfold.session import fresh_dir, materialise
 from starfold.sources import archives, csv_files, inventory, lookup, manifest
@@ -38,13 +38,13 @@ def _store(t: Tables, label: str) -> Store:
 def _imported(t: Tables, wide: DataFrame, code: str, store: Store | None = None, **options) -> Store:
     """A store with one wide source staged and imported."""
     store = store or _store(t, "store")
-    importer.import_frame(store, materialise(spread(wide), "staged"), code, **options)
+    importer.import_frame(store, materialise(wide, "staged"), code, **options)
     return store
 
 
 def _reduced(wide: DataFrame, code: str) -> tuple[DataFrame, reduce.Layout]:
     """Clean rows of a wide source and the layout its profile settled."""
-    staged = materialise(spread(wide), "staged")
+    staged = materialise(wide, "staged")
     layout = reduce.plan_layout(staged, code)
     return layout.clean(staged), layout
 
@@ -387,7 +387,7 @@ def _tagged(parts: dict[str, DataFrame]) -> DataFrame:
 
 @query
 def infer_types(t: Tables) -> DataFrame:
-    return _tagged({code: profile.infer_types(spread(df)) for code, df in _all_sources(t).items()})
+    return _tagged({code: profile.infer_types(df) for code, df in _all_sources(t).items()})
 
 
 @query
@@ -543,7 +543,7 @@ def year_merge(t: Tables) -> DataFrame:
 def year_merge_idempotent(t: Tables) -> DataFrame:
     wide = fixtures.wide_sales(t)
     store = _imported(t, wide, "LI")
-    later = materialise(spread(_later(wide)), "staged")
+    later = materialise(_later(wide), "staged")
     for _ in range(2):
         importer.import_frame(store, later, "LI", years=Years.of(1996, 1999))
     return store.read("data_li")

@@ -6,6 +6,7 @@ import pytest
 
 from starfold.operators import audit, enrich, merge, profile, reduce, views
 from starfold.operators.reduce import Years
+from starfold.plans import fixtures
 from starfold.sources import manifest
 
 
@@ -154,3 +155,31 @@ def test_wide_sources_are_profiled_in_slices(spark, monkeypatch):
     assert [r.column_name for r in whole[0]] == names
     assert profile.constant_columns(df).collect() == constant
     assert [r.column_name for r in constant] == [n for i, n in enumerate(names) if i % 3 != 1]
+
+
+def test_only_unevenly_split_tables_are_moved_and_only_before_they_are_widened(spark, tmp_path):
+    even = spark.range(0, 800, 1, 8)
+    assert fixtures.evenly(even) is even
+    for few in (spark.range(800).coalesce(1), spark.range(0, 800, 1, 8).where("id < 200")):
+        assert fixtures.evenly(few).rdd.getNumPartitions() == 8 and fixtures.evenly(few).count() == few.count()
+    assert fixtures.evenly(spark.range(0)).count() == 0
+
+    nation = spark.range(2).selectExpr("id n_nationkey", "concat('N', id) n_name")
+    supplier = spark.range(4).selectExpr("id s_suppkey", "id % 2 s_nationkey")
+    part = spark.range(10).selectExpr("id p_partkey", "concat('P', id) p_name")
+    lines = spark.range(0, 80, 1, 8).selectExpr(
+        "id % 10 l_partkey", "id % 4 l_suppkey", "date'1995-01-01' l_shipdate", "'A' l_returnflag", "'F' l_linestatus",
+        "id l_quantity", "repeat('x', 100) l_comment",
+    )
+    found = []
+    for files in (8, 1):
+        for name, table in (("nation", nation), ("supplier", supplier), ("part", part), ("lineitem", lines.coalesce(files))):
+            table.write.parquet(f"{tmp_path}/{files}/{name}.parquet")
+        wide = fixtures.wide_sales(fixtures.Tables(spark, f"{tmp_path}/{files}"))
+        plan = wide._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Repartition") == (files == 1)
+        # The move lies below every join.
+        assert files == 8 or plan.index("Repartition") > plan.rindex("Join")
+        assert "l_comment" not in plan.split("Relation")[0]
+        found.append(sorted(tuple(r) for r in wide.collect()))
+    assert found[0] == found[1] and len(found[0]) == 80
