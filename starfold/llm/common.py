@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(
+    task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task function after which its Python worker gives free memory back to the system.
+
+    Spark keeps workers for later tasks. What their allocators hold would else count
+    against the executor while other stages run, also those without Python.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def local_path(uri: str) -> str | None:
     """The plain path of a file: URI or path, None for another file system."""
     if uri.startswith("file:"):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starfold.llm.common import stored, work_dir
+from starfold.llm.common import released, stored, work_dir
 from starfold.llm.components import connected
 from starfold.llm.words import WordReader, Words, mixed, slices
 from starfold.session import ship_by_value
@@ -152,7 +152,7 @@ def _frequency(counts: DataFrame) -> np.ndarray:
         for part, total in sums.items():
             yield pa.RecordBatch.from_pydict({"part": [part], "counts": [zlib.compress(total.tobytes(), 1)]})
 
-    rows = counts.repartition("part").mapInArrow(run, "part long, counts binary").collect()
+    rows = counts.repartition("part").mapInArrow(released(run), "part long, counts binary").collect()
     total = np.zeros((PARTS, (1 << BUCKET_BITS) // PARTS), np.uint64)
     for row in rows:
         total[row["part"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
@@ -242,7 +242,7 @@ class Verifier:
             .sortWithinPartitions("a", "cell", "side")
             .select("a", "cell", "side", "doc", "text")
         )
-        return stored(cells.mapInArrow(_verified, "a long, b long"), "links")
+        return stored(cells.mapInArrow(released(_verified), "a long, b long"), "links")
 
 
     def close(self) -> None:
@@ -415,7 +415,7 @@ def _still_apart(placed: DataFrame) -> DataFrame:
     parts = mixed_lists.groupBy("token", part).agg(F.collect_list(F.struct("doc", "n", "component")).alias("docs"))
     met = entries.join(parts, "token").select("x", "xn", "xc", "token", "docs")
     dealt = met.repartition("x").sortWithinPartitions("x")
-    return dealt.mapInArrow(_searched, "a long, b long").distinct()
+    return dealt.mapInArrow(released(_searched), "a long, b long").distinct()
 
 
 def near_copies(documents: DataFrame) -> DataFrame:
@@ -428,7 +428,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n long, h1 long, h2 long, part int, counts binary"
-    scanned = stored(rows.mapInArrow(_set_rows, schema), "sets")
+    scanned = stored(rows.mapInArrow(released(_set_rows), schema), "sets")
     sets = scanned.where("part is null").drop("part", "counts")
     level = _frequency(scanned.where("part is not null").select("part", "counts"))
 
@@ -440,7 +440,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     # A fixed four megabytes.
     frequency = spark.sparkContext.broadcast(level)
     tokens = rows.where("doc_id is not null").mapInArrow(
-        _short_lists(frequency), "token long, doc long, n int, band int, salt int, split boolean"
+        released(_short_lists(frequency)), "token long, doc long, n int, band int, salt int, split boolean"
     )
     by_list = Window.partitionBy("token", "salt")
     several = (F.min("doc").over(by_list) < F.max("doc").over(by_list)) | F.col("split")

@@ -19,7 +19,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import stored
+from starfold.llm.common import released, stored
 from starfold.llm.words import WordReader, Words, mixed, slices
 from starfold.session import ship_by_value
 
@@ -219,7 +219,7 @@ def votes_of_documents(documents: DataFrame, labels: DataFrame | None) -> DataFr
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *TASKS])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    voted = rows.mapInArrow(run, "doc_id long, junk long, insult long")
+    voted = rows.mapInArrow(released(run), "doc_id long, junk long, insult long")
     if labels is None:
         voted = voted.withColumns({"_quality": F.lit(None), "_toxic": F.lit(None)})
     else:
@@ -362,7 +362,7 @@ def drawn_sample(voted: DataFrame, models: dict[str, LabelModel], sample: int) -
             yield batch.append_column("kind", pa.array(kind))
 
     named = voted.where("doc_id is not null")
-    kinds = stored(named.mapInArrow(run, "doc_id long, seen boolean, junk long, insult long, kind long"), "kinds")
+    kinds = stored(named.mapInArrow(released(run), "doc_id long, seen boolean, junk long, insult long, kind long"), "kinds")
     groups = ["seen", "kind"]
     tally = lambda df: {(r["seen"], r["kind"]): r["n"] for r in df.groupBy(*groups).agg(F.count("*").alias("n")).collect()}
     counts = tally(kinds)
@@ -430,7 +430,7 @@ def train(documents: DataFrame, voted: DataFrame, models: dict[str, LabelModel],
             )
 
     one_task = sampled.select("text", *TASKS, "times", "doc_id").repartition(1).sortWithinPartitions("doc_id").drop("doc_id")
-    fitted = one_task.mapInArrow(run, "task long, feature long, weight float").toArrow()
+    fitted = one_task.mapInArrow(released(run), "task long, feature long, weight float").toArrow()
     out = {name: np.zeros(FEATURES + 1, np.float32) for name in TASKS}
     for number, name in enumerate(TASKS):
         own = fitted.filter(pa.compute.equal(fitted["task"], number))
@@ -461,7 +461,7 @@ def scored(documents: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
                 )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_words long, junk double, insult double, keep boolean")
+    return rows.mapInArrow(released(run), "doc_id long, n_words long, junk double, insult double, keep boolean")
 
 
 def fitted(documents: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> tuple[dict[str, LabelModel], dict[str, np.ndarray]]:
@@ -491,4 +491,4 @@ def keep_good(documents: DataFrame, labels: DataFrame | None = None, sample: int
             for part in slices(batch, at, TOGETHER):
                 yield part.filter(pa.array(judge(reader, part.column(at), weights)[-1]))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(released(run), documents.schema)

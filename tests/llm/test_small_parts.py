@@ -1,15 +1,18 @@
 """Parts that run without Spark: permutations, merges, DivideSkip, EM, escapes, encoders."""
 
 import heapq
+import re
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from starfold.llm import ann, chat, decontam, jaccard_join, quality, sharding, warc
+from starfold.llm.common import released
 from starfold.llm.loser_tree import LoserTree
 from starfold.llm.token_blocks import Encoder
 
@@ -196,3 +199,24 @@ def test_entries_keep_their_values():
         end = min(i + 7, len(row))
         found[row[i:end], feature[i:end]] = value[i:end]
     assert (found == dense * rows[:, None] * features[None, :]).all()
+
+
+def test_a_task_gives_its_memory_back():
+    """The worker lives on; what its task has freed must not stay with it."""
+
+    def own_mb():
+        status = open("/proc/self/status").read()
+        return int(re.search(r"RssAnon:\s+(\d+)", status).group(1)) / 1024
+
+    def task(batches):
+        for batch in batches:
+            # Blocks too small to be mapped one by one, and one that keeps the heap's end.
+            held = [np.ones(8000) for _ in range(4000)]
+            kept.append(np.ones(8000))
+            del held
+            yield batch
+
+    kept, batch = [], pa.RecordBatch.from_pydict({"a": [1]})
+    before = own_mb()
+    assert list(task(iter([batch]))) == [batch] and own_mb() - before > 100
+    assert list(released(task)(iter([batch]))) == [batch] and own_mb() - before < 50
