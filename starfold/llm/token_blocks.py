@@ -12,16 +12,17 @@ import re
 import sys
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm.common import work_dir
+from starfold.llm.common import released, work_dir
 from starfold.llm.files import open_file, whole_file
 from starfold.llm.pfor import ShardReader, ShardWriter
 from starfold.llm.words import slices
@@ -30,8 +31,8 @@ from starfold.session import ship_by_value
 ship_by_value(__name__)
 
 END_ID = 0
-#: Words that a worker remembers the ids of, before it starts anew.
-REMEMBERED = 800_000
+#: Words that a worker remembers the ids of, before it forgets those that came once.
+REMEMBERED = 400_000
 #: Bytes of text that are tokenised together, and new words that are one text.
 TOGETHER, GROUP = 4 << 20, 1000
 #: How the vocabulary writes a space.
@@ -74,10 +75,10 @@ class _Numbers(dict):
 class Encoder:
     """Ids of whole texts from a byte-level BPE file, with words looked up once.
 
-    The file's pre-tokeniser starts a new piece at every single space, and BPE never
-    crosses pieces. So the ids of a text without two white-space characters in a row are
-    those of its words, each with the space before it. Texts with more white space, or
-    with one of the file's added tokens, are encoded whole.
+    The file's pre-tokeniser starts a new piece at every single space and line feed, and
+    BPE never crosses pieces. So the ids of a text without two white-space characters in a
+    row are those of its words, each with the space or line feed before it. Texts with
+    more white space, or with one of the file's added tokens, are encoded whole.
     """
 
     two_spaces = re.compile(r"\s\s")
@@ -99,21 +100,58 @@ class Encoder:
         # Fixed values of byte-level vocabularies: the characters that stand for bytes.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
-        self.byte = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        byte = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+        self.byte = np.array([byte[b] for b in range(256)], np.uint32)
         probe = ["word", "Stra\u00dfe", "\u65e5\u672c", "\u00e9t\u00e9", "Zzyzx"]
-        self.direct = self._encode([" " + w for w in probe]) == [self._of_letters(w) for w in probe]
+        self.line_feed = self._encode(["\n"])[0]
+        self.direct = all(
+            [i for ids in self._encode([before + w for w in probe]) for i in ids] == self._of_letters(probe, before)[0]
+            for before in (" ", "\n")
+        )
+        lines = ["one.", "Two %%\u00e9", "3"]
+        self.by_line = self._encode(["\n".join([*lines, ""])])[0] == [
+            i for ids in self._encode(lines) for i in [*ids, *self.line_feed]
+        ]
         self._forget()
 
-    def _of_letters(self, word: str) -> list[int]:
-        """Ids of a word of letters with a space before it, one piece, from the model alone."""
-        piece = SPACE + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(self.byte)
-        return [t.id for t in self.library.model.tokenize(piece)]
+    def _of_letters(self, words: list[str], before: str) -> tuple[list[int], list[int]]:
+        """Ids of words of letters, one after the other, and how many each has, from the model alone.
+
+        With a space before it, a word is one piece; a line feed is a piece of its own.
+        """
+        space, line = (" ", []) if before == " " else ("", self.line_feed)
+        shown = self.byte[np.frombuffer((space + f"\n{space}".join(words)).encode(), np.uint8)]
+        ids, length, model = [], [], self.library.model
+        for piece in shown.tobytes().decode("utf-32-le").split(chr(self.byte[10])):
+            found = model.tokenize(piece)
+            ids += line
+            ids += [t.id for t in found]
+            length.append(len(line) + len(found))
+        return ids, length
 
     def _forget(self) -> None:
-        """``ids`` of word i are those from ``start[i]`` on, ``length[i]`` of them."""
+        """``ids`` of word i are those from ``start[i]`` on, ``length[i]`` of them.
+
+        It came in ``uses[i]`` lots of texts.
+        """
         self.numbers = _Numbers()
         self.ids = _Grown(np.uint32)
-        self.start, self.length = _Grown(np.int64), _Grown(np.int64)
+        self.start, self.length, self.uses = (_Grown(np.int64) for _ in range(3))
+
+    def _forget_rare(self) -> None:
+        """Forget the words that came in one lot; all of them, if too many came again."""
+        kept = np.flatnonzero(self.uses.held > 1)
+        keys, ids, length = list(self.numbers), self._ids_of(kept), self.length.held[kept]
+        self._forget()
+        if len(kept) > REMEMBERED // 2:
+            return
+        for i in kept.tolist():
+            self.numbers[keys[i]]  # gives it its new number
+        self.numbers.new = []
+        for table in (self.start, self.length):
+            table.extend(np.zeros(len(kept), np.int64))
+        self.uses.extend(np.ones(len(kept), np.int64))  # it has to come again to stay once more
+        self._keep(ids, length, np.arange(len(kept)))
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -128,25 +166,24 @@ class Encoder:
     def _learn(self) -> None:
         """Find the ids of all words that have got a number since the last time.
 
-        A word of letters is one piece, which the library's model takes as it is. Many
-        other words are encoded as one text and cut where an id begins with a space. The
-        word of a text has no space before it; its key is a tuple. It, and words
-        with white space at an end, are encoded alone. Letters and the punctuation after
-        them are pieces, too; such a word is put together from both.
+        A word of letters is one piece, which the library's model takes as it is, also
+        after a line feed. Many other words are encoded as one text and cut where an id
+        begins with a space. What has no space before it has a tuple as its key. It, and
+        words with white space at an end, are encoded alone.
         """
         base, new = len(self.length.held), self.numbers.new
-        alone, together, joined, letters_only = [], [], [], []
-        for number, key in enumerate(new, base):  # grows by letters and punctuation
-            if not isinstance(key, str) or not key or key[0].isspace() or key[-1].isspace() or not self.can_join:
+        alone, together, letters, lines = [], [], [], []
+        for number, key in enumerate(new, base):
+            if type(key) is tuple or not self.can_join:
                 alone.append(number)
-                continue
-            letters = key.rstrip(self.punctuation)
-            if len(letters) < len(key) and letters.isalpha():
-                joined.append((number, self.numbers[letters], self.numbers[(key[len(letters) :],)]))
+            elif key.isalpha():
+                (letters if self.direct else together).append(number)
+            elif not key or key[0].isspace() or key[-1].isspace():
+                (lines if self.direct and key[:1] == "\n" and key[1:].isalpha() else alone).append(number)
             else:
-                (letters_only if self.direct and key.isalpha() else together).append(number)
+                together.append(number)
         self.numbers.new = []
-        for table in (self.start, self.length):
+        for table in (self.start, self.length, self.uses):
             table.extend(np.zeros(len(new), np.int64))
         words = [new[n - base] for n in together]
         groups = [words[i : i + GROUP] for i in range(0, len(words), GROUP)]
@@ -157,44 +194,91 @@ class Encoder:
                 self._keep(ids, np.diff(np.append(begins, len(ids))), np.array(own))
             else:
                 alone += own
-        if letters_only:
-            found = [self._of_letters(new[n - base]) for n in letters_only]
-            length = np.fromiter(map(len, found), np.int64, len(found))
-            self._keep(np.fromiter(chain.from_iterable(found), np.uint32), length, np.array(letters_only))
+        for own, cut, before in ((letters, 0, " "), (lines, 1, "\n")):
+            if own:
+                ids, length = self._of_letters([new[n - base][cut:] for n in own], before)
+                self._keep(np.array(ids, np.uint32), np.array(length), np.array(own))
         if alone:
             keys = [new[n - base] for n in alone]
-            found = self._encode([k[0] if isinstance(k, tuple) else " " + k for k in keys])
+            found = self._encode([k[0] if type(k) is tuple else k if self._is_line(k) else " " + k for k in keys])
             length = np.fromiter(map(len, found), np.int64, len(found))
             self._keep(np.fromiter(chain.from_iterable(found), np.uint32), length, np.array(alone))
-        if joined:
-            number, *parts = np.array(joined).T
-            parts = np.stack(parts, 1).ravel()
-            self._keep(self._ids_of(parts), self.length.held[parts].reshape(-1, 2).sum(1), number)
+
+    def _is_line(self, word: str) -> bool:
+        return self.by_line and word[:1] == "\n"
 
     def _ids_of(self, words: np.ndarray) -> np.ndarray:
         """The ids of known words, one after the other."""
-        length = self.length.held[words]
-        at = np.repeat(self.start.held[words] - np.cumsum(length) + length, length)
-        return self.ids.held[at + np.arange(len(at))]
+        start, length = self.start.held[words], self.length.held[words]
+        return _gathered(self.ids.held, start, length, np.arange(len(words)), np.empty(0, np.int64))[0]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, with the end id."""
+        """The ids of each text, with the end id.
+
+        Each word of these texts is looked up once: Arrow splits them and numbers the
+        words, so that only the distinct ones become Python strings.
+        """
         if len(self.numbers) > REMEMBERED:
-            self._forget()
+            self._forget_rare()
         whole = [i for i, t in enumerate(texts) if self.two_spaces.search(t) or (self.added and self.added.search(t))]
         found = dict(zip(whole, self._encode([texts[i] for i in whole])))
-        split = {i: t.split(" ") for i, t in enumerate(texts) if i not in found}
-        number = self.numbers.__getitem__
-        words = np.fromiter(
-            chain.from_iterable(chain((number((w[0],)),), map(number, islice(w, 1, None))) for w in split.values()),
-            np.int64,
-        )
-        self._learn()
-        ids, ends = self._ids_of(words), np.cumsum(self.length.held[words])
-        bounds = np.append(0, ends)[np.cumsum([len(w) for w in split.values()])] if split else []
-        found.update(zip(split, np.split(ids, bounds[:-1] if split else [])))
+        split = [i for i in range(len(texts)) if i not in found]
+        if split:
+            code, parts, ends = self._words([texts[i] for i in split])
+            self._learn()
+            self.uses.held += np.bincount(parts.ravel(), minlength=len(self.uses.held))
+            length = self.length.held[parts].sum(1)
+            ids, ends = _gathered(self._ids_of(parts.ravel()), np.cumsum(length) - length, length, code, ends)
+            found.update(zip(split, np.split(ids, ends[:-1])))
         return [np.append(np.asarray(found[i], np.uint32), np.uint32(END_ID)) for i in range(len(texts))]
 
+    def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of all words, two numbers for each code, and where each text's words end.
+
+        The two are a word of letters and the punctuation after it, which are pieces of
+        their own, or any other word and nothing. A text has one word at least.
+        """
+        if self.by_line:
+            texts = [t.replace("\n", " \n") for t in texts]
+        lists = pa.compute.split_pattern(pa.array(texts, pa.string()), " ")
+        every, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
+        first = np.append(0, ends[:-1])
+        later = np.ones(len(every), bool)
+        later[first] = False
+        coded = every.filter(pa.array(later)).dictionary_encode()
+        numbers, distinct = self.numbers, coded.dictionary
+        words = [*_strings(distinct), *((w,) for w in _strings(every.take(pa.array(first))))]
+        parts = np.full((len(words), 2), numbers[("",)], np.int64)
+        letters = pa.compute.ascii_rtrim(distinct, self.punctuation)
+        length = pa.compute.binary_length
+        cut = np.flatnonzero(np.asarray(length(letters)) < np.asarray(length(distinct)))
+        for i, own in zip(cut.tolist(), _strings(letters.take(pa.array(cut)))):
+            if own.isalpha() or (self._is_line(own) and own[1:].isalpha()):
+                parts[i, 1] = numbers[(words[i][len(own) :],)]
+                words[i] = own
+        parts[:, 0] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        code = np.empty(len(every), np.int64)
+        code[later] = coded.indices.to_numpy()
+        code[first] = np.arange(len(distinct), len(words))
+        return code, parts, ends
+
+
+def _gathered(ids: np.ndarray, start: np.ndarray, length: np.ndarray, code: np.ndarray, ends: np.ndarray):
+    """The ids of codes one after the other, and where those of each run of codes end."""
+    own = length[code]
+    total = np.cumsum(own)
+    at = np.repeat(start[code] - total + own, own)
+    at += np.arange(len(at))
+    return ids[at], total[ends - 1]
+
+
+def _strings(words: pa.Array) -> list[str]:
+    """Python strings of words without a space; many at once come cheaper than one by one."""
+    if not len(words):
+        return []
+    together = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pa.compute.binary_join(together, " ")[0].as_py().split(" ")
+
 
 def encoder(path: str) -> Encoder:
     """The encoder of this Python worker: later tasks know the words of earlier ones."""
@@ -236,7 +320,7 @@ def write_ids(documents: DataFrame, folder: str, tokenizer: str) -> list[tuple[i
     keys = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dealt = rows.repartitionByRange(shards, keys[0]).sortWithinPartitions(*keys)
-    written = dealt.mapInArrow(_write_shard(folder, tokenizer), "shard long, ids long").collect()
+    written = dealt.mapInArrow(released(_write_shard(folder, tokenizer)), "shard long, ids long").collect()
     starts, before = [], 0
     for shard, ids in sorted(tuple(r) for r in written):
         starts.append((shard, before))
@@ -267,7 +351,7 @@ def read_ids(spark: SparkSession, folder: str, starts: list[tuple[int, int]]) ->
                     ]
                     yield pa.RecordBatch.from_arrays(columns, schema=READ)
 
-    return tasks.mapInArrow(run, READ_SQL)
+    return tasks.mapInArrow(released(run), READ_SQL)
 
 
 def token_ids(documents: DataFrame, tokenizer: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from starfold.llm import ann, chat, decontam, jaccard_join, quality, sharding, warc
+from starfold.llm import ann, chat, decontam, jaccard_join, quality, sharding, token_blocks, warc
 from starfold.llm.common import released
 from starfold.llm.loser_tree import LoserTree
 from starfold.llm.token_blocks import Encoder
@@ -164,6 +164,26 @@ def test_word_lookup_gives_the_library_ids(texts):
     assert found == [e.ids + [0] for e in plain]
 
 
+def test_encoder_forgets_only_words_that_do_not_come_again(monkeypatch):
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(token_blocks, "REMEMBERED", 60)
+    for lot in range(30):
+        often = " ".join(f"common{c}" for c in "abcdefgh")
+        once = " ".join(f"rare{chr(97 + lot % 26)}{chr(97 + lot // 26)}{chr(97 + i)}" for i in range(20))
+        texts = [f"{often} {once}, 7.\n{often}!", ""]
+        found = [ids.tolist() for ids in encoder.encode(texts)]
+        assert found == [e.ids + [0] for e in encoder.library.encode_batch(texts, add_special_tokens=False)]
+        assert len(encoder.numbers) <= 60 + 40
+        assert lot < 2 or "commonb" in encoder.numbers
+    assert "rareaaa" not in encoder.numbers
+
+
+def test_encoder_remembers_words_without_punctuation_and_lines_apart():
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder.encode(["a Haus.\nHof, Haus,\nHof! Haus|"])
+    assert [k for k in encoder.numbers if isinstance(k, str)] == ["Haus", "\nHof"]
+
+
 _ENCODERS = []
 
 
