@@ -211,6 +211,15 @@ def _short_lists(frequency):
     return run
 
 
+def _bucketed(df: DataFrame, label: str, *keys: str) -> str:
+    """Store a table that lies by keys, so that steps by them need no shuffle; its name."""
+    spark = df.sparkSession
+    name, buckets = f"{label}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", work_dir(spark, label)).saveAsTable(name)
+    return name
+
+
 class Verifier:
     """Texts of the documents that are in any list of several, ready to be joined by id.
 
@@ -219,10 +228,7 @@ class Verifier:
 
     def __init__(self, texts: DataFrame):
         self.spark = texts.sparkSession
-        self.table = f"texts_{uuid.uuid4().hex}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = texts.write.bucketBy(buckets, "doc").sortBy("doc")
-        writer.option("path", work_dir(self.spark, "texts")).saveAsTable(self.table)
+        self.table = _bucketed(texts, "texts", "doc")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct pairs (a, b) whose sets link; a may have any number of b."""
@@ -302,16 +308,25 @@ def _candidates(met: DataFrame) -> DataFrame:
     return shared.where(F.col("_c") >= needed - long).select("a", "b")
 
 
-def _stars(lists: DataFrame, keys: list[str]) -> DataFrame:
-    """(a, an, b, bn): each list's documents with its least one, where sizes allow a link."""
-    first = lists.groupBy(*keys).agg(F.min(F.struct("doc", "n")).alias("_f"), F.max("doc").alias("_m"))
-    first = first.where("_f.doc < _m").drop("_m")
-    pairs = lists.join(first, keys).where(F.col("doc") > F.col("_f.doc"))
+def _with_least(lists: DataFrame, *keys: str) -> DataFrame:
+    """Adds ``_f``: the least document of each group. Groups lie in one (token, salt), so they are bounded."""
+    return lists.withColumn("_f", F.min(F.struct("doc", "n")).over(Window.partitionBy(*keys)))
+
+
+def _stars(with_least: DataFrame) -> DataFrame:
+    """(a, an, b, bn): each group's documents with its least one, where sizes allow a link."""
+    pairs = with_least.where(F.col("doc") > F.col("_f.doc"))
     return pairs.where(sizes_fit("n", "_f.n")).select(
         F.col("_f.doc").alias("a"), F.col("_f.n").alias("an"), F.col("doc").alias("b"), F.col("n").alias("bn")
     )
 
 
+def _far_stars(lists: DataFrame) -> DataFrame:
+    """The same for whole lists of any length."""
+    first = lists.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("_f"), F.max("doc").alias("_m"))
+    return _stars(lists.join(first.where("_f.doc < _m").drop("_m"), "token"))
+
+
 def merged_counts(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids that are in at least ``least`` ascending lists, and in how many: DivideSkip on arrays.
 
@@ -339,21 +354,18 @@ def _least_common(an, bn):
 class _Query:
     """Short lists of one document, with what they hold."""
 
-    def __init__(self, x: int, n: int, component: int):
-        self.x, self.n, self.component = x, n, component
+    def __init__(self, x: int, n: int):
+        self.x, self.n = x, n
         self.lists: dict[int, list[np.ndarray]] = {}
         self.size = 0
         self.known = np.empty((0, 3), np.int64)  # id, n, count of lists that were folded away
 
     def add(self, token: int, docs: np.ndarray) -> None:
-        """``docs``: (id, n, component) of a part of a list; only those that may link count."""
-        low, high = np.minimum(docs[:, 1], self.n), np.maximum(docs[:, 1], self.n)
-        docs = docs[(docs[:, 2] != self.component) & (100 * low >= 75 * high)]
-        if len(docs):
-            self.lists.setdefault(token, []).append(docs[:, :2])
-            self.size += len(docs)
-            if self.size > AT_ONCE:
-                self.known, self.lists, self.size = self._counted(1), {}, 0
+        """``docs``: (id, n) of those in a part of a list that may link."""
+        self.lists.setdefault(token, []).append(docs)
+        self.size += len(docs)
+        if self.size > AT_ONCE:
+            self.known, self.lists, self.size = self._counted(1), {}, 0
 
     def _counted(self, least: int) -> np.ndarray:
         """(id, n, count) over all lists so far."""
@@ -377,18 +389,18 @@ class _Query:
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(x, xn, xc, token, docs) in the order of x to candidate pairs."""
+    """(x, xn, token, docs) in the order of x to candidate pairs."""
     query: _Query | None = None
     for batch in batches:
         out = []
-        docs = batch.column(4)
+        docs = batch.column(3)
         flat = docs.flatten()
         table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in flat.flatten()], 1)
         ends = np.cumsum(docs.value_lengths().to_numpy())
-        for i, (x, n, component, token) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:4]))):
+        for i, (x, n, token) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]))):
             if query is None or query.x != x:
                 out += query.candidates() if query else []
-                query = _Query(x, n, component)
+                query = _Query(x, n)
             query.add(token, table[ends[i - 1] if i else 0 : ends[i]])
         yield _pairs(out)
     yield _pairs(query.candidates() if query else [])
@@ -403,18 +415,34 @@ def _still_apart(placed: DataFrame) -> DataFrame:
     all their common lists. Lists go to the searches in parts of LIST_PART documents, not
     as pairs.
     """
-    sizes = placed.groupBy("token", "component").agg(F.count("*").alias("_n"))
-    of_list = sizes.groupBy("token").agg(
+    of_component, of_list = (Window.partitionBy("token", "salt", *more) for more in (["component"], []))
+    whole = placed.where("not split").withColumn("_n", F.count("*").over(of_component))
+    whole = whole.withColumn("_largest", F.max(F.struct("_n", "component")).over(of_list)["component"])
+    whole = whole.withColumn("_k", F.min("component").over(of_list) < F.max("component").over(of_list))
+    whole = whole.withColumn("_size", F.count("*").over(of_list)).where("_k")
+    # Lists that lie in several parts are described from all of them.
+    split = placed.where("split")
+    sizes = split.groupBy("token", "component").agg(F.count("*").alias("_n"))
+    described = sizes.groupBy("token").agg(
         F.max_by("component", F.struct("_n", "component")).alias("_largest"), F.count("*").alias("_k"), F.sum("_n").alias("_size")
     )
-    mixed_lists = stored(placed.join(of_list.where("_k > 1").drop("_k"), "token"), "mixed-lists")
+    split = split.join(described.where("_k > 1").drop("_k"), "token")
+    kept = ["token", "doc", "n", "component", "_largest", "_size"]
+    mixed_lists = stored(whole.select(kept).union(split.select(kept)), "mixed-lists")
+
     queries = mixed_lists.where("component <> _largest").select(F.col("doc").alias("x")).distinct()
-    entries = mixed_lists.select("token", F.col("doc").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-    entries = entries.join(queries, "x", "left_semi")
+    marked = mixed_lists.join(queries, F.col("doc") == F.col("x"), "left")
+    marked = stored(marked.select("token", "doc", "n", "component", "_size", F.col("x").isNotNull().alias("searched")), "marked-lists")
+    entries = marked.where("searched").select("token", F.col("doc").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
     part = F.pmod(F.xxhash64("doc"), F.ceil(F.col("_size") / LIST_PART)).alias("_part")
-    parts = mixed_lists.groupBy("token", part).agg(F.collect_list(F.struct("doc", "n", "component")).alias("docs"))
-    met = entries.join(parts, "token").select("x", "xn", "xc", "token", "docs")
-    dealt = met.repartition("x").sortWithinPartitions("x")
+    parts = marked.groupBy("token", part).agg(F.collect_list(F.struct("doc", "n", "component", "searched")).alias("docs"))
+    # Only what may link is moved; of two that are both searched, the greater looks for the less.
+    fitting = F.expr(
+        "filter(docs, d -> d.component <> xc and (not d.searched or d.doc < x)"
+        " and 100 * least(d.n, xn) >= 75 * greatest(d.n, xn))"
+    )
+    met = entries.join(parts, "token").select("x", "xn", "token", F.transform(fitting, lambda d: F.struct(d["doc"], d["n"])).alias("docs"))
+    dealt = met.where(F.size("docs") > 0).repartition("x").sortWithinPartitions("x")
     return dealt.mapInArrow(released(_searched), "a long, b long").distinct()
 
 
@@ -444,27 +472,28 @@ def near_copies(documents: DataFrame) -> DataFrame:
     )
     by_list = Window.partitionBy("token", "salt")
     several = (F.min("doc").over(by_list) < F.max("doc").over(by_list)) | F.col("split")
-    shared = tokens.withColumn("_s", several).where("_s").drop("_s", "split")
-    lists = stored(shared.join(reps, "doc", "left_semi"), "lists")
+    shared = tokens.withColumn("_s", several).where("_s").drop("_s")
+    table = _bucketed(shared.join(reps, "doc", "left_semi"), "lists", "token", "salt")
+    lists = spark.table(table)
 
     active = lists.select(F.col("doc").alias("doc_id")).distinct()
     texts = rows.join(active, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text")
     verifier = Verifier(texts.dropDuplicates(["doc"]))
 
-    # First round: the least document of each list, of each salt and of each size band.
-    band = ["token", "band", "salt"]
-    first = lists.groupBy(*band).agg(F.min(F.struct("doc", "n")).alias("_f"))
-    heads = first.select("token", F.col("_f.doc").alias("doc"), F.col("_f.n").alias("n"))
-    tried = stored(_candidates(_stars(lists, band).union(_stars(heads, ["token"]))), "tried")
+    # First round: the least document of each size band of each list or part, then of the part, then of the list.
+    of_band = _with_least(lists, "token", "salt", "band")
+    of_part = _with_least(of_band.where("doc = _f.doc"), "token", "salt")
+    of_list = lists.where("split").groupBy("token", "salt").agg(F.min(F.struct("doc", "n")).alias("_f")).select("token", "_f.*")
+    tried = stored(_candidates(_stars(of_band).union(_stars(of_part)).union(_far_stars(of_list))), "tried")
     links = verifier.links(tried)
     of_doc = connected(links)
 
     # Second round: the least document of each component that a list holds.
     placed = _placed(lists, of_doc)
-    heads = placed.groupBy("token", "component").agg(F.min(F.struct("doc", "n")).alias("_f"))
-    heads = heads.select("token", F.col("_f.doc").alias("doc"), F.col("_f.n").alias("n"))
-    again = _candidates(_stars(heads, ["token"])).join(tried, ["a", "b"], "left_anti")
-    again = stored(again, "again")
+    by_component = lambda rows, *keys: rows.groupBy(*keys, "component").agg(F.min(F.struct("doc", "n")).alias("_h")).select(*keys, "_h.*")
+    heads = _with_least(by_component(placed, "token", "salt"), "token", "salt")
+    met = _stars(heads).union(_far_stars(by_component(placed.where("split"), "token")))
+    again = stored(_candidates(met).join(tried, ["a", "b"], "left_anti"), "again")
     links = links.union(verifier.links(again))
     of_doc = connected(links)
 
@@ -473,6 +502,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     rest = rest.join(tried, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti")
     links = links.union(verifier.links(stored(rest, "rest")))
     verifier.close()
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     of_doc = connected(links)
 
     of_class = classes.join(of_doc, F.col("rep") == F.col("id"), "left").select(
@@ -489,7 +519,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
 def _placed(lists: DataFrame, of_doc: DataFrame) -> DataFrame:
     """Lists with each document's component so far; one without links is its own."""
     joined = lists.join(of_doc.withColumnRenamed("id", "doc"), "doc", "left")
-    return stored(joined.withColumn("component", F.coalesce("component", "doc")), "placed")
+    return joined.withColumn("component", F.coalesce("component", "doc"))
 
 
 def keep_one_of_each(documents: DataFrame) -> DataFrame:

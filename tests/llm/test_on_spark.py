@@ -407,3 +407,34 @@ def test_shards_are_even_and_gapless(spark):
     assert sharding.shard_documents(documents(spark, []), 10).collect() == []
     with pytest.raises(ValueError):
         sharding.shard_rows(documents(spark, []), ["doc_id"], 0)
+
+
+def test_lists_meet_where_they_lie(spark):
+    rows = [(t, d, 10 + d % 3, d % 2, 0, False) for t in range(40) for d in range(t % 5 + 1)]
+    lists = spark.createDataFrame(rows, "token long, doc long, n int, band int, salt int, split boolean")
+    table = jaccard_join._bucketed(lists, "lists", "token", "salt")
+    try:
+        with_least = jaccard_join._with_least(spark.table(table), "token", "salt", "band")
+        stars = jaccard_join._stars(with_least).select("a", "b")
+        assert "Exchange" not in stars._jdf.queryExecution().executedPlan().toString()
+        found = sorted(tuple(r) for r in stars.collect())
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    assert found == sorted((d % 2, d) for t in range(40) for d in range(t % 5 + 1) if d > 1)
+
+
+@pytest.mark.parametrize("list_part", [1, 128])
+def test_documents_that_are_still_apart_equal_counting(spark, monkeypatch, list_part):
+    """Lists whole and in parts, of several components: pairs with enough lists in common, each once."""
+    monkeypatch.setattr(jaccard_join, "LIST_PART", list_part)
+    rng = np.random.default_rng(11)
+    n, component = rng.integers(3, 9, 24), rng.integers(0, 6, 24)
+    docs = {t: sorted(set(rng.integers(0, 24, rng.integers(1, 9)).tolist())) for t in range(60)}
+    rows = [(t, d, int(n[d]), d % 3 if t % 2 else 0, bool(t % 2), int(component[d])) for t, own in docs.items() for d in own]
+    placed = spark.createDataFrame(rows, "token long, doc long, n int, salt int, split boolean, component long")
+    found = sorted(tuple(r) for r in jaccard_join._still_apart(placed).collect())
+    common = Counter((a, b) for own in docs.values() for a in own for b in own if a < b and component[a] != component[b])
+    least = {(a, b): max(int(jaccard_join._least_common(n[a], n[b])), 1) for a, b in common}
+    fits = {(a, b) for a, b in common if 100 * min(n[a], n[b]) >= 75 * max(n[a], n[b])}
+    assert found == sorted(p for p in fits if common[p] >= least[p])
+    assert found
