@@ -19,6 +19,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,20 @@ def _lower() -> np.ndarray:
     return byte
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A smaller number with the same remainder modulo PRIME, which is 2^31 - 1."""
+    high = x >> 31
+    high += x & PRIME
+    return high
+
+
+def _mod(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME of numbers from 0 on, without a division."""
+    x = _folded(_folded(x))
+    x -= PRIME * (x >= PRIME)
+    return x
+
+
 def _powers_mod(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo PRIME, by doubling."""
     out = np.ones(1, np.int64)
@@ -149,15 +164,21 @@ class Grams:
         text = tables.lower[data]
         text[tables.kind[data] > 0] = 32
         self.data = text[keep]
-        prefix = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(tables.value[self.data] * tables.power[: len(self.data)], dtype=np.uint64, out=prefix[1:])
-        self.prefix, self._prefix_mod = prefix, None
+        self._prefix_mod = None
         self.salt = np.array([lang_number(x) for x in langs], np.uint64)
         self.salt_mod = (self.salt % np.uint64(PRIME)).astype(np.int64)
 
     def __len__(self) -> int:
         return len(self.start)
 
+    @cached_property
+    def prefix(self) -> np.ndarray:
+        """Sums over the bytes so far; who only counts words needs none."""
+        prefix, terms = np.zeros(len(self.data) + 1, np.uint64), self.tables.value[self.data]
+        terms *= self.tables.power[: len(self.data)]
+        np.cumsum(terms, dtype=np.uint64, out=prefix[1:])
+        return prefix
+
     def places(self, k: int) -> np.ndarray:
         """Where k words of one piece begin."""
         n = len(self) - k + 1
@@ -178,11 +199,16 @@ class Grams:
     def check(self, place: np.ndarray, k: int | np.ndarray) -> np.ndarray:
         """The same by the other polynomial, modulo PRIME."""
         if self._prefix_mod is None:
-            terms = self.tables.small[self.data] * self.tables.power_mod[: len(self.data)] % PRIME
-            self._prefix_mod = np.concatenate([np.zeros(1, np.int64), np.cumsum(terms)])
+            terms = self.tables.small[self.data]
+            terms *= self.tables.power_mod[: len(self.data)]
+            self._prefix_mod = np.zeros(len(self.data) + 1, np.int64)
+            # Terms below 2^62 fold below 2^32, so sums over 2^31 bytes fit.
+            np.cumsum(_folded(terms), out=self._prefix_mod[1:])
         a, b = self.start[place], self.end[place + k - 1]
-        run = (self._prefix_mod[b] - self._prefix_mod[a]) % PRIME
-        return (run * self.tables.inverse_mod[a] + self.salt_mod[self.row[place]]) % PRIME
+        run = _mod(self._prefix_mod[b] - self._prefix_mod[a])
+        run *= self.tables.inverse_mod[a]
+        run += self.salt_mod[self.row[place]]
+        return _mod(run)
 
     def phrases(self, place: np.ndarray, k: np.ndarray) -> pa.Array:
         """The words as strings with one space between them."""

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
@@ -95,3 +96,17 @@ def test_bitmap_has_a_bit_for_each_number(spark):
     bitmap = phrases._bitmap(spark.createDataFrame([(int(x),) for x in known], "fp long"))
     assert phrases._may_be(bitmap, known.view(np.uint64)).all()
     assert phrases._may_be(bitmap, rng.integers(0, 2**63, 5000).view(np.uint64)).mean() < 0.1
+
+
+def test_remainders_without_a_division():
+    rng = np.random.default_rng(4)
+    p = phrases.PRIME
+    x = np.concatenate([[0, 1, p - 1, p, p + 1, 2 * p, p * p, 2**62, 2**63 - 1], rng.integers(0, 2**63 - 1, 10_000)])
+    assert (phrases._mod(x) == x % p).all()
+
+
+def test_counting_words_computes_no_prefix():
+    grams = phrases.Grams(["en"], pa.array([b"one two, three"], pa.large_binary()))
+    assert len(grams) == 3 and "prefix" not in vars(grams)
+    grams.fingerprint(grams.places(2), 2)
+    assert "prefix" in vars(grams)
