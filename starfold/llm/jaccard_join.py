@@ -463,7 +463,9 @@ def near_copies(documents: DataFrame) -> DataFrame:
     named = sets.where("doc_id is not null and n > 0")
     of_set = ["n", "h1", "h2"]
     classes = named.groupBy(*of_set).agg(F.min("doc_id").alias("rep"))
-    reps = stored(classes.select(F.col("rep").alias("doc")).distinct(), "representatives")
+    reps = classes.select(F.col("rep").alias("doc"))
+    # Copies are fewer than representatives; where they are few, the lists need not move to lose them.
+    copies = stored(named.select(F.col("doc_id").alias("doc")).distinct().join(reps, "doc", "left_anti"), "copies")
 
     # A fixed four megabytes.
     frequency = spark.sparkContext.broadcast(level)
@@ -473,7 +475,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     by_list = Window.partitionBy("token", "salt")
     several = (F.min("doc").over(by_list) < F.max("doc").over(by_list)) | F.col("split")
     shared = tokens.withColumn("_s", several).where("_s").drop("_s")
-    table = _bucketed(shared.join(reps, "doc", "left_semi"), "lists", "token", "salt")
+    table = _bucketed(shared.join(copies, "doc", "left_anti"), "lists", "token", "salt")
     lists = spark.table(table)
 
     active = lists.select(F.col("doc").alias("doc_id")).distinct()
