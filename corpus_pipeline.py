@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from starfold.llm import decontam, jaccard_join, mixing, quality, token_blocks
 from starfold.llm.common import stored, table
 
+#: Words that a Python worker of the last stage may remember. Executors still hold what the
+#: stages before it took, so it has less room than op5 alone.
+REMEMBERED = 100_000
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier rejects: junk, insults, and those without words."""
@@ -35,7 +39,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes token ids as packed blocks; returns where each document lies in them."""
-    return token_blocks.token_ids(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_blocks.token_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), REMEMBERED)
 
 
 STAGES = [

@@ -33,8 +33,10 @@ ship_by_value(__name__)
 END_ID = 0
 #: Words that a worker remembers the ids of, before it forgets those that came once.
 REMEMBERED = 400_000
-#: Bytes of text that are tokenised together, and new words that are one text.
-TOGETHER, GROUP = 4 << 20, 1000
+#: Bytes of text that are tokenised together by a worker that remembers so many.
+TOGETHER = 4 << 20
+#: New words that are one text, new words of letters, and words of texts that are worked on at once.
+GROUP, LETTERS, AT_ONCE = 1000, 8000, 1 << 16
 #: How the vocabulary writes a space.
 SPACE = "\u0120"
 READ = pa.schema(
@@ -79,12 +81,15 @@ class Encoder:
     BPE never crosses pieces. So the ids of a text without two white-space characters in a
     row are those of its words, each with the space or line feed before it. Texts with
     more white space, or with one of the file's added tokens, are encoded whole.
+
+    ``remembered`` (REMEMBERED, if not given) bounds the memory, and costs time if small.
     """
 
     two_spaces = re.compile(r"\s\s")
     punctuation = ".,;!?|"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
+        self.remembered = remembered
         # One task is one thread; Spark runs as many as there are cores.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -138,12 +143,19 @@ class Encoder:
         self.ids = _Grown(np.uint32)
         self.start, self.length, self.uses = (_Grown(np.int64) for _ in range(3))
 
+    def _most(self) -> int:
+        return REMEMBERED if self.remembered is None else self.remembered
+
+    def together(self) -> int:
+        """Bytes of text to encode together: what one lot needs follows what is remembered."""
+        return max(1, TOGETHER * self._most() // REMEMBERED)
+
     def _forget_rare(self) -> None:
         """Forget the words that came in one lot; all of them, if too many came again."""
         kept = np.flatnonzero(self.uses.held > 1)
         keys, ids, length = list(self.numbers), self._ids_of(kept), self.length.held[kept]
         self._forget()
-        if len(kept) > REMEMBERED // 2:
+        if len(kept) > self._most() // 2:
             return
         for i in kept.tolist():
             self.numbers[keys[i]]  # gives it its new number
@@ -187,17 +199,18 @@ class Encoder:
             table.extend(np.zeros(len(new), np.int64))
         words = [new[n - base] for n in together]
         groups = [words[i : i + GROUP] for i in range(0, len(words), GROUP)]
-        for first, group, ids in zip(range(0, len(words), GROUP), groups, self._encode([" " + " ".join(g) for g in groups])):
-            ids, own = np.array(ids, np.uint32), together[first : first + GROUP]
+        for first, group in zip(range(0, len(words), GROUP), groups):
+            ids, own = np.array(self._encode([" " + " ".join(group)])[0], np.uint32), together[first : first + GROUP]
             begins = np.flatnonzero(self.spaced[ids])
             if len(begins) == len(group):
                 self._keep(ids, np.diff(np.append(begins, len(ids))), np.array(own))
             else:
                 alone += own
         for own, cut, before in ((letters, 0, " "), (lines, 1, "\n")):
-            if own:
-                ids, length = self._of_letters([new[n - base][cut:] for n in own], before)
-                self._keep(np.array(ids, np.uint32), np.array(length), np.array(own))
+            for first in range(0, len(own), LETTERS):
+                some = own[first : first + LETTERS]
+                ids, length = self._of_letters([new[n - base][cut:] for n in some], before)
+                self._keep(np.array(ids, np.uint32), np.array(length), np.array(some))
         if alone:
             keys = [new[n - base] for n in alone]
             found = self._encode([k[0] if type(k) is tuple else k if self._is_line(k) else " " + k for k in keys])
@@ -218,7 +231,7 @@ class Encoder:
         Each word of these texts is looked up once: Arrow splits them and numbers the
         words, so that only the distinct ones become Python strings.
         """
-        if len(self.numbers) > REMEMBERED:
+        if len(self.numbers) > self._most():
             self._forget_rare()
         whole = [i for i, t in enumerate(texts) if self.two_spaces.search(t) or (self.added and self.added.search(t))]
         found = dict(zip(whole, self._encode([texts[i] for i in whole])))
@@ -228,8 +241,12 @@ class Encoder:
             self._learn()
             self.uses.held += np.bincount(parts.ravel(), minlength=len(self.uses.held))
             length = self.length.held[parts].sum(1)
-            ids, ends = _gathered(self._ids_of(parts.ravel()), np.cumsum(length) - length, length, code, ends)
-            found.update(zip(split, np.split(ids, ends[:-1])))
+            ids, start = self._ids_of(parts.ravel()), np.cumsum(length) - length
+            bounds = np.flatnonzero(np.diff(ends // AT_ONCE)) + 1
+            for a, b in zip([0, *bounds], [*bounds, len(ends)]):
+                low = ends[a - 1] if a else 0
+                some, at = _gathered(ids, start, length, code[low : ends[b - 1]], ends[a:b] - low)
+                found.update(zip(split[a:b], np.split(some, at[:-1])))
         return [np.append(np.asarray(found[i], np.uint32), np.uint32(END_ID)) for i in range(len(texts))]
 
     def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -257,7 +274,7 @@ class Encoder:
                 parts[i, 1] = numbers[(words[i][len(own) :],)]
                 words[i] = own
         parts[:, 0] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        code = np.empty(len(every), np.int64)
+        code = np.empty(len(every), np.int32)
         code[later] = coded.indices.to_numpy()
         code[first] = np.arange(len(distinct), len(words))
         return code, parts, ends
@@ -280,26 +297,26 @@ def _strings(words: pa.Array) -> list[str]:
     return pa.compute.binary_join(together, " ")[0].as_py().split(" ")
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int | None = None) -> Encoder:
     """The encoder of this Python worker: later tasks know the words of earlier ones."""
     state = sys.modules.setdefault("starfold_worker_state", ModuleType("starfold_worker_state"))
     known = state.__dict__.setdefault("encoders", {})
-    if path not in known:
-        known[path] = Encoder(path)
-    return known[path]
+    if (path, remembered) not in known:
+        known[path, remembered] = Encoder(path, remembered)
+    return known[path, remembered]
 
 
 def shard_name(number: int) -> str:
     return f"ids-{number:06d}.pfor"
 
 
-def _write_shard(folder: str, tokenizer: str):
+def _write_shard(folder: str, tokenizer: str, remembered: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, own = TaskContext.get().partitionId(), encoder(tokenizer)
+        number, own = TaskContext.get().partitionId(), encoder(tokenizer, remembered)
         with whole_file(folder, shard_name(number)) as out:
             writer = ShardWriter(out)
             for batch in batches:
-                for part in slices(batch, 1, TOGETHER):
+                for part in slices(batch, 1, own.together()):
                     texts = [t or "" for t in part.column(1).to_pylist()]
                     for doc_id, ids in zip(part.column(0).to_pylist(), own.encode(texts)):
                         writer.add(doc_id, ids)
@@ -309,7 +326,7 @@ def _write_shard(folder: str, tokenizer: str):
     return run
 
 
-def write_ids(documents: DataFrame, folder: str, tokenizer: str) -> list[tuple[int, int]]:
+def write_ids(documents: DataFrame, folder: str, tokenizer: str, remembered: int | None = None) -> list[tuple[int, int]]:
     """Write all documents; returns (shard, ids in all earlier shards), one for each shard.
 
     A null text is an empty one and so just the end id. Documents go in ascending
@@ -320,7 +337,7 @@ def write_ids(documents: DataFrame, folder: str, tokenizer: str) -> list[tuple[i
     keys = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dealt = rows.repartitionByRange(shards, keys[0]).sortWithinPartitions(*keys)
-    written = dealt.mapInArrow(released(_write_shard(folder, tokenizer)), "shard long, ids long").collect()
+    written = dealt.mapInArrow(released(_write_shard(folder, tokenizer, remembered)), "shard long, ids long").collect()
     starts, before = [], 0
     for shard, ids in sorted(tuple(r) for r in written):
         starts.append((shard, before))
@@ -354,8 +371,11 @@ def read_ids(spark: SparkSession, folder: str, starts: list[tuple[int, int]]) ->
     return tasks.mapInArrow(released(run), READ_SQL)
 
 
-def token_ids(documents: DataFrame, tokenizer: str) -> DataFrame:
-    """Write the ids of all documents below the shared folder and read them back."""
+def token_ids(documents: DataFrame, tokenizer: str, remembered: int | None = None) -> DataFrame:
+    """Write the ids of all documents below the shared folder and read them back.
+
+    ``remembered``: words that each Python worker may remember (see ``Encoder``).
+    """
     spark = documents.sparkSession
     folder = work_dir(spark, "ids")
-    return read_ids(spark, folder, write_ids(documents, folder, tokenizer))
+    return read_ids(spark, folder, write_ids(documents, folder, tokenizer, remembered))
