@@ -6,14 +6,18 @@ product with their centroid. How many leaves a query visits is widened until the
 of calibration queries, measured against brute force over all vectors, reaches a target.
 
 Equal vectors are one: a vector carries the smallest ids that have it, as many as a
-result can show. Leaves are cut into cells of bounded size, on the side of vectors and of
-queries, so a leaf may hold any share of either.
+result can show. Leaves are cut into cells of bounded size, so a leaf may hold any share of
+the vectors. Vectors are written once, cell by cell, to files in the shared folder. A task
+has a block of queries with a bit for each leaf that they visit, reads the cells of these
+leaves one after the other, and keeps the best of what it has seen. So neither vectors nor
+queries are copied for the visits, whose number is that of queries times leaves.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,11 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starfold.llm.common import stored
+from starfold.llm.common import released, stored, work_dir
+from starfold.llm.files import open_file, whole_file
 from starfold.session import ship_by_value
 
 ship_by_value(__name__)
 
+#: Rows of equal hash beyond which repeated rows are dropped before vectors are grouped.
+CROWD = 4096
+#: Scores that are held at once, and files that a task keeps open.
+PIECE, OPEN_FILES = 1 << 20, 64
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -34,7 +44,8 @@ class Settings:
 
     sample: vectors the tree is fitted on, at most. leaf: vectors meant for a leaf.
     leaves: leaves at most. calibration: queries that the visits are calibrated on.
-    recall: their mean recall. cell: vectors or queries that one cell holds.
+    recall: their mean recall. cell: vectors that one cell holds. block: queries that one
+    task holds; with very many queries, up to eight times as many.
     """
 
     sample: int = 50_000
@@ -45,6 +56,7 @@ class Settings:
     recall: float = 0.97
     cell: int = 8192
     seed: int = 7
+    block: int = 1024
 
 
 class Tree:
@@ -52,10 +64,17 @@ class Tree:
 
     def __init__(self, centroids: np.ndarray, first_child: np.ndarray, n_children: np.ndarray):
         self.centroids, self.first, self.n = centroids, first_child, n_children
-        leaves = np.flatnonzero(n_children == 0)
+        self.leaves = np.flatnonzero(n_children == 0)
         self.leaf_number = np.full(len(n_children), -1)
-        self.leaf_number[leaves] = np.arange(len(leaves))
-        self.n_leaves = len(leaves)
+        self.leaf_number[self.leaves] = np.arange(len(self.leaves))
+        self.n_leaves = len(self.leaves)
+        self.parent = np.zeros(len(n_children), np.int64)
+        for at in np.flatnonzero(n_children):
+            self.parent[first_child[at] : first_child[at] + n_children[at]] = at
+        #: Nodes below the root, level by level.
+        self.levels, level = [], np.array([0])
+        while len(level := np.flatnonzero(np.isin(self.parent, level) & (np.arange(len(self.parent)) > 0))):
+            self.levels.append(level)
 
     def assign(self, x: np.ndarray) -> np.ndarray:
         """Leaf of each row: at every node, the child with the nearest centroid."""
@@ -71,8 +90,10 @@ class Tree:
 
     def best_bins(self, q: np.ndarray, visits: int) -> list[int]:
         """The first ``visits`` leaves of a query, best branch first."""
-        near = -(self.centroids @ q)
-        queue, found = [(0.0, 0)], []
+        return self._popped([(0.0, 0)], -(self.centroids @ q), visits)
+
+    def _popped(self, queue: list, near: np.ndarray, visits: int) -> list[int]:
+        found = []
         while queue and len(found) < visits:
             _, node = heapq.heappop(queue)
             if not self.n[node]:
@@ -82,6 +103,30 @@ class Tree:
                 heapq.heappush(queue, (near[child], child))
         return found
 
+    def visited(self, queries: np.ndarray, visits: int) -> np.ndarray:
+        """Whether each query (row) visits each leaf: those of ``best_bins``, for many at once.
+
+        A branch leaves the queue when the worst centroid on its way has its turn, so the
+        leaves whose worst is less than that of the last visit are visited. Where only some
+        of those of equal worst are, all below one branch, the queue decides among them.
+        """
+        if visits >= self.n_leaves:
+            return np.ones((len(queries), self.n_leaves), bool)
+        near = -(queries @ self.centroids.T)
+        worst = np.full_like(near, -np.inf)
+        for level in self.levels:
+            worst[:, level] = np.maximum(worst[:, self.parent[level]], near[:, level])
+        own = worst[:, self.leaves]
+        last = np.partition(own, visits - 1, axis=1)[:, visits - 1]
+        inside = own <= last[:, None]
+        for row in np.flatnonzero(inside.sum(axis=1) > visits):
+            inside[row] = own[row] < last[row]
+            branches = np.flatnonzero((worst[row] == last[row]) & (worst[row, self.parent] < last[row]))
+            queue = [(near[row, at], at) for at in branches.tolist()]
+            heapq.heapify(queue)
+            inside[row, self._popped(queue, near[row], visits - int(inside[row].sum()))] = True
+        return inside
+
 
 def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.argmin((centroids**2).sum(axis=1) - 2 * (x @ centroids.T), axis=1)
@@ -134,40 +179,124 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.empty((0, 1))
 
 
-def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(values))
+def _binary(rows: np.ndarray) -> pa.Array:
+    """One value for each row of a matrix: its bytes."""
+    rows = np.ascontiguousarray(rows)
+    width = rows.shape[1] * rows.itemsize
+    ends = np.arange(len(rows) + 1, dtype=np.int64) * width
+    return pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)]).cast(pa.binary())
+
+
+def _from_binary(column: pa.Array, dtype) -> np.ndarray:
+    column = column.cast(pa.large_binary())
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(dtype).reshape(len(column), -1)
+
+
+def _reaching(scores: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (row, column) of scores that reach the least one of their row; few rows have any."""
+    some = np.flatnonzero(scores.max(axis=1) >= least)
+    row, column = np.nonzero(scores[some] >= least[some, None])
+    return some[row], column
+
+
+class Best:
+    """The ``n`` largest scores that each of some rows has met, and their ids; ties go to the smaller id."""
+
+    def __init__(self, rows: int, n: int):
+        self.n, self.scores = n, np.full((rows, n), -np.inf)
+        self.ids = np.full((rows, n), np.iinfo(np.int64).max)
+        self.waiting, self.held, self.most = [], 0, max(2 * rows * n, 1 << 16)
+
+    def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Scores of ``ids`` (columns) for some of the rows."""
+        least = self.scores[rows, -1]
+        if scores.shape[1] > self.n and np.isneginf(least).any():
+            least = np.maximum(least, np.partition(scores, -self.n, axis=1)[:, -self.n])
+        at, column = _reaching(scores, least)
+        self.put(rows[at], scores[at, column], ids[column])
+
+    def put(self, row: np.ndarray, score: np.ndarray, who: np.ndarray) -> None:
+        """A score of one id for one row each."""
+        low = self.scores[row, -1]
+        better = (score > low) | (score == low) & (who < self.ids[row, -1])
+        self.waiting.append((row[better], score[better], who[better]))
+        self.held += len(self.waiting[-1][0])
+        if self.held > self.most:
+            self.settle()
+
+    def settle(self) -> None:
+        if not self.held:
+            return
+        row, score, who = (np.concatenate(x) for x in zip(*self.waiting))
+        self.waiting, self.held = [], 0
+        met = np.unique(row)
+        row = np.append(row, np.repeat(met, self.n))
+        score, who = np.append(score, self.scores[met].ravel()), np.append(who, self.ids[met].ravel())
+        order = np.lexsort((who, -score, row))
+        row = row[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        kept = place < self.n
+        row, place, order = row[kept], place[kept], order[kept]
+        self.scores[row, place], self.ids[row, place] = score[order], who[order]
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, vector): distinct rows that can take part.
+    """(vec_id, vector): rows that can take part, but for the length of the vector.
 
     Vectors null, empty, zero, or with null or non-finite components, and rows without
-    vec_id are left out; so are vectors of another length than most have (of equally
-    frequent lengths, the smaller).
+    vec_id are left out.
     """
     v = F.col("vector")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = embeddings.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector")
     )
-    rows = rows.where("vec_id is not null and vector is not null").where(
+    return rows.where("vec_id is not null and vector is not null").where(
         finite & F.exists(v, lambda x: x != 0)
     )
-    lengths = rows.groupBy(F.size("vector").alias("n")).count()
-    most = lengths.orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("vector") == (most["n"] if most else 0)).distinct()
 
 
-def grouped(vectors: DataFrame, k: int) -> DataFrame:
-    """(key, vector, ids): distinct vectors with the k + 1 smallest ids of each; key is the first.
+def grouped(vectors: DataFrame, asks, k: int) -> DataFrame:
+    """(key, vector, ids, asks): distinct vectors with the k + 1 smallest ids of each; key is the first.
+
+    ``asks`` tells whether one of these ids is a query's. Vectors of another length than
+    most have (of equally frequent lengths, the smaller) are left out.
 
     The limit on the rank is applied in every task before rows meet, so a vector that a
-    third of all rows have moves as a few rows of each task.
+    third of all rows have moves as a few rows of each task. A row that comes very often
+    would pass it; the rows of a hash that many rows have are made distinct first.
     """
-    by_vector = Window.partitionBy("vector").orderBy("vec_id")
-    few = vectors.withColumn("_rank", F.row_number().over(by_vector)).where(F.col("_rank") <= k + 1)
-    ids = few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    return ids.select(F.col("ids")[0].alias("key"), "vector", "ids")
+    by_hash = vectors.withColumn("_hash", F.xxhash64("vector"))
+    counts = stored(by_hash.groupBy(F.size("vector").alias("n"), "_hash").count(), "hashes")
+    most = counts.groupBy("n").agg(F.sum("count").alias("rows")).orderBy(F.desc("rows"), "n").first()
+    same = by_hash.where(F.size("vector") == (most["n"] if most else 0))
+    crowds = F.broadcast(counts.where(F.col("count") > CROWD).select("_hash").distinct())
+    rows = same.join(crowds, "_hash", "left_anti").unionByName(same.join(crowds, "_hash", "left_semi").distinct())
+
+    equal = Window.partitionBy("_hash", "vector")
+    in_order = equal.orderBy("vec_id")
+    few = rows.withColumn("_rank", F.dense_rank().over(in_order)).where(F.col("_rank") <= k + 1)
+    ids = few.select(
+        "vector",
+        F.sort_array(F.collect_set("vec_id").over(equal)).alias("ids"),
+        F.max(F.coalesce(asks, F.lit(False))).over(equal).alias("asks"),
+        F.row_number().over(in_order).alias("_place"),
+    )
+    return ids.where(F.col("_place") == 1).select(F.col("ids")[0].alias("key"), "vector", "ids", "asks")
+
+
+def _askers(vectors: DataFrame, groups: DataFrame, asks, k: int) -> DataFrame:
+    """(query_id, key): the vector of each query.
+
+    Only of a vector that more rows have than ``ids`` shows are queries missing there.
+    """
+    shown = groups.select("key", F.explode("ids").alias("vec_id")).where(asks)
+    many = groups.where(F.size("ids") > k).select(F.xxhash64("vector").alias("_hash"), "vector", "key", "ids")
+    others = vectors.where(asks).withColumn("_hash", F.xxhash64("vector")).join(many, ["_hash", "vector"])
+    others = others.where(~F.array_contains("ids", F.col("vec_id"))).select("key", "vec_id").distinct()
+    return shown.unionByName(others).select(F.col("vec_id").alias("query_id"), "key")
 
 
 def _calibration_truth(groups: DataFrame, queries: list, tree: Tree, longest: float, k: int):
@@ -176,28 +305,26 @@ def _calibration_truth(groups: DataFrame, queries: list, tree: Tree, longest: fl
     matrix = np.array([q["vector"] for q in queries], np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, every = Best(len(keys), k), np.arange(len(keys))
         for batch in batches:
             if not batch.num_rows:
                 continue
             key, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
-            scores = matrix @ x.T
-            scores[keys[:, None] == key[None, :]] = -np.inf
-            top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
             leaf = tree.assign(lifted(x, longest))
-            n = top.shape[1]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(np.arange(len(keys)), n), pa.int64()),
-                    pa.array(np.take_along_axis(scores, top, axis=1).ravel()),
-                    pa.array(leaf[top.ravel()]),
-                ],
-                names=["query", "score", "leaf"],
-            )
-
-    found = groups.select("key", "vector").mapInArrow(run, "query long, score double, leaf long")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "leaf")
-    top = found.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= k)
-    return top.where("score > double('-Infinity')").select("query", "leaf").collect()
+            for a in range(0, len(x), step := max(1, PIECE // len(keys))):
+                scores = matrix @ x[a : a + step].T
+                for at in np.flatnonzero(np.isin(key[a : a + step], keys)):
+                    scores[keys == key[a + at], at] = -np.inf
+                best.add(every, scores, leaf[a : a + step])
+        best.settle()
+        columns = [pa.array(np.repeat(every, k), pa.int64()), pa.array(best.scores.ravel()), pa.array(best.ids.ravel())]
+        yield pa.RecordBatch.from_arrays(columns, names=["query", "score", "leaf"])
+
+    found = groups.select("key", "vector").mapInArrow(released(run), "query long, score double, leaf long")
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "leaf")
+    found = found.where("score > double('-Infinity')")
+    top = found.withColumn("_rank", F.row_number().over(by_score)).where(F.col("_rank") <= k)
+    return top.select("query", "leaf").collect()
 
 
 def calibrated_visits(groups: DataFrame, queries: list, tree: Tree, longest: float, k: int, recall: float) -> int:
@@ -217,99 +344,173 @@ def calibrated_visits(groups: DataFrame, queries: list, tree: Tree, longest: flo
     return int(min(np.searchsorted(reached, recall - 1e-9) + 1, tree.n_leaves))
 
 
-def _in_leaves(groups: DataFrame, tree: Tree, longest: float) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                leaf = tree.assign(lifted(_matrix(batch.column(1)), longest))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaf.astype(np.int32)), *batch.columns], names=["leaf", "key", "vector"]
-                )
-
-    return groups.select("key", "vector").mapInArrow(run, "leaf int, key long, vector array<float>")
+def _cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(leaf, keys, bytes of vectors) of each run of equal (leaf, part) of (leaf, part, key, vector)."""
+    mark, keys, vectors = None, [], []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        marks = np.stack([c.to_numpy() for c in batch.columns[:2]], axis=1)
+        key, vector = batch.column(2).to_numpy(), _from_binary(batch.column(3), np.uint8)
+        starts = np.flatnonzero(np.any(np.diff(marks, axis=0, prepend=marks[:1] - 1) != 0, axis=1))
+        for a, b in zip(starts, [*starts[1:], len(key)]):
+            if (at := tuple(marks[a].tolist())) != mark:
+                if keys:
+                    yield mark[0], np.concatenate(keys), np.concatenate(vectors)
+                mark, keys, vectors = at, [], []
+            keys.append(key[a:b])
+            vectors.append(vector[a:b])
+    if keys:
+        yield mark[0], np.concatenate(keys), np.concatenate(vectors)
+
+
+class Cells:
+    """The vectors of all groups in files, those of a cell together; ``rows`` names the cells.
+
+    A cell is a leaf or, of a large leaf, a part of it: keys in order, then their vectors.
+    """
 
+    def __init__(self, groups: DataFrame, tree: Tree, longest: float, cell: int):
+        self.folder = work_dir(groups.sparkSession, "cells")
+        folder = self.folder
+        kind = groups.schema["vector"].dataType.elementType.typeName()
+        self.dtype = dtype = np.dtype("<f8" if kind == "double" else "<f4")
+        self.width = (tree.centroids.shape[1] - 1) * dtype.itemsize
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = np.zeros(tree.n_leaves, np.int64)
+            for batch in batches:
+                leaf = tree.assign(lifted(_matrix(batch.column(0)), longest)) if batch.num_rows else []
+                found += np.bincount(leaf, minlength=tree.n_leaves)
+            used = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(found[used])], names=["leaf", "n"])
+
+        counted = groups.select("vector").mapInArrow(released(count), "leaf long, n long")
+        parts = np.ones(tree.n_leaves, np.int64)
+        for leaf, n in counted.groupBy("leaf").agg(F.sum("n")).collect():
+            parts[leaf] = -(-n // cell)
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    x = _matrix(batch.column(2))
+                    leaf = tree.assign(lifted(x, longest))
+                    part = batch.column(0).to_numpy() % parts[leaf]
+                    columns = [pa.array(leaf.astype(np.int32)), pa.array(part.astype(np.int32)), batch.column(1), _binary(x.astype(dtype))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["leaf", "part", "key", "vector"])
+
+        def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            name, marks = f"cells-{uuid.uuid4().hex}", []
+            with whole_file(folder, name) as out:
+                for leaf, keys, vectors in _cells_of(batches):
+                    marks.append((leaf, out.tell(), len(keys)))
+                    out.write(keys.astype("<i8").tobytes())
+                    out.write(vectors.tobytes())
+            columns = [pa.array([m[i] for m in marks], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(marks), pa.string()), *columns], names=["file", "leaf", "start", "n"])
+
+        hashed = F.xxhash64("key").bitwiseAND(F.lit(2**63 - 1))
+        dealt = groups.select(hashed.alias("hash"), "key", "vector").mapInArrow(
+            released(place), "leaf int, part int, key long, vector binary"
+        ).repartition("leaf", "part").sortWithinPartitions("leaf", "part", "key")
+        written = dealt.mapInArrow(released(write), "file string, leaf long, start long, n long").toArrow()
+        self.files = written.column("file").unique().to_pylist()
+        number = {f: i for i, f in enumerate(self.files)}
+        rows = zip(written.column("leaf").to_pylist(), (number[f] for f in written.column("file").to_pylist()), written.column("start").to_pylist(), written.column("n").to_pylist())
+        self.rows = np.array(sorted(rows), np.int64).reshape(-1, 4)
+
+    def read(self, leaves: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(leaf, keys, vectors) of each cell of some leaves."""
+        opened = {}
+        try:
+            for leaf, file, start, n in self.rows[np.isin(self.rows[:, 0], leaves)].tolist():
+                if file not in opened:
+                    if len(opened) >= OPEN_FILES:
+                        opened.pop(next(iter(opened))).close()
+                    opened[file] = open_file(self.folder, self.files[file])
+                source = opened[file]
+                source.seek(start)
+                keys = np.frombuffer(source.read(8 * n), "<i8")
+                yield leaf, keys, np.frombuffer(source.read(n * self.width), self.dtype).reshape(n, -1)
+        finally:
+            for source in opened.values():
+                source.close()
+
+
+def _visits(queries: DataFrame, tree: Tree, visits: int, dtype) -> DataFrame:
+    """(leaf, key, vector, visited) of each query: its first leaf, and a bit for each leaf."""
 
-def _visits(queries: DataFrame, tree: Tree, visits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, PIECE // len(tree.centroids))
         for batch in batches:
-            if batch.num_rows:
-                x = _matrix(batch.column(1))
-                bins = [tree.best_bins(np.append(q, 0.0), visits) for q in x]
-                row = np.repeat(np.arange(len(x)), [len(b) for b in bins])
-                leaf = pa.array(np.concatenate(bins).astype(np.int32))
-                taken = [c.take(pa.array(row)) for c in batch.columns]
-                yield pa.RecordBatch.from_arrays([leaf, *taken], names=["leaf", "key", "vector"])
+            for a in range(0, batch.num_rows, step):
+                part = batch.slice(a, step)
+                x = _matrix(part.column(1))
+                q = np.hstack([x, np.zeros((len(x), 1))])
+                leaf = np.argmax(q @ tree.centroids[tree.leaves].T, axis=1)
+                visited = np.packbits(tree.visited(q, visits), axis=1)
+                columns = [pa.array(leaf.astype(np.int32)), part.column(0), _binary(x.astype(dtype)), _binary(visited)]
+                yield pa.RecordBatch.from_arrays(columns, names=["leaf", "key", "vector", "visited"])
 
-    return queries.select("key", "vector").mapInArrow(run, "leaf int, key long, vector array<float>")
+    return queries.select("key", "vector").mapInArrow(released(run), "leaf int, key long, vector binary, visited binary")
 
 
-def _cells(rows: DataFrame, other: DataFrame, cell: int, own: str, theirs: str) -> DataFrame:
-    """Deal rows to the cells of their leaf: one by their own side, all of the other side.
+def _scored(visits: DataFrame, cells: Cells, k: int, most: int) -> DataFrame:
+    """(key, hit, score): the best k vectors of the leaves that each query visits.
 
-    ``other`` has a count for each leaf, as many rows as leaves at most.
+    A task has some ``most`` queries in memory at a time, and of the vectors one cell. Products
+    in single precision, of vectors brought to a length of 1 at most, tell which pairs may be
+    among the best: they are off by less than ``margin``. Double products of these pairs count.
     """
-    size = other.select("leaf", F.ceil(F.col(own) / cell).cast("int").alias("_own"), F.ceil(F.col(theirs) / cell).cast("int").alias("_theirs"))
-    dealt = rows.join(F.broadcast(size), "leaf").withColumn(own, F.pmod(F.xxhash64("key"), "_own").cast("int"))
-    return dealt.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col("_theirs") - 1))).drop("_own", "_theirs")
-
-
-def _scored(cells: DataFrame, k: int) -> DataFrame:
-    """Best k vectors of a cell for each of its queries: (key, keys, scores)."""
-    batch_queries = 512
-
-    def best(keys: np.ndarray, x: np.ndarray, q_keys: list, q: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(keys)
-        keys, x = keys[order], x[order]
-        scores = q @ x.T
-        n = min(k, len(keys))
-        top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-        least = np.take_along_axis(scores, top, axis=1).min(axis=1)
-        picked = [np.flatnonzero(s >= low) for s, low in zip(scores, least)]  # ties in full
-        picked = [p[np.argsort(-s[p], kind="stable")[:n]] for p, s in zip(picked, scores)]
-        counts = np.array([len(p) for p in picked])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(q_keys, pa.int64()),
-                _lists(keys[np.concatenate(picked)], counts),
-                _lists(np.concatenate([s[p] for s, p in zip(scores, picked)]), counts),
-            ],
-            names=["key", "keys", "scores"],
-        )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, keys, parts, x, q_keys, q = None, [], [], None, [], []
-
-        def answers() -> Iterator[pa.RecordBatch]:
-            nonlocal q_keys, q
-            if q_keys and keys:
-                yield best(np.concatenate(keys), x, q_keys, np.vstack(q))
-            q_keys, q = [], []
+    def margin(n: int) -> float:
+        return (n + 16) * 2.0**-24  # a rounding for each sum and component, some to spare
+
+    def answers(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        key = np.concatenate([b.column(0).to_numpy() for b in held])
+        q = np.concatenate([_from_binary(b.column(1), cells.dtype) for b in held]).astype(np.float64)
+        visited = np.concatenate([_from_binary(b.column(2), np.uint8) for b in held]).T.copy()
+        best, length = Best(len(key), k), np.linalg.norm(q, axis=1)
+        short = (q / length[:, None]).astype(np.float32)
+        leaves = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(visited, axis=1)))
+        for leaf, ids, x in cells.read(leaves):
+            rows = np.flatnonzero(visited[leaf >> 3] & (128 >> (leaf & 7)))
+            x = x.astype(np.float64)
+            longest = np.linalg.norm(x, axis=1).max()
+            short_x = (x / longest).astype(np.float32).T
+            for a in range(0, len(rows), step := max(1, PIECE // len(ids))):
+                some = rows[a : a + step]
+                least = best.scores[some, -1] / (length[some] * longest) - margin(x.shape[1])
+                some, least = some[least <= 1], least[least <= 1]
+                if not len(some):
+                    continue
+                if not np.isneginf(least).any():
+                    at, column = _reaching(short[some] @ short_x, least)
+                    if 8 * len(at) <= len(some) * len(ids):
+                        for b in range(0, len(at), pairs := max(1, PIECE // x.shape[1])):
+                            row, col = some[at[b : b + pairs]], column[b : b + pairs]
+                            best.put(row, np.einsum("ij,ij->i", q[row], x[col]), ids[col])
+                        continue
+                best.add(some, q[some] @ x.T, ids)
+        best.settle()
+        row, place = np.nonzero(best.scores > -np.inf)
+        columns = [pa.array(key[row]), pa.array(best.ids[row, place]), pa.array(best.scores[row, place])]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "hit", "score"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]]
-            key, matrix = batch.column(4).to_numpy(), _matrix(batch.column(5))
-            marks = np.stack(columns, axis=1)
-            starts = np.flatnonzero(np.any(np.diff(marks, axis=0, prepend=marks[:1] - 1) != 0, axis=1))
-            for a, b in zip(starts, [*starts[1:], len(key)]):
-                *at, is_query = marks[a].tolist()
-                if at != cell:
-                    yield from answers()
-                    cell, keys, parts, x = at, [], [], None
-                if not is_query:
-                    keys.append(key[a:b])
-                    parts.append(matrix[a:b])
-                    continue
-                if x is None and parts:
-                    x = np.vstack(parts)
-                for c in range(a, b, batch_queries):
-                    d = min(b, c + batch_queries)
-                    q_keys.extend(key[c:d].tolist())
-                    q.append(matrix[c:d])
-                    if len(q_keys) >= batch_queries:
-                        yield from answers()
-        yield from answers()
+            for a in range(0, batch.num_rows, most):
+                part = batch.slice(a, most)
+                if rows + part.num_rows > most:
+                    yield answers(held)
+                    held, rows = [], 0
+                held.append(part)
+                rows += part.num_rows
+        if held:
+            yield answers(held)
 
-    return cells.mapInArrow(run, "key long, keys array<long>, scores array<double>")
+    return visits.select("key", "vector", "visited").mapInArrow(released(run), "key long, hit long, score double")
 
 
 def nearest(embeddings: DataFrame, is_query, k: int = 20, settings: Settings = Settings()) -> DataFrame:
@@ -319,48 +520,38 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20, settings: Settings = S
     vectors; ties go to the smaller vec_id; a query is not its own neighbour. Fewer
     candidates than k give fewer rows. An empty table gives an empty result.
     """
-    vectors = stored(usable(embeddings), "vectors")
-    groups = stored(grouped(vectors, k), "groups")
+    asks = F.expr(is_query) if isinstance(is_query, str) else is_query
+    vectors = usable(embeddings)
+    groups = stored(grouped(vectors, asks, k), "groups")
     n = groups.count()
     if not n:
         empty = "query_id long, rank int, vec_id long, score double"
         return embeddings.sparkSession.createDataFrame([], empty)
-    askers = vectors.where(is_query).join(groups.select("vector", "key"), "vector")
-    asked = stored(askers.select(F.col("vec_id").alias("query_id"), "key"), "askers")
-    queries = stored(groups.join(asked.select("key").distinct(), "key", "left_semi"), "queries")
+    asked = stored(_askers(vectors, groups, asks, k), "askers")
+    hidden = groups.where(~F.col("asks") & (F.size("ids") > k)).join(asked.select("key").distinct(), "key", "left_semi")
+    queries = stored(groups.where("asks").unionByName(hidden).select("key", "vector"), "queries")
 
     norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     longest = math.sqrt(groups.agg(F.max(norm)).first()[0])
     by_hash = F.xxhash64("key", F.lit(settings.seed))
-    sample = groups.select("key", "vector").orderBy(by_hash).limit(settings.sample).toArrow()
+    drawn = groups.select("key", "vector")
+    if n > 2 * settings.sample:  # else tasks would send as many rows as the sample has, each
+        fewer = drawn.where(by_hash < F.lit(int(2**64 * 1.2 * settings.sample / n) - 2**63))
+        drawn = fewer if fewer.count() >= settings.sample else drawn
+    sample = drawn.orderBy(by_hash).limit(settings.sample).toArrow()
     leaves = min(settings.leaves, max(1, n // settings.leaf))
     x = _matrix(sample.column("vector").combine_chunks())
     tree = fit_tree(lifted(x, longest), leaves, settings.branch, settings.seed)
     tested = queries.orderBy(by_hash).limit(settings.calibration).collect()
     visits = calibrated_visits(groups, tested, tree, longest, k, settings.recall)
 
-    placed = stored(_in_leaves(groups, tree, longest), "leaves")
-    going = stored(_visits(queries, tree, visits), "visits")
-    counts = (
-        placed.groupBy("leaf").agg(F.count("*").alias("_v"))
-        .join(going.groupBy("leaf").agg(F.count("*").alias("_q")), "leaf")
-    )
-    counts = stored(counts, "leaf-counts")
-    both = _cells(placed, counts, settings.cell, "_v", "_q").select(
-        "leaf", "_v", "_q", F.lit(0).alias("_is_query"), "key", "vector"
-    ).unionByName(
-        _cells(going, counts, settings.cell, "_q", "_v").select(
-            "leaf", "_v", "_q", F.lit(1).alias("_is_query"), "key", "vector"
-        )
-    )
-    cells = both.repartition("leaf", "_v", "_q").sortWithinPartitions("leaf", "_v", "_q", "_is_query")
-    found = _scored(cells, k + 1)
+    cells = Cells(groups, tree, longest, settings.cell)
+    going = stored(_visits(queries, tree, visits, cells.dtype), "visits")
+    n_queries = going.count()
+    block = min(8 * settings.block, max(settings.block, n_queries // 16))
+    blocks = going.repartitionByRange(max(1, -(-n_queries // block)), "leaf", F.xxhash64("key"))
+    hits = _scored(blocks, cells, k + 1, 2 * block)
 
-    zipped = F.transform(F.arrays_zip("scores", "keys"), lambda p: F.struct((-p["scores"]).alias("s"), p["keys"].alias("v")))
-    best = found.groupBy("key").agg(
-        F.slice(F.sort_array(F.flatten(F.collect_list(zipped))), 1, k + 1).alias("best")
-    )
-    hits = best.select("key", F.inline("best")).select("key", (-F.col("s")).alias("score"), F.col("v").alias("hit"))
     ids = groups.select(F.col("key").alias("hit"), "ids")
     in_order = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     shown = (

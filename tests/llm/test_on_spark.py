@@ -4,13 +4,16 @@ import itertools
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 from starfold.llm import ann, chat, decontam, jaccard_join, mixing, quality, sharding, token_blocks, warc
+from starfold.session import shared_dir
 from starfold.llm.components import connected
 
 DOCS = "doc_id long, text string, source string, row int, shard string, size string"
@@ -67,6 +70,55 @@ def test_neighbours_of_few_or_no_vectors(spark):
     assert ann.nearest(spark.createDataFrame([], schema), "vec_id % 20 = 0").collect() == []
 
 
+def test_visits_store_no_row_for_each_query_and_leaf(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(1200, 16)).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<float>")
+    top = Path(shared_dir(spark).removeprefix("file:"), "starfold-llm")
+    before = set(top.iterdir()) if top.exists() else set()
+    found = ann.nearest(df, "true", 5, ann.Settings(leaf=3, recall=1.0)).collect()
+    rows = {d.name.split("-")[0]: sum(pq.read_metadata(f).num_rows for f in d.glob("*.parquet")) for d in set(top.iterdir()) - before}
+    assert rows["visits"] and max(rows.values()) <= 1200
+    scores = vectors @ vectors.T
+    np.fill_diagonal(scores, -np.inf)
+    true = {q: set(np.argsort(-s)[:5].tolist()) for q, s in enumerate(scores)}
+    assert np.mean([r.vec_id in true[r.query_id] for r in found]) > 0.97 and len(found) == 6000
+
+
+def test_neighbours_among_vectors_of_very_different_length(spark):
+    """Single precision only tells which pairs to look at: all 20 are those of double products."""
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(800, 12)) * 10.0 ** rng.integers(-20, 18, 800)[:, None]
+    vectors[:300] = vectors[0] + rng.normal(size=(300, 12)) * 1e-6 * np.abs(vectors[0]).max()  # products that differ in the last digits
+    vectors = vectors.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<float>")
+    found = ann.nearest(df, "vec_id % 20 = 0", 20, ann.Settings(leaf=10_000)).collect()
+    for q in range(0, 800, 20):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        got = sorted((r["rank"], r.vec_id, r.score) for r in found if r.query_id == q)
+        np.testing.assert_allclose([x[2] for x in got], np.sort(scores)[::-1][:20], rtol=1e-12)
+        np.testing.assert_allclose([scores[x[1]] for x in got], [x[2] for x in got], rtol=1e-12)
+
+
+def test_neighbours_of_vectors_that_many_rows_have(spark, monkeypatch):
+    """Queries that are not among the ids kept of their vector, repeated rows, an id of two vectors."""
+    monkeypatch.setattr(ann, "CROWD", 30)
+    a, b, c = [1.0, 0.0], [0.6, 0.8], [-0.0, 1.0]
+    rows = [(i, a) for i in range(100)] + [(i, b) for i in range(100, 112)] + [(7, c), (200, c), (201, [0.0, 1.0])]
+    df = spark.createDataFrame([*rows, *rows[:50] * 5, *rows[100:104] * 12], "vec_id long, embedding array<float>").repartition(3)
+    found = ann.nearest(df, "vec_id % 20 = 7 or vec_id = 103", 4).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 6)))
+    ones = [(i, 1.0) for i in range(8)]
+    for q in (27, 47, 67, 87):
+        assert got[q] == ones[:4]
+    assert got[103] == [(100, 1.0), (101, 1.0), (102, 1.0), (104, 1.0)]
+    assert got[107] == [(100, 1.0), (101, 1.0), (102, 1.0), (103, 1.0)]
+    assert set(got) == {7, 27, 47, 67, 87, 103, 107}
+
+
 # Jaccard join
 
 

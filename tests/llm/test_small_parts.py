@@ -124,6 +124,31 @@ def test_best_bins_visits_every_leaf_once():
     assert set(tree.assign(x)) <= set(order)
 
 
+def test_visited_leaves_are_the_best_bins():
+    rng = np.random.default_rng(5)
+    tree = ann.fit_tree(rng.normal(size=(3000, 8)), 120, 4, 1)
+    queries = rng.normal(size=(60, 8))
+    for visits in (1, 2, 3, 7, 20, tree.n_leaves - 1, tree.n_leaves, tree.n_leaves + 5):
+        for q, seen in zip(queries, tree.visited(queries, visits)):
+            assert set(np.flatnonzero(seen)) == set(tree.best_bins(q, visits))
+
+
+def test_best_keeps_the_largest_scores_and_smaller_ids_of_ties():
+    rng = np.random.default_rng(6)
+    scores = rng.integers(0, 40, (9, 4000)).astype(float)
+    ids = rng.permutation(4000)
+    best = ann.Best(9, 21)
+    best.most = 100
+    for a in range(0, 4000, 250):
+        rows = rng.permutation(9)
+        best.add(rows[:5], scores[rows[:5], a : a + 250], ids[a : a + 250])
+        best.add(rows[5:], scores[rows[5:], a : a + 250], ids[a : a + 250])
+    best.settle()
+    for row in range(9):
+        order = np.lexsort((ids, -scores[row]))[:21]
+        assert best.ids[row].tolist() == ids[order].tolist() and best.scores[row].tolist() == scores[row, order].tolist()
+
+
 def test_tree_of_equal_vectors_is_one_leaf():
     tree = ann.fit_tree(np.ones((50, 3)), 8, 4, 0)
     assert tree.n_leaves == 1 and tree.assign(np.ones((2, 3))).tolist() == [0, 0]
