@@ -32,10 +32,13 @@ from starfold.session import ship_by_value
 
 ship_by_value(__name__)
 
-#: Rows of equal hash beyond which repeated rows are dropped before vectors are grouped.
-CROWD = 4096
+#: Hashes of more than one row that may be broadcast, and rows of equal hash beyond which
+#: repeated rows are dropped before vectors are grouped.
+SHARED, CROWD = 200_000, 4096
 #: Scores that are held at once, and files that a task keeps open.
 PIECE, OPEN_FILES = 1 << 20, 64
+#: Bytes of vectors that a cell or a block of queries has at most, however long the vectors are.
+HELD = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -179,6 +182,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.empty((0, 1))
 
 
+def _parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the vectors in a column, all of one length, have some PIECE numbers at a time."""
+    for batch in batches:
+        if batch.num_rows:
+            step = max(1, PIECE * batch.num_rows // len(batch.column(column).flatten()))
+            for a in range(0, batch.num_rows, step):
+                yield batch.slice(a, step)
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     """One value for each row of a matrix: its bytes."""
     rows = np.ascontiguousarray(rows)
@@ -264,15 +276,24 @@ def grouped(vectors: DataFrame, asks, k: int) -> DataFrame:
     ``asks`` tells whether one of these ids is a query's. Vectors of another length than
     most have (of equally frequent lengths, the smaller) are left out.
 
-    The limit on the rank is applied in every task before rows meet, so a vector that a
-    third of all rows have moves as a few rows of each task. A row that comes very often
-    would pass it; the rows of a hash that many rows have are made distinct first.
+    A row whose hash no other row has is a group, and is not moved where the other hashes are
+    few enough to be broadcast. The limit on the rank is applied in every task before rows
+    meet, so a vector that a third of all rows have moves as a few rows of each task. A row
+    that comes very often would pass it; the rows of a hash that many rows have are made
+    distinct first.
     """
     by_hash = vectors.withColumn("_hash", F.xxhash64("vector"))
     counts = stored(by_hash.groupBy(F.size("vector").alias("n"), "_hash").count(), "hashes")
     most = counts.groupBy("n").agg(F.sum("count").alias("rows")).orderBy(F.desc("rows"), "n").first()
-    same = by_hash.where(F.size("vector") == (most["n"] if most else 0))
-    crowds = F.broadcast(counts.where(F.col("count") > CROWD).select("_hash").distinct())
+    length = most["n"] if most else 0
+    same, asks = by_hash.where(F.size("vector") == length), F.coalesce(asks, F.lit(False))
+    counts = counts.where(F.col("n") == length).select("_hash", "count")
+    shared, alone = counts.where("count > 1").select("_hash"), None
+    if shared.limit(SHARED + 1).count() <= SHARED:
+        alone = same.join(F.broadcast(shared), "_hash", "left_anti")
+        alone = alone.select(F.col("vec_id").alias("key"), "vector", F.array("vec_id").alias("ids"), asks.alias("asks"))
+        same = same.join(F.broadcast(shared), "_hash", "left_semi")
+    crowds = F.broadcast(counts.where(F.col("count") > CROWD).select("_hash"))
     rows = same.join(crowds, "_hash", "left_anti").unionByName(same.join(crowds, "_hash", "left_semi").distinct())
 
     equal = Window.partitionBy("_hash", "vector")
@@ -281,10 +302,11 @@ def grouped(vectors: DataFrame, asks, k: int) -> DataFrame:
     ids = few.select(
         "vector",
         F.sort_array(F.collect_set("vec_id").over(equal)).alias("ids"),
-        F.max(F.coalesce(asks, F.lit(False))).over(equal).alias("asks"),
+        F.max(asks).over(equal).alias("asks"),
         F.row_number().over(in_order).alias("_place"),
     )
-    return ids.where(F.col("_place") == 1).select(F.col("ids")[0].alias("key"), "vector", "ids", "asks")
+    groups = ids.where(F.col("_place") == 1).select(F.col("ids")[0].alias("key"), "vector", "ids", "asks")
+    return groups if alone is None else alone.unionByName(groups)
 
 
 def _askers(vectors: DataFrame, groups: DataFrame, asks, k: int) -> DataFrame:
@@ -306,9 +328,7 @@ def _calibration_truth(groups: DataFrame, queries: list, tree: Tree, longest: fl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, every = Best(len(keys), k), np.arange(len(keys))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _parts(batches, 1):
             key, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
             leaf = tree.assign(lifted(x, longest))
             for a in range(0, len(x), step := max(1, PIECE // len(keys))):
@@ -376,11 +396,12 @@ class Cells:
         kind = groups.schema["vector"].dataType.elementType.typeName()
         self.dtype = dtype = np.dtype("<f8" if kind == "double" else "<f4")
         self.width = (tree.centroids.shape[1] - 1) * dtype.itemsize
+        cell = min(cell, max(1, HELD // self.width))
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = np.zeros(tree.n_leaves, np.int64)
-            for batch in batches:
-                leaf = tree.assign(lifted(_matrix(batch.column(0)), longest)) if batch.num_rows else []
+            for batch in _parts(batches, 0):
+                leaf = tree.assign(lifted(_matrix(batch.column(0)), longest))
                 found += np.bincount(leaf, minlength=tree.n_leaves)
             used = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(found[used])], names=["leaf", "n"])
@@ -391,13 +412,12 @@ class Cells:
             parts[leaf] = -(-n // cell)
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    x = _matrix(batch.column(2))
-                    leaf = tree.assign(lifted(x, longest))
-                    part = batch.column(0).to_numpy() % parts[leaf]
-                    columns = [pa.array(leaf.astype(np.int32)), pa.array(part.astype(np.int32)), batch.column(1), _binary(x.astype(dtype))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["leaf", "part", "key", "vector"])
+            for batch in _parts(batches, 2):
+                x = _matrix(batch.column(2))
+                leaf = tree.assign(lifted(x, longest))
+                part = batch.column(0).to_numpy() % parts[leaf]
+                columns = [pa.array(leaf.astype(np.int32)), pa.array(part.astype(np.int32)), batch.column(1), _binary(x.astype(dtype))]
+                yield pa.RecordBatch.from_arrays(columns, names=["leaf", "part", "key", "vector"])
 
         def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             name, marks = f"cells-{uuid.uuid4().hex}", []
@@ -416,7 +436,7 @@ class Cells:
         written = dealt.mapInArrow(released(write), "file string, leaf long, start long, n long").toArrow()
         self.files = written.column("file").unique().to_pylist()
         number = {f: i for i, f in enumerate(self.files)}
-        rows = zip(written.column("leaf").to_pylist(), (number[f] for f in written.column("file").to_pylist()), written.column("start").to_pylist(), written.column("n").to_pylist())
+        rows = [(r["leaf"], number[r["file"]], r["start"], r["n"]) for r in written.to_pylist()]
         self.rows = np.array(sorted(rows), np.int64).reshape(-1, 4)
 
     def read(self, leaves: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -442,7 +462,7 @@ def _visits(queries: DataFrame, tree: Tree, visits: int, dtype) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = max(1, PIECE // len(tree.centroids))
-        for batch in batches:
+        for batch in _parts(batches, 1):
             for a in range(0, batch.num_rows, step):
                 part = batch.slice(a, step)
                 x = _matrix(part.column(1))
@@ -548,7 +568,7 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20, settings: Settings = S
     cells = Cells(groups, tree, longest, settings.cell)
     going = stored(_visits(queries, tree, visits, cells.dtype), "visits")
     n_queries = going.count()
-    block = min(8 * settings.block, max(settings.block, n_queries // 16))
+    block = min(8 * settings.block, max(settings.block, n_queries // 16), max(1, HELD // cells.width))
     blocks = going.repartitionByRange(max(1, -(-n_queries // block)), "leaf", F.xxhash64("key"))
     hits = _scored(blocks, cells, k + 1, 2 * block)
 

@@ -101,9 +101,11 @@ def test_neighbours_among_vectors_of_very_different_length(spark):
         np.testing.assert_allclose([scores[x[1]] for x in got], [x[2] for x in got], rtol=1e-12)
 
 
-def test_neighbours_of_vectors_that_many_rows_have(spark, monkeypatch):
+@pytest.mark.parametrize("shared", [0, 200_000])
+def test_neighbours_of_vectors_that_many_rows_have(spark, monkeypatch, shared):
     """Queries that are not among the ids kept of their vector, repeated rows, an id of two vectors."""
     monkeypatch.setattr(ann, "CROWD", 30)
+    monkeypatch.setattr(ann, "SHARED", shared)
     a, b, c = [1.0, 0.0], [0.6, 0.8], [-0.0, 1.0]
     rows = [(i, a) for i in range(100)] + [(i, b) for i in range(100, 112)] + [(7, c), (200, c), (201, [0.0, 1.0])]
     df = spark.createDataFrame([*rows, *rows[:50] * 5, *rows[100:104] * 12], "vec_id long, embedding array<float>").repartition(3)
